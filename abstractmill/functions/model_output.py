@@ -13,17 +13,19 @@ OBJECT_PATTERN = r"\{[^{}]*\}"
 # Fixed value: text that counts as a whole number.
 WHOLE_NUMBER_PATTERN = r"^[+-]?[0-9]+(_[0-9]+)*(\.0+)?$"
 
+PROMPT_HEAD = (
+    "Read the oncology abstract below and report its clinical variables as one JSON object "
+    "with the keys tnm_stage (text or null), treatment_modality (list of text), biomarkers "
+    "(list of text), sample_size (whole number or null) and cancer_type (text or null)."
+    "\n\nAbstract: "
+)
+PROMPT_TAIL = "\n\nJSON:"
+
 
 def build_prompt(text: Column, max_chars: int | None = 1500) -> Column:
     """Instruction plus the opening of the abstract (``None``: the whole abstract)."""
-    head = (
-        "Read the oncology abstract below and report its clinical variables as one JSON "
-        "object with the keys tnm_stage (text or null), treatment_modality (list of text), "
-        "biomarkers (list of text), sample_size (whole number or null) and cancer_type "
-        "(text or null).\n\nAbstract: "
-    )
     body = text if max_chars is None else F.substring(text, 1, max_chars)
-    return F.concat(F.lit(head), body, F.lit("\n\nJSON:"))
+    return F.concat(F.lit(PROMPT_HEAD), body, F.lit(PROMPT_TAIL))
 
 
 def with_model_record(df: DataFrame, raw: str, into: str) -> DataFrame:

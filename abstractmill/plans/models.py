@@ -27,12 +27,15 @@ def staged(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def _any_term_has(fragment: str):
+    return F.exists("mesh_terms", lambda term: F.lower(term).contains(fragment))
+
+
 def flagged(stg: DataFrame) -> DataFrame:
     """Cancer type from subject terms and six mention flags from the text."""
     cancer = F.lit(OTHER_CANCER_TYPE)
     for fragment, label in reversed(SUBJECT_CANCER_TYPES.items()):
-        hit = F.exists("mesh_terms", lambda t, x=fragment: F.lower(t).contains(x))
-        cancer = F.when(hit, label).otherwise(cancer)
+        cancer = F.when(_any_term_has(fragment), label).otherwise(cancer)
     kept = [
         "abstract_id", "pmid", "title", "abstract_text", "publication_date",
         "publication_year", "journal", "mesh_terms", "abstract_length",
