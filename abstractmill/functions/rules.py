@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import BIOMARKER_TERMS, TREATMENT_TERMS, empty_record
@@ -17,29 +17,35 @@ SIZE_PATTERN = (
 MIN_TEXT = 20
 
 
-def _first(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+def stage_code(text: Column) -> Column:
+    """First TNM code, ``''`` without one."""
+    return F.regexp_extract(text, TNM_PATTERN, 1)
 
 
-def stage(text: Column) -> Column:
-    """A TNM code if there is one, else the first worded stage."""
-    worded = F.concat(F.lit("Stage "), F.upper(_first(text, STAGE_PATTERN)))
-    return F.coalesce(_first(text, TNM_PATTERN), worded)
+def worded_stage(text: Column, lowered: Column) -> Column:
+    """First worded stage, ``''`` without one; the pattern runs only where it can match."""
+    return F.when(lowered.contains("tage"), F.regexp_extract(text, STAGE_PATTERN, 1)).otherwise(
+        ""
+    )
 
 
 def labels(lowered: Column, lexicon: dict[str, list[str]]) -> Column:
-    """Labels with a term in the text, in lexicon order."""
-    return F.array_compact(
-        F.array(*[F.when(contains_any(lowered, t), F.lit(l)) for l, t in lexicon.items()])
-    )
+    """Labels with a term in the text, in lexicon order.
+
+    The nulls of absent labels are removed with a set difference: unlike a lambda filter
+    it leaves the term searches inside generated code.
+    """
+    found = F.array(*[F.when(contains_any(lowered, t), F.lit(l)) for l, t in lexicon.items()])
+    return F.array_except(found, F.array(F.lit(None).cast("string")))
 
 
 def cohort_size(text: Column) -> Column:
-    """First number of at most five digits right before a word for people."""
-    return _first(text, SIZE_PATTERN).try_cast("bigint")
+    """First number of at most five digits right before a word for people, or ``''``."""
+    return F.regexp_extract(text, SIZE_PATTERN, 1)
 
 
 def cancer_type(lowered: Column) -> Column:
+    """The first of three tumour sites that the text names, else null."""
     tumour = contains_any(lowered, ["cancer", "carcinoma"])
     return (
         F.when(lowered.contains("nasopharyngeal"), "Nasopharyngeal Carcinoma")
@@ -48,27 +54,40 @@ def cancer_type(lowered: Column) -> Column:
     )
 
 
-def rule_record(
-    text: Column,
-    lowered: Column,
+def with_rule_record(
+    df: DataFrame,
+    text: str,
+    into: str,
     treatments: dict[str, list[str]] = TREATMENT_TERMS,
     biomarkers: dict[str, list[str]] = BIOMARKER_TERMS,
-) -> Column:
-    """Record read by the rules; texts under ``MIN_TEXT`` characters give the empty one.
+) -> DataFrame:
+    """Add ``into``, the record the rules read from ``text``.
 
-    ``lowered`` is ``lower(text)``, passed in so that callers compute it once in an
-    earlier projection.
+    Texts under ``MIN_TEXT`` characters, and null, give the empty record. Every search
+    of the text is a column of its own before its result is used, so none runs twice.
     """
-    record = F.struct(
-        stage(text).alias("tnm_stage"),
-        labels(lowered, treatments).alias("treatment_modality"),
-        labels(lowered, biomarkers).alias("biomarkers"),
-        cohort_size(text).alias("sample_size"),
-        cancer_type(lowered).alias("cancer_type"),
+    kept = [F.col(c) for c in df.columns if c != into]
+    t, low, code = F.col(text), F.col("__low"), F.col("__code")
+    searched = df.select(*kept, F.lower(t).alias("__low"), stage_code(t).alias("__code")).select(
+        *kept,
+        code,
+        F.when(code == "", worded_stage(t, low)).otherwise("").alias("__word"),
+        cohort_size(t).alias("__size"),
+        labels(low, treatments).alias("__treatments"),
+        labels(low, biomarkers).alias("__biomarkers"),
+        cancer_type(low).alias("__cancer"),
     )
-    return F.when(F.coalesce(F.length(text), F.lit(0)) < MIN_TEXT, empty_record()).otherwise(
-        record
+    record = F.struct(
+        F.when(code != "", code)
+        .when(F.col("__word") != "", F.concat(F.lit("Stage "), F.upper("__word")))
+        .alias("tnm_stage"),
+        F.col("__treatments").alias("treatment_modality"),
+        F.col("__biomarkers").alias("biomarkers"),
+        F.col("__size").try_cast("bigint").alias("sample_size"),
+        F.col("__cancer").alias("cancer_type"),
     )
+    short = F.coalesce(F.length(t), F.lit(0)) < MIN_TEXT
+    return searched.select(*kept, F.when(short, empty_record()).otherwise(record).alias(into))
 
 
 def present(record: Column, field: str) -> Column:

@@ -26,7 +26,9 @@ def _entity_udf():
     def decode(texts: pd.Series) -> pd.Series:
         return texts.map(html.unescape, na_action="ignore")
 
-    return F.pandas_udf(decode, T.StringType())
+    # Declared non-deterministic so that a later filter on the decoded text stays above
+    # the Python step; Catalyst would otherwise push a copy of it below and decode twice.
+    return F.pandas_udf(decode, T.StringType()).asNondeterministic()
 
 
 def decode_entities(text: Column) -> Column:

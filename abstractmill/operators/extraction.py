@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.model_output import with_model_record
-from ..functions.rules import MIN_TEXT, confidence, rule_record
+from ..functions.rules import MIN_TEXT, confidence, with_rule_record
 from ..functions.summary import note_text
 from .inference import PredictorFactory, with_model_output
 from .keyed import new_keys
@@ -21,24 +21,27 @@ def unprocessed(cleaned: DataFrame, extractions: DataFrame) -> DataFrame:
 
 
 def with_rules(df: DataFrame, text: str = "abstract_text", into: str = "extracted") -> DataFrame:
-    """Add the rule record; the text is lower-cased once, in its own projection."""
-    return df.withColumn("__lower", F.lower(text)).select(
-        *df.columns, rule_record(F.col(text), F.col("__lower")).alias(into)
-    )
+    """Add the rule record of ``text``."""
+    return with_rule_record(df, text, into)
 
 
 def with_model(df: DataFrame, raw: str, text: str = "abstract_text") -> DataFrame:
     """Add ``extracted``: the validated model record, else the rule record.
 
-    Texts under the minimum length get the empty record whatever the model says.
+    Texts under the minimum length get the empty record whatever the model says. The
+    rules are handed null instead of the text where the model record stands, so they
+    search only the texts they are needed for.
     """
-    parsed = with_rules(with_model_record(df, raw, "__model"), text, "__rules")
-    short = F.coalesce(F.length(text), F.lit(0)) < MIN_TEXT
-    return parsed.select(
-        *df.columns,
-        F.when(short, F.col("__rules"))
-        .otherwise(F.coalesce("__model", "__rules"))
-        .alias("extracted"),
+    kept = [F.col(c) for c in df.columns]
+    long_enough = F.coalesce(F.length(text), F.lit(0)) >= MIN_TEXT
+    parsed = with_model_record(df, raw, "__parsed").select(
+        *kept, F.when(long_enough, F.col("__parsed")).alias("__model")
+    )
+    left = parsed.select(
+        *kept, "__model", F.when(F.col("__model").isNull(), F.col(text)).alias("__left")
+    )
+    return with_rule_record(left, "__left", "__rules").select(
+        *kept, F.coalesce("__model", "__rules").alias("extracted")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -19,15 +20,18 @@ PredictorFactory = Callable[[], Predictor]
 def _predictor_udf(make_predictor: PredictorFactory):
     # Nested so that the function travels by value; workers need no copy of this package.
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        log = logging.getLogger("abstractmill.inference")
         try:
             predict = make_predictor()
-        except Exception:
+        except Exception as e:
+            log.warning("no predictor, rules take every row: %s", e)
             predict = None
 
         def one(prompt):
             try:
                 return list(predict([prompt]))[0]
-            except Exception:
+            except Exception as e:
+                log.warning("no answer, rules take the row: %s", e)
                 return None
 
         def many(prompts):
@@ -35,8 +39,8 @@ def _predictor_udf(make_predictor: PredictorFactory):
                 answers = list(predict(prompts))
                 if len(answers) == len(prompts):
                     return answers
-            except Exception:
-                pass
+            except Exception as e:
+                log.warning("batch of %d failed, asking row by row: %s", len(prompts), e)
             # A failing batch is retried row by row, so only bad rows lose their answer.
             return [one(p) for p in prompts]
 
@@ -47,7 +51,8 @@ def _predictor_udf(make_predictor: PredictorFactory):
                 out[asked] = many(batch[asked].tolist())
             yield out
 
-    return F.pandas_udf(run, T.StringType())
+    # Non-deterministic: no optimizer rule may evaluate the model twice for a row.
+    return F.pandas_udf(run, T.StringType()).asNondeterministic()
 
 
 def with_model_output(

@@ -85,7 +85,8 @@ def upsert(
 
     On an update batch columns overwrite, columns in ``first_wins`` keep a non-null
     target value, and target columns the batch lacks stay as they are; an insert takes
-    those from ``defaults``. Keys of ``batch`` must be unique.
+    those from ``defaults``. Keys of ``batch`` must be unique, and two branches read it:
+    hand in a stored table where it is costly to compute.
 
     A left join for the updates plus an anti join for the inserts, rather than one
     full outer join: a small batch is then broadcast and the target is not shuffled.

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.agreement import differing_fields, field_matches
+from ..functions.plan import pin
 from ..functions.text import csv_items, preview
 from ..schemas import RECORD, RECORD_FIELDS
 
@@ -153,10 +155,10 @@ def with_matches(pairs: DataFrame) -> DataFrame:
 
 def disagreements(pairs: DataFrame) -> DataFrame:
     """Pairs that differ somewhere, with the names of the differing fields."""
-    return (
-        with_matches(pairs)
-        .withColumn("fields", differing_fields(F.col("matches")))
-        .where(F.size("fields") > 0)
+    matched = pin(pairs, "matches", field_matches(F.col("original"), F.col("final")))
+    fields = differing_fields(F.col("matches"))
+    return matched.withColumn("fields", fields).where(
+        ~reduce(lambda a, b: a & b, [F.col("matches")[f] for f in RECORD_FIELDS])
     )
 
 

@@ -23,7 +23,7 @@ from ..operators.extraction import (
     write_notes,
 )
 from ..schemas import LIST_FIELDS, OTHER_CANCER_TYPE, RECORD_FIELDS, SUBJECT_CANCER_TYPES
-from ..sources.archive import read_archive, shared_dir, write_archive
+from ..sources.archive import read_archive, shared_dir, stored, write_archive
 from ..sources.articles import read_articles
 from . import fixtures as fx
 from . import models
@@ -236,7 +236,10 @@ def cascade_delete(spark, sf):
 
 @query
 def upsert_extractions(spark, sf):
-    batch = extract(fx.page_abstracts(spark, sf), NOW(), model_version="v1")
+    batch = stored(
+        extract(fx.page_abstracts(spark, sf), NOW(), model_version="v1"),
+        shared_dir(spark, "batch"),
+    )
     rows = keyed.upsert_extractions(fx.extractions(spark, sf), batch)
     return rows.select(
         "pmid", *_flat("extracted"), *_flat("original", "original_"), "confidence_score",
@@ -249,7 +252,8 @@ def upsert_notes(spark, sf):
     waiting = fx.extractions(spark, sf).join(
         fx.abstracts(spark, sf).select("pmid", "abstract_text"), "pmid"
     )
-    rows = keyed.upsert_notes(fx.notes(spark, sf), write_notes(waiting, NOW(), "v1"))
+    batch = stored(write_notes(waiting, NOW(), "v1"), shared_dir(spark, "batch"))
+    rows = keyed.upsert_notes(fx.notes(spark, sf), batch)
     return rows.select("pmid", "summary_text", "model_version")
 
 

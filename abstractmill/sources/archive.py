@@ -42,3 +42,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="abstractmill-")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a fresh path and read it back: one evaluation, short lineage."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import publication_date
+from ..functions.plan import pin
 
 # Element names of the article format and its inline markup.
 RECORD_END = "</PubmedArticle>"
@@ -46,23 +47,16 @@ def parse_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     article = F.regexp_extract(F.col(value), RECORD_PATTERN, 0)
     closed = F.concat(F.regexp_replace(article, INLINE_PATTERN, ""), F.lit(RECORD_END))
-    citation = (
-        lines.where(F.col(value).contains("<PubmedArticle"))
-        .select(closed.alias("xml"))
-        .select(
-            F.from_xml(
-                "xml",
-                ARTICLE_XML,
-                {"rowTag": "PubmedArticle", "ignoreSurroundingSpaces": "false"},
-            )["MedlineCitation"].alias("c")
-        )
-        .where(
-            (F.col("c.PMID") != "") & F.col("c.Article").isNotNull()
-        )
+    citation = F.from_xml(
+        "xml", ARTICLE_XML, {"rowTag": "PubmedArticle", "ignoreSurroundingSpaces": "false"}
+    )["MedlineCitation"]
+    records = lines.where(F.col(value).contains("<PubmedArticle")).select(closed.alias("xml"))
+    kept = pin(records, "c", citation).where(
+        (F.col("c.PMID") != "") & F.col("c.Article").isNotNull()
     )
     a = F.col("c.Article")
     date = a["Journal"]["JournalIssue"]["PubDate"]
-    return citation.select(
+    return kept.select(
         F.col("c.PMID").alias("pmid"),
         _blank(a["ArticleTitle"]).alias("title"),
         F.array_join(
