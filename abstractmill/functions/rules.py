@@ -18,8 +18,10 @@ MIN_TEXT = 20
 
 
 def stage_code(text: Column) -> Column:
-    """First TNM code, ``''`` without one."""
-    return F.regexp_extract(text, TNM_PATTERN, 1)
+    """First TNM code, ``''`` without one; the pattern runs only where it can match."""
+    return F.when(
+        contains_any(text, ["M0", "M1"]), F.regexp_extract(text, TNM_PATTERN, 1)
+    ).otherwise("")
 
 
 def worded_stage(text: Column, lowered: Column) -> Column:

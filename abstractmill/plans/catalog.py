@@ -86,7 +86,7 @@ def parse_raw(spark, sf):
 
 @query
 def normalize_text(spark, sf):
-    return fx.table(spark, sf, "pages").select(
+    return fx.table(spark, sf, "pages", heavy=True).select(
         "page_id", normalize(F.col("html")).alias("clean_text")
     )
 
@@ -123,7 +123,7 @@ def archive_readback(spark, sf):
 
 @query
 def rule_extract(spark, sf):
-    return with_rules(fx.abstracts(spark, sf)).select("pmid", *_flat("extracted"))
+    return with_rules(fx.abstracts(spark, sf, heavy=True)).select("pmid", *_flat("extracted"))
 
 
 @query
@@ -138,7 +138,7 @@ def extraction_confidence(spark, sf):
 
 @query
 def extraction_rows(spark, sf):
-    rows = extract(fx.abstracts(spark, sf), NOW())
+    rows = extract(fx.abstracts(spark, sf, heavy=True), NOW())
     return rows.select("pmid", *_flat("original"), "confidence_score", "model_version")
 
 
@@ -173,7 +173,7 @@ def make_stub_predictor():
 @query
 def batch_inference(spark, sf):
     rows = extract(
-        fx.abstracts(spark, sf), NOW(), make_predictor=make_stub_predictor, model_version="stub"
+        fx.abstracts(spark, sf, heavy=True), NOW(), make_predictor=make_stub_predictor, model_version="stub"
     )
     return rows.select("pmid", *_flat("extracted"), "confidence_score", "model_version")
 
@@ -187,7 +187,7 @@ def key_findings(spark, sf):
 
 @query
 def notes(spark, sf):
-    rows = write_notes(with_rules(fx.abstracts(spark, sf)), NOW())
+    rows = write_notes(with_rules(fx.abstracts(spark, sf, heavy=True)), NOW())
     return rows.select("pmid", "summary_text", "model_version")
 
 
@@ -237,7 +237,7 @@ def cascade_delete(spark, sf):
 @query
 def upsert_extractions(spark, sf):
     batch = stored(
-        extract(fx.page_abstracts(spark, sf), NOW(), model_version="v1"),
+        extract(fx.page_abstracts(spark, sf, heavy=True), NOW(), model_version="v1"),
         shared_dir(spark, "batch"),
     )
     rows = keyed.upsert_extractions(fx.extractions(spark, sf), batch)
@@ -452,7 +452,7 @@ def stg_abstracts(spark, sf):
 
 @query
 def abstract_flags(spark, sf):
-    rows = models.flagged(models.staged(fx.abstracts(spark, sf)))
+    rows = models.flagged(models.staged(fx.abstracts(spark, sf, heavy=True)))
     return rows.select("abstract_id", "cancer_type", *models.FLAG_TERMS)
 
 
@@ -461,7 +461,7 @@ def _year_first(mart: DataFrame) -> DataFrame:
 
 
 def _base(spark, sf) -> DataFrame:
-    return models.study_base(models.flagged(models.staged(fx.abstracts(spark, sf))))
+    return models.study_base(models.flagged(models.staged(fx.abstracts(spark, sf, heavy=True))))
 
 
 @query

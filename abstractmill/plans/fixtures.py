@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.review import edited_record
+from ..sources.tables import spread
 
 SENTENCES = [
     "This study enrolled 245 patients with Stage III nasopharyngeal carcinoma (T2N1M0). "
@@ -56,8 +57,10 @@ MODEL_OUTPUTS = [
 STAMP = "2024-06-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """One of the given tables, spread over the cores for ``heavy`` work on its texts."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if heavy else df
 
 
 def _pick(values, index):
@@ -86,22 +89,22 @@ def _clinical(df: DataFrame, key: str, text: str, title, journal) -> DataFrame:
     )
 
 
-def abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def abstracts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Cleaned-abstract rows of every document."""
+    documents = table(spark, sf_dir, "documents", heavy)
     title = F.concat(F.lit("Study "), F.col("doc_id").cast("string"), F.lit(" of "), "lang")
-    return _clinical(table(spark, sf_dir, "documents"), "doc_id", "text", title, F.col("source"))
+    return _clinical(documents, "doc_id", "text", title, F.col("source"))
 
 
-def page_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_abstracts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Cleaned-abstract rows of every web page: the batch that meets older rows."""
-    return _clinical(
-        table(spark, sf_dir, "pages"), "page_id", "html", F.col("url"), F.lit("web")
-    )
+    pages = table(spark, sf_dir, "pages", heavy)
+    return _clinical(pages, "page_id", "html", F.col("url"), F.lit("web"))
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON rows of every document, with markup, an entity and some invalid dates."""
-    rows = abstracts(spark, sf_dir)
+    rows = abstracts(spark, sf_dir, heavy=True)
     bad_date = F.col("pmid").cast("bigint") % 19 == 0
     payload = F.struct(
         "pmid",
@@ -242,7 +245,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Abstracts with one of sixteen kinds of model output each."""
-    return abstracts(spark, sf_dir).select(
+    return abstracts(spark, sf_dir, heavy=True).select(
         "pmid",
         "abstract_text",
         _pick(MODEL_OUTPUTS, F.col("pmid").cast("bigint") % 16).alias("raw_output"),
