@@ -28,16 +28,27 @@ def first_per_key(batch: DataFrame, order_by: Iterable[str], key: str = KEY) ->
     An aggregate, not a ranking window: copies of a hot key are reduced in each map
     task, so one key's share of the rows never lands in one task.
     """
-    row = F.struct(*batch.columns)
+    return _one_per_key(batch, F.min_by, order_by, key)
+
+
+def last_per_key(batch: DataFrame, order_by: Iterable[str], key: str = KEY) -> DataFrame:
+    """Latest row of each key, for a batch that updates a key more than once."""
+    return _one_per_key(batch, F.max_by, order_by, key)
+
+
+def _one_per_key(batch: DataFrame, pick, order_by: Iterable[str], key: str) -> DataFrame:
+    chosen = pick(F.struct(*batch.columns), F.struct(*order_by))
     return (
-        batch.groupBy(F.col(key).alias("__key"))
-        .agg(F.min_by(row, F.struct(*order_by)).alias("__row"))
-        .select("__row.*")
+        batch.groupBy(F.col(key).alias("__key")).agg(chosen.alias("__row")).select("__row.*")
     )
 
 
 def new_keys(candidates: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:
-    """Candidate rows whose key the existing table lacks."""
+    """Candidate rows whose key the existing table lacks.
+
+    ``existing`` is a table with unique keys; ``candidates`` may repeat keys, and a hot
+    one is the side that adaptive execution splits.
+    """
     return candidates.join(existing.select(key), key, "left_anti")
 
 
@@ -64,8 +75,12 @@ def insert_if_absent(
 
 
 def delete_keys(target: DataFrame, keys: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows whose key is not among ``keys``; used for the cascade to child tables."""
-    return target.join(keys.select(key), key, "left_anti")
+    """Rows whose key is not among ``keys``; used for the cascade to child tables.
+
+    The keys are made distinct first: map tasks drop repeats before the shuffle, which
+    the join then needs no second time.
+    """
+    return target.join(keys.select(key).distinct(), key, "left_anti")
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
@@ -85,8 +100,8 @@ def upsert(
 
     On an update batch columns overwrite, columns in ``first_wins`` keep a non-null
     target value, and target columns the batch lacks stay as they are; an insert takes
-    those from ``defaults``. Keys of ``batch`` must be unique, and two branches read it:
-    hand in a stored table where it is costly to compute.
+    those from ``defaults``. Keys of ``batch`` must be unique (see ``last_per_key``), and
+    two branches read it: hand in a stored table where it is costly to compute.
 
     A left join for the updates plus an anti join for the inserts, rather than one
     full outer join: a small batch is then broadcast and the target is not shuffled.

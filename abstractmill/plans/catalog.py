@@ -259,14 +259,14 @@ def upsert_notes(spark, sf):
 
 @query
 def reset_outputs(spark, sf):
-    emptied = [
-        keyed.reset(fx.notes(spark, sf)).select("pmid"),
-        keyed.reset(fx.extractions(spark, sf)).select("pmid"),
-    ]
-    left = emptied[0].unionByName(emptied[1]).agg(F.count(F.lit(1)).alias("rows_left"))
-    return left.crossJoin(
-        fx.extractions(spark, sf).agg(F.count(F.lit(1)).alias("rows_before"))
-    )
+    def counted(df: DataFrame, state: str) -> DataFrame:
+        return df.select(F.lit(state).alias("state"))
+
+    tables = [fx.notes(spark, sf), fx.extractions(spark, sf)]
+    rows = [counted(t, "before") for t in tables]
+    rows += [counted(keyed.reset(t), "after") for t in tables]
+    n = lambda state: F.count_if(F.col("state") == state).alias(f"rows_{state}")
+    return quality.report(*rows).agg(n("before"), n("after"))
 
 
 @query
@@ -510,7 +510,8 @@ def dq_report(spark, sf):
             ["publication_year", "cancer_type"],
         ),
         quality.check_table(
-            fx.turn_batch(spark, sf), "turn_batch", ["pmid"], "pmid", {"pmid": ["0", "1"]}
+            fx.table(spark, sf, "conversations"), "conversations", ["conv_id", "text"],
+            "conv_id", {"role": ["user", "assistant"]},
         ),
     )
 

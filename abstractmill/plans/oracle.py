@@ -501,7 +501,8 @@ select coalesce(n.pmid, f.pmid) as pmid, coalesce(f.summary_text, n.summary_text
          as summary_text, case when f.pmid is null then 'v0' else 'v1' end as model_version
 from notes n full join fresh f on n.pmid = f.pmid""")
     q["reset_outputs"] = """
-select cast(0 as bigint) as rows_left, (select count(*) from labels) as rows_before"""
+select cast(0 as bigint) as rows_after,
+       (select count(*) from labels) + (select count(*) from pages) as rows_before"""
     q["backfill_original"] = _with(EXTRACTIONS, select="select pmid, " + ", ".join(
         f"case when has_original then {old_orig[f]} else {old_rec[f]} end as original_{f}"
         for f in RECORD) + " from extractions")
@@ -644,10 +645,11 @@ union all select 'mart_treatment_outcomes', count(*) from (
             "'Nasopharyngeal Carcinoma', 'Lung Cancer', 'Breast Cancer', 'Other/Unspecified'))"),
         *[_dq(m, "not_null", c, "0") for m in ("mart_cancer_studies", "mart_treatment_outcomes")
           for c in ("publication_year", "cancer_type")],
-        _dq("turn_batch", "not_null", "pmid", _nulls("conversations", "conv_id")),
-        _dq("turn_batch", "accepted_values", "pmid",
-            "(select count(*) from conversations where conv_id not in (0, 1))"),
-        _dq("turn_batch", "unique", "pmid", _dups("conversations", "conv_id")),
+        _dq("conversations", "not_null", "conv_id", _nulls("conversations", "conv_id")),
+        _dq("conversations", "not_null", "text", _nulls("conversations", "text")),
+        _dq("conversations", "accepted_values", "role",
+            "(select count(*) from conversations where role not in ('user', 'assistant'))"),
+        _dq("conversations", "unique", "conv_id", _dups("conversations", "conv_id")),
     ]))
     q["dq_foreign_keys"] = " union all ".join([
         _orphans("extractions", "labels", "doc_id", "documents", "doc_id"),

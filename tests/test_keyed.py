@@ -37,6 +37,11 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert first.where("pmid = 'hot'").first().seq == 0
 
 
+def test_last_per_key(spark):
+    batch = _kv(spark, [("1", "a", 1), ("1", "b", 3), ("1", "c", 2)], "pmid string, v string, s int")
+    assert _set(keyed.last_per_key(batch, ["s"])) == [("1", "b", 3)]
+
+
 def test_null_key_fails(spark):
     target = _kv(spark, [("1", "old")])
     with pytest.raises(Exception, match="null pmid"):
