@@ -37,10 +37,11 @@ def last_per_key(batch: DataFrame, order_by: Iterable[str], key: str = KEY) -> D
 
 
 def _one_per_key(batch: DataFrame, pick, order_by: Iterable[str], key: str) -> DataFrame:
-    chosen = pick(F.struct(*batch.columns), F.struct(*order_by))
-    return (
-        batch.groupBy(F.col(key).alias("__key")).agg(chosen.alias("__row")).select("__row.*")
-    )
+    # The key stays a grouping column, so a join on it reuses the aggregate's shuffle.
+    rest = [c for c in batch.columns if c != key]
+    chosen = pick(F.struct(*rest), F.struct(*order_by)).alias("__row")
+    picked = [F.col(key) if c == key else F.col("__row")[c].alias(c) for c in batch.columns]
+    return batch.groupBy(key).agg(chosen).select(*picked)
 
 
 def new_keys(candidates: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:

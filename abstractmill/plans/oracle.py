@@ -349,8 +349,10 @@ from (select count(*) filter (g_sample_size is not null) as n,
                and abs(o_sample_size - g_sample_size) <= greatest(0.1 * g_sample_size, 1))
                as correct from scored)"""
 
-_DECODED = ("replace(replace(replace(replace(html, '&quot;', '\"'), '&copy;', chr(169)), "
-            "'&middot;', chr(183)), '&amp;', '&')")
+_DECODED = "html"
+for _name, _char in (("quot", "'\"'"), ("copy", "chr(169)"), ("middot", "chr(183)"), ("amp", "'&'")):
+    # These names also count without their semicolon; the ampersand comes last.
+    _DECODED = f"regexp_replace({_DECODED}, '&{_name};?', {_char}, 'g')"
 
 _CLEANED = f"""select pmid, title, {_collapse("'<p>' || abstract_text || ' & more</p>'")}
          as abstract_text, authors,

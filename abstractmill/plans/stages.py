@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.cleaning import clean_abstracts
 from ..operators.extraction import RULES_VERSION, extract, needs_notes, unprocessed, write_notes
 from ..operators.inference import PredictorFactory
-from ..operators.keyed import absent_rows, delete_keys, new_keys
+from ..operators.keyed import absent_rows, delete_keys, new_keys, reset
 from ..schemas import CLEANED, EXTRACTIONS, NOTES, RAW, conform
 from ..sources.archive import write_archive
 from ..sources.tables import empty_table, read_table
@@ -71,6 +71,11 @@ class Run:
         self.tables["cleaned"] = self.tables["cleaned"].unionByName(stored)
         return self.tables["cleaned"]
 
+    def reset(self) -> None:
+        """Forget all notes and extractions, reviewed ones too, so that all are redone."""
+        for name in ("notes", "extractions"):
+            self.tables[name] = reset(self.tables[name])
+
     def extract(
         self,
         make_predictor: PredictorFactory | None = None,
@@ -146,12 +151,18 @@ def full_run(
     make_predictor: PredictorFactory | None = None,
     model_version: str = RULES_VERSION,
     only_new: bool = False,
+    reset_first: bool = False,
 ) -> Run:
-    """All stages. Archive and cleaning both start from the raw table."""
+    """All stages. Archive and cleaning both start from the raw table.
+
+    ``reset_first`` redoes every extraction and note, also where cleaning kept them.
+    """
     run = Run(spark, out, now, current)
     run.ingest(incoming, order_by)
     run.archive(archive_path, archive_date)
     run.clean(only_new)
+    if reset_first:
+        run.reset()
     run.extract(make_predictor, model_version)
     run.notes()
     return run

@@ -11,18 +11,17 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Dates and archive folders must not depend on where a job runs.
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Rows of long text: keep the batches sent to Python workers small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
 def get_session(app_name: str = "abstractmill", **overrides: str) -> SparkSession:
-    """Return the active session or build one; ``overrides`` use ``_`` for ``.``-free keys.
+    """Return the active session or build one.
 
-    ``overrides`` is passed as a plain mapping, e.g.
-    ``get_session(**{"spark.sql.shuffle.partitions": "4000"})``. The master is left
-    to ``spark-submit``.
+    Settings are passed as a mapping, for instance
+    ``get_session(**{"spark.sql.shuffle.partitions": "4000"})``. The master is left to
+    ``spark-submit``.
     """
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**DEFAULTS, **overrides}.items():

@@ -37,6 +37,21 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert first.where("pmid = 'hot'").first().seq == 0
 
 
+def test_insert_shuffles_the_batch_once(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) pmid", "'x' v", "id s").write.parquet(
+        str(tmp_path / "b")
+    )
+    batch = spark.read.parquet(str(tmp_path / "b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = keyed.absent_rows(batch.drop("s"), batch, ["s"])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("hashpartitioning") == 2  # the batch and the known keys
+
+
 def test_last_per_key(spark):
     batch = _kv(spark, [("1", "a", 1), ("1", "b", 3), ("1", "c", 2)], "pmid string, v string, s int")
     assert _set(keyed.last_per_key(batch, ["s"])) == [("1", "b", 3)]

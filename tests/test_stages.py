@@ -63,6 +63,19 @@ def test_only_new_keeps_edits(spark):
     assert again.tables["notes"].count() == 2
 
 
+def test_reset_redoes_everything(spark):
+    first = _run(spark, _raw(spark, [("1", "a", LONG)]))
+    again = _run(
+        spark, _raw(spark, [("2", "b", LONG)]), first.tables, only_new=True, reset_first=True
+    )
+    assert (again.counts["cleaned"], again.counts["extracted"], again.counts["noted"]) == (1, 2, 2)
+    assert again.tables["extractions"].count() == 2 and again.tables["notes"].count() == 2
+
+
+def test_stored_tables_go_to_the_shared_folder(spark):
+    assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_nothing_to_do(spark):
     run = _run(spark, _raw(spark, [("1", "a", "x")]).limit(0))
     assert set(run.counts.values()) == {0} and run.tables["notes"].count() == 0
