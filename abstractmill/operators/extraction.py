@@ -50,42 +50,61 @@ def extract(
     extracted_at: Column | None = None,
     make_predictor: PredictorFactory | None = None,
     model_version: str = RULES_VERSION,
+    with_note: bool = False,
 ) -> DataFrame:
-    """Extraction rows for every abstract: record, snapshot, score, version, time."""
+    """Extraction rows for every abstract: record, snapshot, score, version, time.
+
+    ``with_note`` adds ``summary_text`` while the text is at hand, which saves the join
+    of records and texts that writing notes later takes.
+    """
     stamp = F.current_timestamp() if extracted_at is None else extracted_at
     source = abstracts.select("pmid", "abstract_text")
     if make_predictor is None:
         read = with_rules(source)
     else:
         read = with_model(with_model_output(source, make_predictor), "model_output")
-    return read.select("pmid", "extracted").select(
+    note = note_text(F.col("extracted"), F.col("abstract_text")).alias("summary_text")
+    return read.select(
         "pmid",
         "extracted",
         F.col("extracted").alias("original"),
         confidence(F.col("extracted")).alias("confidence_score"),
         F.lit(model_version).alias("model_version"),
         stamp.cast("timestamp").alias("extracted_at"),
+        *([note] if with_note else []),
     )
 
 
+def with_texts(waiting: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Records with their text."""
+    return waiting.join(cleaned.select("pmid", "abstract_text"), "pmid")
+
+
 def needs_notes(extractions: DataFrame, cleaned: DataFrame, notes: DataFrame) -> DataFrame:
     """Extractions without a note, with their text.
 
     The anti join comes first: both of its sides are narrow, and it leaves fewer keys
     for the join that carries the texts.
     """
-    waiting = new_keys(extractions.select("pmid", "extracted"), notes)
-    return waiting.join(cleaned.select("pmid", "abstract_text"), "pmid")
+    return with_texts(new_keys(extractions.select("pmid", "extracted"), notes), cleaned)
 
 
-def write_notes(
-    waiting: DataFrame, generated_at: Column | None = None, version: str = NOTES_VERSION
+def note_rows(
+    noted: DataFrame, generated_at: Column | None = None, version: str = NOTES_VERSION
 ) -> DataFrame:
-    """Note rows for records with their text."""
+    """Note rows from ``pmid`` and ``summary_text``."""
     stamp = F.current_timestamp() if generated_at is None else generated_at
-    return waiting.select(
+    return noted.select(
         "pmid",
-        note_text(F.col("extracted"), F.col("abstract_text")).alias("summary_text"),
+        "summary_text",
         F.lit(version).alias("model_version"),
         stamp.cast("timestamp").alias("generated_at"),
     )
+
+
+def write_notes(
+    waiting: DataFrame, generated_at: Column | None = None, version: str = NOTES_VERSION
+) -> DataFrame:
+    """Note rows for records with their text."""
+    text = note_text(F.col("extracted"), F.col("abstract_text")).alias("summary_text")
+    return note_rows(waiting.select("pmid", text), generated_at, version)

@@ -6,21 +6,28 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean_abstracts
-from ..operators.extraction import RULES_VERSION, extract, needs_notes, unprocessed, write_notes
+from ..operators.extraction import RULES_VERSION, extract, note_rows, with_texts, write_notes
 from ..operators.inference import PredictorFactory
 from ..operators.keyed import absent_rows, delete_keys, new_keys, reset
-from ..schemas import CLEANED, EXTRACTIONS, NOTES, RAW, conform
-from ..sources.archive import write_archive
+from ..schemas import CLEANED, NOTES, RAW, conform
+from ..sources.archive import stored, write_archive
 from ..sources.tables import empty_table, read_table
 
 
 class Run:
     """One run over the four tables, writing each table's next state under ``out``.
 
+    ``current`` holds the tables the last complete run left; an incomplete run is repeated
+    from the same ones. Each stage is called at most once, in the order of ``full_run``.
+
     Every stage reads stored tables and writes one, so a lost executor only repeats
     tasks of the current stage, and no stage is computed twice. A table's folder holds
     ``part=kept`` (old rows that survive) and ``part=new``. Row counts are observed
     while writing; ``counts`` maps stage to rows.
+
+    Texts are read twice: once raw, to clean them, and once cleaned, for the record and
+    its note. Joins that decide what is left to do carry keys; their result is stored,
+    so the optimizer knows its size before it plans the join that fetches the texts.
     """
 
     def __init__(
@@ -39,12 +46,19 @@ class Run:
             name: empty_table(spark, name) for name in ("raw", "cleaned", "extractions", "notes")
         }
         self.tables.update(current or {})
+        self._ingested = empty_table(spark, "raw")
+        # Abstracts known to have no extraction, and those that must be looked up.
+        self._due = empty_table(spark, "cleaned")
+        self._unsure = self.tables["cleaned"]
+        # Extractions that may lack a note and do not bring its text along.
+        self._noteless = self.tables["extractions"]
 
     def ingest(self, incoming: DataFrame, order_by: list[str]) -> DataFrame:
         """Add raw rows with unknown keys. Old raw rows are neither read wide nor rewritten."""
         added = absent_rows(self.tables["raw"], incoming, order_by)
         self._write("raw", "new", conform(added, RAW), "ingested")
-        self.tables["raw"] = self.tables["raw"].unionByName(self._read("raw", "new"))
+        self._ingested = self._read("raw", "new")
+        self.tables["raw"] = self.tables["raw"].unionByName(self._ingested)
         return self.tables["raw"]
 
     def archive(self, path: str, date: str) -> None:
@@ -55,26 +69,27 @@ class Run:
         """Clean the raw table and replace by key, with the cascade to both child tables.
 
         By default every raw row is cleaned again, which also deletes the extractions,
-        human edits and notes of all cleaned keys. ``only_new`` cleans keys that are not
-        in the cleaned table yet; nothing is deleted then, and no old row is rewritten.
+        human edits and notes of all cleaned keys. ``only_new`` cleans what this run has
+        ingested; nothing is deleted then, and no old row is read or rewritten.
         """
-        raw = self.tables["raw"]
-        if only_new:
-            raw = new_keys(raw, self.tables["cleaned"])
+        raw = self._ingested if only_new else self.tables["raw"]
         batch = clean_abstracts(self._observed(raw, "raw"), self.now)
         self._write("cleaned", "new", conform(batch, CLEANED), "cleaned")
-        stored = self._read("cleaned", "new")
+        fresh = self._read("cleaned", "new")
         if not only_new:
             for name in ("notes", "extractions", "cleaned"):
-                self._write(name, "kept", delete_keys(self.tables[name], stored))
+                self._write(name, "kept", delete_keys(self.tables[name], fresh))
                 self.tables[name] = self._read(name, "kept")
-        self.tables["cleaned"] = self.tables["cleaned"].unionByName(stored)
+        # Extractions refer to cleaned rows, so a key cleaned just now cannot have one.
+        self._due, self._unsure = fresh, self.tables["cleaned"]
+        self.tables["cleaned"] = self.tables["cleaned"].unionByName(fresh)
         return self.tables["cleaned"]
 
     def reset(self) -> None:
         """Forget all notes and extractions, reviewed ones too, so that all are redone."""
         for name in ("notes", "extractions"):
             self.tables[name] = reset(self.tables[name])
+        self._due, self._unsure = self.tables["cleaned"], empty_table(self.spark, "cleaned")
 
     def extract(
         self,
@@ -82,28 +97,40 @@ class Run:
         model_version: str = RULES_VERSION,
     ) -> DataFrame:
         """Extract every abstract that has no extraction. All keys are new: an append."""
-        todo = unprocessed(self.tables["cleaned"], self.tables["extractions"])
-        batch = extract(todo, self.now, make_predictor, model_version).withColumns(
-            {"human_verified": F.lit(False), "reviewer_notes": F.lit(None)}
+        self._noteless = self.tables["extractions"]
+        missing = new_keys(self._unsure.select("pmid"), self.tables["extractions"])
+        missing = stored(missing, f"{self.out}/todo/extract")
+        todo = self._due.unionByName(self._unsure.join(missing, "pmid", "left_semi"))
+        batch = extract(todo, self.now, make_predictor, model_version, with_note=True)
+        batch = batch.withColumns(
+            {"human_verified": F.lit(False), "reviewer_notes": F.lit(None).cast("string")}
         )
-        return self._append("extractions", conform(batch, EXTRACTIONS), "extracted")
+        self._write("extractions", "new", batch, "extracted")
+        self._due, self._unsure = empty_table(self.spark, "cleaned"), self.tables["cleaned"]
+        new = self._read("extractions", "new")
+        self.tables["extractions"] = self.tables["extractions"].unionByName(new)
+        return self.tables["extractions"]
 
     def notes(self) -> DataFrame:
-        """Write a note for every extraction without one."""
-        waiting = needs_notes(
-            self.tables["extractions"], self.tables["cleaned"], self.tables["notes"]
-        )
-        return self._append("notes", conform(write_notes(waiting, self.now), NOTES), "noted")
+        """Write a note for every extraction without one.
+
+        Extractions of this run bring their note text along; older ones fetch the text.
+        """
+        older = new_keys(self._noteless.select("pmid", "extracted"), self.tables["notes"])
+        older = stored(older, f"{self.out}/todo/notes")
+        batch = write_notes(with_texts(older, self.tables["cleaned"]), self.now)
+        if self._noteless is not self.tables["extractions"]:
+            ready = self.spark.read.parquet(f"{self.out}/extractions/part=new")
+            ready = new_keys(ready.select("pmid", "summary_text"), self.tables["notes"])
+            batch = batch.unionByName(note_rows(ready, self.now))
+        self._write("notes", "new", conform(batch, NOTES), "noted")
+        self.tables["notes"] = self.tables["notes"].unionByName(self._read("notes", "new"))
+        return self.tables["notes"]
 
     def counters(self) -> DataFrame:
         """Counts as a table of one row per stage."""
         return self.spark.createDataFrame(list(self.counts.items()), "stage string, n bigint")
 
-    def _append(self, name: str, batch: DataFrame, stage: str) -> DataFrame:
-        self._write(name, "new", batch, stage)
-        self.tables[name] = self.tables[name].unionByName(self._read(name, "new"))
-        return self.tables[name]
-
     def _read(self, name: str, part: str) -> DataFrame:
         return read_table(self.spark, name, f"{self.out}/{name}/part={part}")
 

@@ -63,6 +63,22 @@ def test_only_new_keeps_edits(spark):
     assert again.tables["notes"].count() == 2
 
 
+def test_older_rows_without_extraction_or_note_are_caught_up(spark):
+    rows = [(str(i), "t", LONG + "x" * i) for i in range(6)]
+    first = _run(spark, _raw(spark, rows))
+    gaps = dict(first.tables)
+    gaps["extractions"] = gaps["extractions"].where("pmid not in ('1', '2')")
+    gaps["notes"] = gaps["notes"].where("pmid not in ('2', '3')")
+    again = _run(spark, _raw(spark, [("9", "t", LONG)]), gaps, only_new=True)
+    assert again.counts["extracted"] == 3  # 1, 2 and the new 9
+    assert again.counts["noted"] == 3  # 2, 3 and the new 9; the note of 1 was there
+    for name in ("extractions", "notes"):
+        keys = [r.pmid for r in again.tables[name].collect()]
+        assert sorted(keys) == ["0", "1", "2", "3", "4", "5", "9"]
+    texts = {r.pmid: r.summary_text for r in again.tables["notes"].collect()}
+    assert texts["2"] == texts["3"] == texts["9"]
+
+
 def test_reset_redoes_everything(spark):
     first = _run(spark, _raw(spark, [("1", "a", LONG)]))
     again = _run(
