@@ -17,24 +17,35 @@ def _list_or(record: Column, field: str, default: str) -> Column:
     return F.when(present(record, field), F.array_join(record[field], ", ")).otherwise(default)
 
 
+# The wording of notes, with the record's parts in between.
+SIZED = ("This study examined ", " patients with ", " ", ", treated with ", ".")
+UNSIZED = ("This study investigated ", " (", "), with treatment involving ", ".")
+MARKERS = ("Biomarkers assessed: ", ".")
+FINDING = ("Key finding: ", ".")
+NO_CANCER, NO_STAGE = "oncology condition", "unspecified stage"
+NO_TREATMENT, NO_MARKERS = "unspecified treatment", "none reported"
+
+
+def _filled(wording: tuple[str, ...], *parts: Column) -> Column:
+    """The wording with ``parts`` between its pieces; null if a part is null."""
+    pieces = [F.lit(wording[0])]
+    for part, text in zip(parts, wording[1:], strict=True):
+        pieces += [part, F.lit(text)]
+    return F.concat(*pieces)
+
+
 def note_text(record: Column, text: Column) -> Column:
     """Two or three sentences on a record: cohort, biomarkers, key finding."""
-    cancer = _text_or(record, "cancer_type", "oncology condition")
-    stage = _text_or(record, "tnm_stage", "unspecified stage")
-    treatment = _list_or(record, "treatment_modality", "unspecified treatment")
-    biomarkers = _list_or(record, "biomarkers", "none reported")
-    sized = F.concat(
-        F.lit("This study examined "), record["sample_size"].cast("string"),
-        F.lit(" patients with "), stage, F.lit(" "), cancer,
-        F.lit(", treated with "), treatment, F.lit("."),
-    )
-    unsized = F.concat(
-        F.lit("This study investigated "), cancer, F.lit(" ("), stage,
-        F.lit("), with treatment involving "), treatment, F.lit("."),
-    )
+    cancer = _text_or(record, "cancer_type", NO_CANCER)
+    stage = _text_or(record, "tnm_stage", NO_STAGE)
+    treatment = _list_or(record, "treatment_modality", NO_TREATMENT)
+    biomarkers = _list_or(record, "biomarkers", NO_MARKERS)
+    size = record["sample_size"].cast("string")
     return F.concat_ws(
         " ",
-        F.when(present(record, "sample_size"), sized).otherwise(unsized),
-        F.concat(F.lit("Biomarkers assessed: "), biomarkers, F.lit(".")),
-        F.concat(F.lit("Key finding: "), last_sentence(text), F.lit(".")),
+        F.when(
+            present(record, "sample_size"), _filled(SIZED, size, stage, cancer, treatment)
+        ).otherwise(_filled(UNSIZED, cancer, stage, treatment)),
+        _filled(MARKERS, biomarkers),
+        _filled(FINDING, last_sentence(text)),
     )

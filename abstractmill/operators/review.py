@@ -126,14 +126,16 @@ def dashboard_stats(extractions: DataFrame) -> DataFrame:
     )
 
 
+# Lowest score and name of each band, from the top.
+BANDS = ((0.8, "High (0.8-1.0)"), (0.4, "Medium (0.4-0.8)"))
+LOWEST_BAND = "Low (0.0-0.4)"
+
+
 def confidence_bands(extractions: DataFrame) -> DataFrame:
     """Number of extractions per score band; an unknown score counts as low."""
-    score = F.col("confidence_score")
-    band = (
-        F.when(score >= 0.8, "High (0.8-1.0)")
-        .when(score >= 0.4, "Medium (0.4-0.8)")
-        .otherwise("Low (0.0-0.4)")
-    )
+    band = F.lit(LOWEST_BAND)
+    for floor, label in reversed(BANDS):
+        band = F.when(F.col("confidence_score") >= floor, label).otherwise(band)
     return (
         extractions.groupBy(band.alias("confidence_band"))
         .agg(F.count(F.lit(1)).alias("n"))

@@ -22,8 +22,9 @@ class Run:
 
     Every stage reads stored tables and writes one, so a lost executor only repeats
     tasks of the current stage, and no stage is computed twice. A table's folder holds
-    ``part=kept`` (old rows that survive) and ``part=new``. Row counts are observed
-    while writing; ``counts`` maps stage to rows.
+    ``part=kept`` (old rows that survive) and ``part=new``. Rows are counted by the tasks
+    that write them, which a repeated task does not count twice; ``counts`` maps stage to
+    rows.
 
     Texts are read twice: once raw, to clean them, and once cleaned, for the record and
     its note. Joins that decide what is left to do carry keys; their result is stored,
