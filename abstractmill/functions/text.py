@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 # The characters Unicode counts as white space, as a regex class that
 # reads the same in Java and RE2, and as the list that ``btrim`` takes.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+# The same class, faster, in a form only Java reads.
+WS_RUN = r"(?U)[\s\x{1c}-\x{1f}]+"
 WS_CHARS = "".join(
     map(
         chr,
@@ -45,13 +47,18 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WS_CHARS))
 
 
+def squeeze(text: Column) -> Column:
+    """Drop tags and collapse white space to single blanks."""
+    untagged = F.when(text.contains("<"), F.regexp_replace(text, "<[^>]+>", "")).otherwise(text)
+    return F.trim(F.regexp_replace(untagged, WS_RUN, " "))
+
+
 def normalize(text: Column) -> Column:
     """Decode entities, drop tags, collapse white space; null becomes ``''``.
 
     Entities are decoded first, so an escaped ``&lt;...&gt;`` is dropped as a tag too.
     """
-    untagged = F.regexp_replace(decode_entities(F.coalesce(text, F.lit(""))), "<[^>]+>", "")
-    return F.trim(F.regexp_replace(untagged, WS + "+", " "))
+    return squeeze(decode_entities(F.coalesce(text, F.lit(""))))
 
 
 def contains_any(text: Column, terms: list[str]) -> Column:

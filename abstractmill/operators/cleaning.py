@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize
+from ..functions.plan import pin
+from ..functions.text import decode_entities, squeeze
 from ..schemas import PAYLOAD
 
 MIN_ABSTRACT = 10
@@ -20,19 +21,27 @@ def parse_payload(raw: DataFrame) -> DataFrame:
 
 
 def clean_abstracts(raw: DataFrame, cleaned_at: Column | None = None) -> DataFrame:
-    """Cleaned rows of every raw record whose abstract is longer than ten characters."""
+    """Cleaned rows of every raw record whose abstract is longer than ten characters.
+
+    Entities of all three texts are decoded in one Python step, everything else is
+    native. The other texts are squeezed only for rows that stay.
+    """
     stamp = F.current_timestamp() if cleaned_at is None else cleaned_at
-    return (
-        parse_payload(raw)
-        .select(
-            "pmid",
-            normalize(F.col("title")).alias("title"),
-            normalize(F.col("abstract_text")).alias("abstract_text"),
-            F.coalesce("authors", F.array().cast("array<string>")).alias("authors"),
-            F.try_to_date("pub_date").alias("pub_date"),
-            F.coalesce("mesh_terms", F.array().cast("array<string>")).alias("mesh_terms"),
-            normalize(F.col("journal")).alias("journal"),
-            stamp.cast("timestamp").alias("cleaned_at"),
-        )
-        .where(F.length("abstract_text") > MIN_ABSTRACT)
+    texts = ("title", "abstract_text", "journal")
+    decoded = parse_payload(raw).withColumns(
+        {c: decode_entities(F.coalesce(c, F.lit(""))) for c in texts}
+    )
+    kept = pin(decoded, "abstract_text", squeeze(F.col("abstract_text"))).where(
+        F.length("abstract_text") > MIN_ABSTRACT
+    )
+    no_items = F.array().cast("array<string>")
+    return kept.select(
+        "pmid",
+        squeeze(F.col("title")).alias("title"),
+        "abstract_text",
+        F.coalesce("authors", no_items).alias("authors"),
+        F.try_to_date("pub_date").alias("pub_date"),
+        F.coalesce("mesh_terms", no_items).alias("mesh_terms"),
+        squeeze(F.col("journal")).alias("journal"),
+        stamp.cast("timestamp").alias("cleaned_at"),
     )

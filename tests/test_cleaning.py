@@ -43,3 +43,4 @@ def test_one_parse_and_one_python_step(spark):
     text = plan.executedPlan().toString()
     assert text.count("ArrowEvalPython") == 1
     assert text.count("from_json") == 1
+    assert text.count("regexp_replace") == 6  # tags and white space of three texts

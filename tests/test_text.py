@@ -3,9 +3,12 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from abstractmill.functions.text import (
+    WS,
     WS_CHARS,
+    WS_RUN,
     contains_any,
     csv_items,
     last_sentence,
@@ -25,6 +28,12 @@ def test_whitespace_list_is_what_str_strip_removes():
     assert set(WS_CHARS) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
 
 
+def test_white_space_patterns_match_what_str_isspace_says(spark):
+    df = spark.createDataFrame([(c,) for c in map(chr, range(1, 0x3100))], "x string")
+    got = df.select("x", F.col("x").rlike(WS).alias("a"), F.col("x").rlike(WS_RUN).alias("b"))
+    assert all(r.a == r.b == r.x.isspace() for r in got.collect())
+
+
 def test_normalize_examples(evaluate):
     got = evaluate(
         normalize,
