@@ -63,43 +63,47 @@ def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> D
     return spread(df) if heavy else df
 
 
-def _pick(values, index):
-    """The entry of a short literal list that ``index`` (from 0) points at."""
-    lists = any(isinstance(v, list) for v in values)
-    kind = "array<string>" if lists else "string"
-    items = [
-        F.array(*map(F.lit, v)).cast(kind) if lists else F.lit(v).cast(kind) for v in values
-    ]
-    return F.element_at(F.array(*items), (index + 1).cast("int"))
-
-
-def _clinical(df: DataFrame, key: str, text: str, title, journal) -> DataFrame:
-    k = F.col(key)
-    return df.select(
-        k.cast("string").alias("pmid"),
-        title.alias("title"),
-        F.concat(text, F.lit(" "), _pick(SENTENCES, k % 6)).alias("abstract_text"),
-        F.array(journal, F.lit("Roe, R")).alias("authors"),
-        F.when(
-            k % 17 != 0, F.date_add(F.lit("2015-01-01").cast("date"), (k * 37 % 3650).cast("int"))
-        ).alias("pub_date"),
-        _pick(SUBJECTS, k % 4).alias("mesh_terms"),
-        journal.alias("journal"),
-        F.lit(STAMP).cast("timestamp").alias("cleaned_at"),
+def _sql(value) -> str:
+    """A literal in Spark SQL."""
+    if value is None:
+        return "cast(null as string)"
+    if isinstance(value, list):
+        return f"cast(array({', '.join(map(_sql, value))}) as array<string>)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pick(values, index: str) -> str:
+    """SQL for the entry of a short literal list that ``index`` (from 0) points at."""
+    items = ", ".join(map(_sql, values))
+    return f"element_at(array({items}), cast({index} + 1 as int))"
+
+
+def _clinical(df: DataFrame, key: str, text: str, title: str, journal: str) -> DataFrame:
+    # One SQL text per column: a column tree built call by call takes longer than the query.
+    return df.selectExpr(
+        f"cast({key} as string) as pmid",
+        f"{title} as title",
+        f"concat({text}, ' ', {_pick(SENTENCES, f'{key} % 6')}) as abstract_text",
+        f"array({journal}, 'Roe, R') as authors",
+        f"case when {key} % 17 <> 0 then date_add(date'2015-01-01', "
+        f"cast({key} * 37 % 3650 as int)) end as pub_date",
+        f"{_pick(SUBJECTS, f'{key} % 4')} as mesh_terms",
+        f"{journal} as journal",
+        f"timestamp'{STAMP}' as cleaned_at",
     )
 
 
 def abstracts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Cleaned-abstract rows of every document."""
     documents = table(spark, sf_dir, "documents", heavy)
-    title = F.concat(F.lit("Study "), F.col("doc_id").cast("string"), F.lit(" of "), "lang")
-    return _clinical(documents, "doc_id", "text", title, F.col("source"))
+    title = "concat('Study ', cast(doc_id as string), ' of ', lang)"
+    return _clinical(documents, "doc_id", "text", title, "source")
 
 
 def page_abstracts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Cleaned-abstract rows of every web page: the batch that meets older rows."""
     pages = table(spark, sf_dir, "pages", heavy)
-    return _clinical(pages, "page_id", "html", F.col("url"), F.lit("web"))
+    return _clinical(pages, "page_id", "html", "url", "'web'")
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,86 +128,81 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _record(key: str):
-    k = F.col(key)
+def _record(k: str) -> dict[str, str]:
     return {
-        "tnm_stage": _pick(STAGES, k % 4),
-        "treatment_modality": _pick(TREATMENTS, k % 3),
-        "biomarkers": _pick(BIOMARKERS, k % 5 % 3),
-        "sample_size": F.when(k % 6 != 0, k % 500),
-        "cancer_type": _pick(CANCERS, k % 3),
+        "tnm_stage": _pick(STAGES, f"{k} % 4"),
+        "treatment_modality": _pick(TREATMENTS, f"{k} % 3"),
+        "biomarkers": _pick(BIOMARKERS, f"{k} % 5 % 3"),
+        "sample_size": f"case when {k} % 6 <> 0 then {k} % 500 end",
+        "cancer_type": _pick(CANCERS, f"{k} % 3"),
     }
 
 
-def _reviewed(key: str):
+def _reviewed(k: str) -> dict[str, str]:
     """The record of ``_record`` after a reviewer went over it."""
-    k, r = F.col(key), _record(key)
+    r = _record(k)
     return {
-        "tnm_stage": F.when(k % 5 == 0, "Stage II")
-        .when(k % 5 == 1, F.concat(F.lit(" "), F.lower(r["tnm_stage"])))
-        .when(k % 5 != 2, r["tnm_stage"]),
-        "treatment_modality": F.when(
-            k % 4 == 0, F.array(F.lit("Surgery"), F.lit(" radiation"))
-        ).when(k % 4 != 1, r["treatment_modality"]),
-        "biomarkers": F.when(
-            k % 3 == 0, F.array(F.lit("pd-l1"), F.lit("ebv dna"), F.lit("EBV DNA"))
-        ).otherwise(r["biomarkers"]),
-        "sample_size": F.when(k % 7 == 0, F.lit(None))
-        .when(k % 7 < 3, r["sample_size"] + k % 60)
-        .otherwise(r["sample_size"]),
-        "cancer_type": F.when(k % 4 == 1, F.upper(r["cancer_type"]))
-        .when(k % 4 == 2, "")
-        .otherwise(r["cancer_type"]),
+        "tnm_stage": f"case when {k} % 5 = 0 then 'Stage II' "
+        f"when {k} % 5 = 1 then concat(' ', lower({r['tnm_stage']})) "
+        f"when {k} % 5 <> 2 then {r['tnm_stage']} end",
+        "treatment_modality": f"case when {k} % 4 = 0 then array('Surgery', ' radiation') "
+        f"when {k} % 4 <> 1 then {r['treatment_modality']} end",
+        "biomarkers": f"case when {k} % 3 = 0 then array('pd-l1', 'ebv dna', 'EBV DNA') "
+        f"else {r['biomarkers']} end",
+        "sample_size": f"case when {k} % 7 = 0 then null "
+        f"when {k} % 7 < 3 then ({r['sample_size']}) + {k} % 60 else {r['sample_size']} end",
+        "cancer_type": f"case when {k} % 4 = 1 then upper({r['cancer_type']}) "
+        f"when {k} % 4 = 2 then '' else {r['cancer_type']} end",
     }
 
 
-def _struct(fields):
-    return F.struct(*[c.alias(n) for n, c in fields.items()])
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {sql}" for n, sql in fields.items()) + ")"
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Original and reviewed record of every document."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("pmid"),
-        _struct(_record("doc_id")).alias("original"),
-        _struct(_reviewed("doc_id")).alias("final"),
+    return table(spark, sf_dir, "documents").selectExpr(
+        "cast(doc_id as string) as pmid",
+        f"{_struct(_record('doc_id'))} as original",
+        f"{_struct(_reviewed('doc_id'))} as final",
     )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted record of every document."""
-    return pairs(spark, sf_dir).select("pmid", F.col("original").alias("record"))
+    return table(spark, sf_dir, "documents").selectExpr(
+        "cast(doc_id as string) as pmid", f"{_struct(_record('doc_id'))} as record"
+    )
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold record of every label."""
-    return table(spark, sf_dir, "labels").select(
-        F.col("doc_id").cast("string").alias("pmid"), _struct(_reviewed("doc_id")).alias("record")
+    return table(spark, sf_dir, "labels").selectExpr(
+        "cast(doc_id as string) as pmid", f"{_struct(_reviewed('doc_id'))} as record"
     )
 
 
 def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extraction state: one row per label, some without a snapshot or a score."""
-    k = F.col("doc_id")
-    return table(spark, sf_dir, "labels").select(
-        k.cast("string").alias("pmid"),
-        _struct(_reviewed("doc_id")).alias("extracted"),
-        F.when(F.col("toxic") == 0, _struct(_record("doc_id"))).alias("original"),
-        F.when(k % 10 != 0, (k % 6).cast("double") / F.lit(5.0)).alias("confidence_score"),
-        F.lit("v0").alias("model_version"),
-        F.lit(STAMP).cast("timestamp").alias("extracted_at"),
-        F.when(k % 8 != 0, F.col("quality") == 1).alias("human_verified"),
-        F.when(F.col("quality") == 1, "looks right").alias("reviewer_notes"),
+    return table(spark, sf_dir, "labels").selectExpr(
+        "cast(doc_id as string) as pmid",
+        f"{_struct(_reviewed('doc_id'))} as extracted",
+        f"case when toxic = 0 then {_struct(_record('doc_id'))} end as original",
+        "case when doc_id % 10 <> 0 then cast(doc_id % 6 as double) / 5.0D end "
+        "as confidence_score",
+        "'v0' as model_version",
+        f"timestamp'{STAMP}' as extracted_at",
+        "case when doc_id % 8 <> 0 then quality = 1 end as human_verified",
+        "case when quality = 1 then 'looks right' end as reviewer_notes",
     )
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Note state: one row per page."""
-    return table(spark, sf_dir, "pages").select(
-        F.col("page_id").cast("string").alias("pmid"),
-        F.col("url").alias("summary_text"),
-        F.lit("v0").alias("model_version"),
-        F.lit(STAMP).cast("timestamp").alias("generated_at"),
+    return table(spark, sf_dir, "pages").selectExpr(
+        "cast(page_id as string) as pmid", "url as summary_text", "'v0' as model_version",
+        f"timestamp'{STAMP}' as generated_at",
     )
 
 
@@ -235,7 +234,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("pmid"),
-        _pick(["approve", "reject", "skip"], e % 3).alias("action"),
+        F.expr(_pick(["approve", "reject", "skip"], "event_id % 3")).alias("action"),
         F.when(e % 2 == 0, edited).alias("edited"),
         F.concat(F.lit("note "), e.cast("string")).alias("notes"),
         F.col("ts").alias("decided_at"),
@@ -248,7 +247,7 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abstracts(spark, sf_dir, heavy=True).select(
         "pmid",
         "abstract_text",
-        _pick(MODEL_OUTPUTS, F.col("pmid").cast("bigint") % 16).alias("raw_output"),
+        F.expr(_pick(MODEL_OUTPUTS, "cast(pmid as bigint) % 16")).alias("raw_output"),
     )
 
 
@@ -260,8 +259,8 @@ def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         k.cast("string").alias("pmid"),
         F.when(k % 9 != 0, (k % 40 + 1985).cast("string")).alias("year"),
-        _pick(months, k % 6).alias("month"),
-        _pick(days, k % 5).alias("day"),
+        F.expr(_pick(months, "doc_id % 6")).alias("month"),
+        F.expr(_pick(days, "doc_id % 5")).alias("day"),
     )
 
 

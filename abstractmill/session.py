@@ -9,6 +9,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Without call sites for every column; collecting them dominates short queries.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Dates and archive folders must not depend on where a job runs.
     "spark.sql.session.timeZone": "UTC",
     # Rows of long text: keep the batches sent to Python workers small.
