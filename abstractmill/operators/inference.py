@@ -31,7 +31,7 @@ def _predictor_udf(make_predictor: PredictorFactory):
             try:
                 return list(predict([prompt]))[0]
             except Exception as e:
-                log.warning("no answer, rules take the row: %s", e)
+                log.debug("no answer, rules take the row: %s", e)
                 return None
 
         def many(prompts):

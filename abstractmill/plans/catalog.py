@@ -156,24 +156,30 @@ def model_output_parse(spark, sf):
     )
 
 
-def make_stub_predictor():
-    """Answers by prompt length: a record, prose, or a failure."""
+def stub_predictor():
+    """A predictor factory that answers by prompt length: a record, prose, or a failure.
 
-    def predict(prompts):
-        out = []
-        for p in prompts:
-            if len(p) % 3 == 0:
-                raise ValueError("no answer")
-            out.append("nothing" if len(p) % 3 == 1 else '{"sample_size": %d}' % len(p))
-        return out
+    The factory is a local function, so it travels to the workers by value.
+    """
 
-    return predict
+    def make():
+        def predict(prompts):
+            out = []
+            for p in prompts:
+                if len(p) % 3 == 0:
+                    raise ValueError("no answer")
+                out.append("nothing" if len(p) % 3 == 1 else '{"sample_size": %d}' % len(p))
+            return out
+
+        return predict
+
+    return make
 
 
 @query
 def batch_inference(spark, sf):
     rows = extract(
-        fx.abstracts(spark, sf, heavy=True), NOW(), make_predictor=make_stub_predictor, model_version="stub"
+        fx.abstracts(spark, sf, heavy=True), NOW(), make_predictor=stub_predictor(), model_version="stub"
     )
     return rows.select("pmid", *_flat("extracted"), "confidence_score", "model_version")
 
