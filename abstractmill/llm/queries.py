@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, containment
+from . import ann, chat_format, containment, packing, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +33,22 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.prefix_examples(rows.unionByName(control)))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document."""
+    return token_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann": op2_ann,
     "op5_decontamination": op5_decontamination,
     "op6_chat_format": op6_chat_format,
+    "op9_token_counts": op9_token_counts,
+    "op10_packing": op10_packing,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
