@@ -53,7 +53,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with at most `limit` bytes of text each, or one row."""
+    """Slices of a batch with at most `limit` bytes of text and 2 ** 16 rows each, or one row."""
     if not batch.num_rows:
         return
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -62,6 +62,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        to = min(to, at + (1 << 16))
         yield batch.slice(at, to - at)
         at = to
 
