@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, containment, jaccard, packing, rlz, token_count
+from . import ann, chat_format, containment, jaccard, packing, quality, rlz, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _id_checksum(modulus: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest rows by cosine of every row whose id is divisible by 50."""
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, dim=64)
@@ -46,6 +50,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.shingle_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document, learned from labels of those that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = _id_checksum(4) == 2
+    return quality.scores(docs, quality.fit(docs, labels, ~held_out), held_out)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -62,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_chat_format": op6_chat_format,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
 }
