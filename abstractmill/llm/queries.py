@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, containment, jaccard, packing, quality, rlz, token_count
+from . import ann, chat_format, containment, jaccard, langid, packing, quality, rlz, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,13 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, dim=64)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _id_checksum(4) == 2
+    return langid.languages(docs, langid.fit(docs, ~held_out), held_out)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the windows of 35 words that occur elsewhere."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann": op2_ann,
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_chat_format": op6_chat_format,
