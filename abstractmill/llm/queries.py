@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, containment, jaccard, langid, packing, quality, rlz, token_count
+from . import ann, chat_format, containment, jaccard, langid, lm_score, packing, quality, rlz, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def _id_checksum(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document, learned from rows that are not held out."""
+    return lm_score.document_scores(_table(spark, sf_dir, "documents"), _id_checksum(10) == 0)
+
+
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest rows by cosine of every row whose id is divisible by 50."""
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, dim=64)
@@ -75,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_ann": op2_ann,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
