@@ -92,5 +92,100 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _shingles(key: str, table: str) -> str:
+    """SQL of the distinct five-word shingles of a table's texts, as (key, s)."""
+    words = _WORDS.format(_LOWER)
+    return f"""
+        SELECT DISTINCT {key}, array_to_string(w[i : i + 4], ' ') AS s
+        FROM (
+            SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i
+            FROM (SELECT {key}, {words} AS w FROM {table})
+        )"""
+
+
+_ESCAPED = r"""regexp_replace(replace({}, '\', '\\'), '(<\|start\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|endoftext\|>)', '.\1', 'g')"""
+
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_ann": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        n AS (SELECT vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS size FROM v),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda a, b: a + b) / (q.size * c.size) AS score
+            FROM n q JOIN n c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
+    "op4_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+        words AS (SELECT doc_id, len(w) AS size, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+        windows AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY sequence) AS n
+            FROM (
+                SELECT doc_id, i, size,
+                       string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS sequence
+                FROM words
+            ) WHERE i + 34 <= size
+        ),
+        marked AS (
+            SELECT words.doc_id, words.i, word,
+                   coalesce(max(n) OVER (PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) > 1 AS gone
+            FROM words LEFT JOIN windows USING (doc_id, i)
+        )
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM marked GROUP BY doc_id
+        ) USING (doc_id)""",
+    "op5_decontamination": f"""
+        WITH a AS ({_shingles("doc_id", "documents")}), b AS ({_shingles("item_id", "benchmark")}),
+        n AS (SELECT item_id, count(*) AS item_shingles FROM b GROUP BY item_id)
+        SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles AS containment
+        FROM (SELECT doc_id, item_id, count(*) AS shared FROM a JOIN b USING (s) GROUP BY ALL) JOIN n USING (item_id)
+        WHERE 5 * shared >= 4 * item_shingles""",
+    "op6_chat_format": f"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        sized AS (
+            SELECT *, 9 + length({_ESCAPED.format("role")}) + 1 + length({_ESCAPED.format("said")}) + 8 AS size,
+                   lead(1) OVER o IS NULL AS last
+            FROM said WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, said)
+        ),
+        upto AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn, role, said ROWS UNBOUNDED PRECEDING) AS chars FROM sized)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn, role, said)) AS turns_sha256,
+               coalesce(sum(length(said)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(said, '' ORDER BY turn, role, said) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               (sum(chars) FILTER (role = 'assistant' OR last))::BIGINT AS formatted_chars
+        FROM upto GROUP BY conv_id""",
+    "op7_jaccard_join": f"""
+        WITH RECURSIVE a AS ({_shingles("doc_id", "documents")}),
+        n AS (SELECT doc_id, count(s) AS n FROM documents LEFT JOIN a USING (doc_id) GROUP BY doc_id),
+        pairs AS (
+            SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS shared
+            FROM a x JOIN a y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT u, v FROM pairs JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v
+            WHERE 100 * shared >= 80 * (p.n + q.n - shared)
+        ),
+        reach AS (
+            SELECT doc_id AS u, doc_id AS v FROM documents
+            UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+        )
+        SELECT u AS doc_id, n AS n_shingles, min(v) AS component_id FROM reach JOIN n ON n.doc_id = u GROUP BY ALL""",
+}

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -214,11 +215,14 @@ def _answers(docs: DataFrame, text: str, window: int, buckets: int | None) -> tu
     return sent.groupBy("bucket").applyInArrow(_look_up, ANSWER), buckets
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, text: str = "text", buckets: int | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = 35, text: str = "text", buckets: int | None = None, keep_layout: bool = False
+) -> DataFrame:
     """The documents with repeated spans taken out, and n_words and n_removed of each.
 
-    text becomes the kept words joined by one space. buckets: groups of the index, four
-    times the shuffle partitions if unset.
+    text becomes the kept words joined by one space; with keep_layout a text that loses
+    nothing stays as it is, white space and null too. buckets: groups of the index, four times
+    the shuffle partitions if unset.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("n_words", "n_removed")]
     rows = docs.select(*(F.col(f"`{f.name}`") for f in kept))
@@ -232,6 +236,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, text: str = "text", bucket
         removed = np.concatenate([[0], np.cumsum(covered)])[words.rows]
         columns = {name: batch.column(name) for name in batch.schema.names}
         columns[text] = _keep(words, covered).cast(pa.string())
+        if keep_layout:
+            lost = pa.array(removed[1:] > removed[:-1])
+            columns[text] = pc.if_else(lost, columns[text], batch.column(text).cast(pa.string()))
         return pa.table(columns | {"n_words": pa.array(np.diff(words.rows)), "n_removed": pa.array(np.diff(removed))})
 
     return answers.groupBy("block").applyInArrow(finish, schema)
