@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import Words, pieces, shingles, spans
+from .stored import stored
 
 N_WORDS = 5
 PAIRS = "doc_id long, item_id long, item_shingles long, shared long, containment double"
@@ -186,7 +187,7 @@ def without_items(
     """The rows of docs that hold no item, with all their columns."""
     shared = _index(docs.sparkSession, items, item_id, text, threshold, broadcast_bytes)
     if shared is None:
-        keyed = docs.withColumn("_row", F.monotonically_increasing_id())
+        keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # the same numbers for both uses
         held = contained_items(keyed, items, threshold, "_row", item_id, text, broadcast_bytes)
         return keyed.join(held.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").drop("_row")
 
