@@ -43,6 +43,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 #: Lengths that stand for the histogram when patterns of three or four are enumerated.
 PIVOTS = 5
+#: Patterns fill at least this share of a sequence; lengths in no such pattern are packed best-fit.
+TIGHT = 0.98
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id: str, text: str) -> DataFrame:
@@ -95,8 +97,8 @@ def patterns(histogram: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
     present = np.flatnonzero(histogram[: capacity + 1])
     fit = np.searchsorted(present, np.arange(capacity + 1), "right") - 1  # the longest present length that fits a gap
 
-    def longest(gap: int, most: int) -> int:
-        i = fit[min(gap, most)] if gap > 0 else -1
+    def longest(gap: int) -> int:
+        i = fit[gap] if gap > 0 else -1
         return int(present[i]) if i >= 0 else 0
 
     heavy = present[np.argsort(-histogram[present] * present, kind="stable")][:PIVOTS]
@@ -104,19 +106,20 @@ def patterns(histogram: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
     pivots = np.unique(np.concatenate([heavy, spread])).tolist()
     found: set[tuple[int, ...]] = set()
     for a in present.tolist():
-        b = longest(capacity - a, capacity)
+        b = longest(capacity - a)
         found.add((a, b) if b else (a,))
         for p in pivots:
             if p > capacity - a:
                 break
-            c = longest(capacity - a - p, capacity)
+            c = longest(capacity - a - p)
             found.add(tuple(sorted((x for x in (a, p, c) if x), reverse=True)))
             half = (capacity - a - p) // 2
-            d = longest(half, capacity)
+            d = longest(half)
             if d:
-                e = longest(capacity - a - p - d, capacity)
+                e = longest(capacity - a - p - d)
                 found.add(tuple(sorted((x for x in (a, p, d, e) if x), reverse=True)))
-    return sorted(found, reverse=True)
+    tight = {p for p in found if sum(p) >= TIGHT * capacity}
+    return sorted(tight, reverse=True)
 
 
 def fit_counts(found: list[tuple[int, ...]], histogram: np.ndarray, steps: int = 120) -> np.ndarray:
@@ -148,7 +151,15 @@ def fit_counts(found: list[tuple[int, ...]], histogram: np.ndarray, steps: int =
 
 
 def plan_runs(histogram: np.ndarray, capacity: int) -> np.ndarray:
-    """Rows (length, first rank, last rank, sequence, offset) that place every piece."""
+    """Rows (length, first rank, last rank, sequence, offset) that place every piece.
+
+    Best-fit packing alone is tried as well, and taken where it needs fewer sequences.
+    """
+    plans = [_plan(histogram, capacity, fitted) for fitted in (True, False)]
+    return min(plans, key=lambda runs: (runs[:, 3] + runs[:, 2] - runs[:, 1]).max(initial=0))
+
+
+def _plan(histogram: np.ndarray, capacity: int, fitted: bool) -> np.ndarray:
     left = histogram.astype(np.int64).copy()
     taken = np.zeros_like(left)
     runs: list[tuple[int, int, int, int, int]] = []
@@ -167,8 +178,8 @@ def plan_runs(histogram: np.ndarray, capacity: int) -> np.ndarray:
         taken[length] += count
         left[length] -= count
 
-    if left.sum():
-        found = patterns(left, capacity)
+    found = patterns(left, capacity) if fitted else []
+    if found:
         counts = fit_counts(found, left)
         for i in np.argsort(-counts, kind="stable"):
             need = np.bincount(found[i], minlength=len(left))
