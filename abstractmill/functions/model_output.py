@@ -22,8 +22,8 @@ PROMPT_HEAD = (
 PROMPT_TAIL = "\n\nJSON:"
 
 
-def build_prompt(text: Column, max_chars: int | None = 1500) -> Column:
-    """Instruction plus the opening of the abstract (``None``: the whole abstract)."""
+def build_prompt(text: Column, max_chars: int | None = None) -> Column:
+    """Instruction plus the whole abstract, or its first ``max_chars`` for a model with a short window."""
     body = text if max_chars is None else F.substring(text, 1, max_chars)
     return F.concat(F.lit(PROMPT_HEAD), body, F.lit(PROMPT_TAIL))
 

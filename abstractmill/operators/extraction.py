@@ -16,8 +16,13 @@ NOTES_VERSION = "template-v1"
 
 
 def unprocessed(cleaned: DataFrame, extractions: DataFrame) -> DataFrame:
-    """Abstracts without an extraction."""
-    return new_keys(cleaned, extractions)
+    """Abstracts without an extraction.
+
+    The keys are compared alone; the texts meet only the keys that are left, which is
+    a short list when most of the table has been processed.
+    """
+    missing = new_keys(cleaned.select("pmid"), extractions)
+    return cleaned.join(missing, "pmid", "left_semi")
 
 
 def with_rules(df: DataFrame, text: str = "abstract_text", into: str = "extracted") -> DataFrame:
@@ -26,7 +31,7 @@ def with_rules(df: DataFrame, text: str = "abstract_text", into: str = "extracte
 
 
 def with_model(df: DataFrame, raw: str, text: str = "abstract_text") -> DataFrame:
-    """Add ``extracted``: the validated model record, else the rule record.
+    """Add ``extracted``, the validated model record, else the rule record, and ``read_by``.
 
     Texts under the minimum length get the empty record whatever the model says. The
     rules are handed null instead of the text where the model record stands, so they
@@ -40,8 +45,9 @@ def with_model(df: DataFrame, raw: str, text: str = "abstract_text") -> DataFram
     left = parsed.select(
         *kept, "__model", F.when(F.col("__model").isNull(), F.col(text)).alias("__left")
     )
+    by_model = F.when(F.col("__model").isNotNull(), "model").otherwise("rules")
     return with_rule_record(left, "__left", "__rules").select(
-        *kept, F.coalesce("__model", "__rules").alias("extracted")
+        *kept, F.coalesce("__model", "__rules").alias("extracted"), by_model.alias("read_by")
     )
 
 
@@ -51,18 +57,25 @@ def extract(
     make_predictor: PredictorFactory | None = None,
     model_version: str = RULES_VERSION,
     with_note: bool = False,
+    max_chars: int | None = None,
+    partitions: int | None = None,
+    with_reader: bool = False,
 ) -> DataFrame:
     """Extraction rows for every abstract: record, snapshot, score, version, time.
 
     ``with_note`` adds ``summary_text`` while the text is at hand, which saves the join
-    of records and texts that writing notes later takes.
+    of records and texts that writing notes later takes. ``with_reader`` adds
+    ``read_by``: whether the ``model`` or the ``rules`` gave the record. ``max_chars`` and
+    ``partitions`` go to the inference.
     """
     stamp = F.current_timestamp() if extracted_at is None else extracted_at
     source = abstracts.select("pmid", "abstract_text")
     if make_predictor is None:
-        read = with_rules(source)
+        read = with_rules(source).withColumn("read_by", F.lit("rules"))
     else:
-        read = with_model(with_model_output(source, make_predictor), "model_output")
+        read = with_model(
+            with_model_output(source, make_predictor, max_chars=max_chars, partitions=partitions), "model_output"
+        )
     note = note_text(F.col("extracted"), F.col("abstract_text")).alias("summary_text")
     return read.select(
         "pmid",
@@ -72,6 +85,7 @@ def extract(
         F.lit(model_version).alias("model_version"),
         stamp.cast("timestamp").alias("extracted_at"),
         *([note] if with_note else []),
+        *(["read_by"] if with_reader else []),
     )
 
 

@@ -27,22 +27,18 @@ def _predictor_udf(make_predictor: PredictorFactory):
             log.warning("no predictor, rules take every row: %s", e)
             predict = None
 
-        def one(prompt):
-            try:
-                return list(predict([prompt]))[0]
-            except Exception as e:
-                log.debug("no answer, rules take the row: %s", e)
-                return None
-
         def many(prompts):
             try:
                 answers = list(predict(prompts))
                 if len(answers) == len(prompts):
                     return answers
             except Exception as e:
-                log.warning("batch of %d failed, asking row by row: %s", len(prompts), e)
-            # A failing batch is retried row by row, so only bad rows lose their answer.
-            return [one(p) for p in prompts]
+                log.debug("%d prompts failed: %s", len(prompts), e)
+            # A failing batch is halved until only its bad rows lose their answer.
+            if len(prompts) == 1:
+                return [None]
+            half = len(prompts) // 2
+            return many(prompts[:half]) + many(prompts[half:])
 
         for batch in batches:
             out = pd.Series([None] * len(batch), dtype=object)
@@ -59,7 +55,7 @@ def with_model_output(
     df: DataFrame,
     make_predictor: PredictorFactory,
     text: str = "abstract_text",
-    max_chars: int | None = 1500,
+    max_chars: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add ``model_output``, the predictor's raw answer to each abstract's prompt.

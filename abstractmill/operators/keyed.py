@@ -53,19 +53,15 @@ def new_keys(candidates: DataFrame, existing: DataFrame, key: str = KEY) -> Data
     return candidates.join(existing.select(key), key, "left_anti")
 
 
-def capped_candidates(
-    candidates: DataFrame, max_results: int, order_by: str = KEY
-) -> DataFrame:
-    """The first ``max_results`` candidates, planned as a distributed top-k."""
-    return candidates.orderBy(order_by).limit(max_results)
-
-
 def absent_rows(
     target: DataFrame, batch: DataFrame, order_by: Iterable[str], key: str = KEY
 ) -> DataFrame:
-    """Rows that insert-if-absent adds: one per unknown key, the earliest."""
-    first = first_per_key(checked(batch, key), order_by, key)
-    return new_keys(first, target, key).select(*target.columns)
+    """Rows that insert-if-absent adds: one per unknown key, the earliest.
+
+    Known keys leave first, so a load with few new keys does not sort the texts of the rest.
+    """
+    unknown = new_keys(checked(batch, key), target, key)
+    return first_per_key(unknown, order_by, key).select(*target.columns)
 
 
 def insert_if_absent(
@@ -84,8 +80,33 @@ def delete_keys(target: DataFrame, keys: DataFrame, key: str = KEY) -> DataFrame
     return target.join(keys.select(key).distinct(), key, "left_anti")
 
 
-def replace_by_key(target: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
-    """Batch rows replace target rows of the same key. Other target rows stay."""
+def one_row_per_key(
+    batch: DataFrame, order_by: Iterable[str] | None = None, key: str = KEY
+) -> DataFrame:
+    """The batch with unique keys: its latest rows by ``order_by``, or an error.
+
+    Without an order a repeated key is an error, as in a table with a primary key; the
+    check is one narrow job over the keys. Null keys fail by themselves (``checked``).
+    """
+    if order_by is not None:
+        return last_per_key(batch, order_by, key)
+    repeated = batch.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
+    if first := repeated.select(key).take(1):
+        raise ValueError(f"{key} {first[0][0]!r} comes more than once in a keyed write")
+    return batch
+
+
+def replace_by_key(
+    target: DataFrame,
+    batch: DataFrame,
+    key: str = KEY,
+    order_by: Iterable[str] | None = None,
+) -> DataFrame:
+    """Batch rows replace target rows of the same key. Other target rows stay.
+
+    Of rows that repeat a key the last by ``order_by`` counts; without it they fail.
+    """
+    batch = one_row_per_key(batch, order_by, key)
     return delete_keys(target, batch, key).unionByName(checked(batch, key))
 
 
@@ -96,20 +117,23 @@ def upsert(
     key: str = KEY,
     first_wins: Iterable[str] = (),
     defaults: dict[str, Column] | None = None,
+    order_by: Iterable[str] | None = None,
 ) -> DataFrame:
     """Insert unknown keys, update known ones.
 
     On an update batch columns overwrite, columns in ``first_wins`` keep a non-null
     target value, and target columns the batch lacks stay as they are; an insert takes
-    those from ``defaults``. Keys of ``batch`` must be unique (see ``last_per_key``), and
-    two branches read it: hand in a stored table where it is costly to compute.
+    those from ``defaults``. Of rows that repeat a key the last by ``order_by`` counts;
+    without it they fail. Two branches read the batch: hand in a stored table where it is
+    costly to compute.
 
-    A left join for the updates plus an anti join for the inserts, rather than one
-    full outer join: a small batch is then broadcast and the target is not shuffled.
+    A left join for the updates plus an anti join against the target's keys for the
+    inserts, rather than one full outer join: a small batch is then broadcast and the
+    target is not shuffled.
     """
     first_wins = set(first_wins)
     defaults = defaults or {}
-    batch = checked(batch, key)
+    batch = checked(one_row_per_key(batch, order_by, key), key)
     incoming = [c for c in batch.columns if c != key]
     changes = batch.select(key, F.struct(*incoming).alias("__new"))
 
@@ -125,8 +149,7 @@ def upsert(
     updates = target.join(changes, key, "left").select(
         *[updated(c).alias(c) for c in target.columns]
     )
-    known = target.select(key).join(batch.select(key), key, "left_semi")
-    inserts = new_keys(batch, known, key).select(
+    inserts = new_keys(batch, target, key).select(
         *[
             F.col(c) if c in batch.columns
             else defaults.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c)

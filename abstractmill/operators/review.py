@@ -21,6 +21,14 @@ def review_queue(extractions: DataFrame, cleaned: DataFrame, notes: DataFrame) -
     )
 
 
+def preview_queue(extractions: DataFrame, cleaned: DataFrame, notes: DataFrame) -> DataFrame:
+    """The queue with previews instead of texts, which are cut before the join moves them."""
+    short = with_previews(cleaned).select("pmid", "title_preview", "abstract_preview")
+    return extractions.join(short, "pmid").join(
+        notes.select("pmid", "summary_text"), "pmid", "left"
+    )
+
+
 def in_review_order(queue: DataFrame) -> DataFrame:
     """Unverified first, then least certain; unknown last. The key settles ties.
 

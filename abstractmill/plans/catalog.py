@@ -86,7 +86,7 @@ def parse_raw(spark, sf):
 
 @query
 def normalize_text(spark, sf):
-    return fx.table(spark, sf, "pages", heavy=True).select(
+    return fx.table(spark, sf, "pages").select(
         "page_id", normalize(F.col("html")).alias("clean_text")
     )
 
@@ -123,7 +123,7 @@ def archive_readback(spark, sf):
 
 @query
 def rule_extract(spark, sf):
-    return with_rules(fx.abstracts(spark, sf, heavy=True)).select("pmid", *_flat("extracted"))
+    return with_rules(fx.abstracts(spark, sf)).select("pmid", *_flat("extracted"))
 
 
 @query
@@ -138,7 +138,7 @@ def extraction_confidence(spark, sf):
 
 @query
 def extraction_rows(spark, sf):
-    rows = extract(fx.abstracts(spark, sf, heavy=True), NOW())
+    rows = extract(fx.abstracts(spark, sf), NOW())
     return rows.select("pmid", *_flat("original"), "confidence_score", "model_version")
 
 
@@ -157,7 +157,7 @@ def model_output_parse(spark, sf):
 
 
 def stub_predictor():
-    """A predictor factory that answers by prompt length: a record, prose, or a failure.
+    """A predictor factory that answers by prompt length: a record, prose, or rarely a failure.
 
     The factory is a local function, so it travels to the workers by value.
     """
@@ -166,7 +166,7 @@ def stub_predictor():
         def predict(prompts):
             out = []
             for p in prompts:
-                if len(p) % 3 == 0:
+                if len(p) % 300 == 0:
                     raise ValueError("no answer")
                 out.append("nothing" if len(p) % 3 == 1 else '{"sample_size": %d}' % len(p))
             return out
@@ -179,9 +179,15 @@ def stub_predictor():
 @query
 def batch_inference(spark, sf):
     rows = extract(
-        fx.abstracts(spark, sf, heavy=True), NOW(), make_predictor=stub_predictor(), model_version="stub"
+        fx.abstracts(spark, sf),
+        NOW(),
+        make_predictor=stub_predictor(),
+        model_version="stub",
+        with_reader=True,
+    )
+    return rows.select(
+        "pmid", *_flat("extracted"), "confidence_score", "model_version", "read_by"
     )
-    return rows.select("pmid", *_flat("extracted"), "confidence_score", "model_version")
 
 
 @query
@@ -193,7 +199,7 @@ def key_findings(spark, sf):
 
 @query
 def notes(spark, sf):
-    rows = write_notes(with_rules(fx.abstracts(spark, sf, heavy=True)), NOW())
+    rows = write_notes(with_rules(fx.abstracts(spark, sf)), NOW())
     return rows.select("pmid", "summary_text", "model_version")
 
 
@@ -243,7 +249,7 @@ def cascade_delete(spark, sf):
 @query
 def upsert_extractions(spark, sf):
     batch = stored(
-        extract(fx.page_abstracts(spark, sf, heavy=True), NOW(), model_version="v1"),
+        extract(fx.page_abstracts(spark, sf), NOW(), model_version="v1"),
         shared_dir(spark, "batch"),
     )
     rows = keyed.upsert_extractions(fx.extractions(spark, sf), batch)
@@ -299,7 +305,7 @@ def stage_counts(spark, sf):
 
 
 def _queue(spark, sf) -> DataFrame:
-    return review.review_queue(
+    return review.preview_queue(
         fx.extractions(spark, sf), fx.abstracts(spark, sf), fx.notes(spark, sf)
     )
 
@@ -313,7 +319,7 @@ def _queue_columns() -> list:
 
 @query
 def review_queue(spark, sf):
-    return review.in_review_order(review.with_previews(_queue(spark, sf))).select(
+    return review.in_review_order(_queue(spark, sf)).select(
         *_queue_columns()
     )
 
@@ -321,7 +327,7 @@ def review_queue(spark, sf):
 @query
 def review_queue_filtered(spark, sf):
     shown = review.filter_queue(_queue(spark, sf), show_verified=False, min_confidence=0.4)
-    return review.with_previews(shown).select(*_queue_columns())
+    return shown.select(*_queue_columns())
 
 
 @query
@@ -458,7 +464,7 @@ def stg_abstracts(spark, sf):
 
 @query
 def abstract_flags(spark, sf):
-    rows = models.flagged(models.staged(fx.abstracts(spark, sf, heavy=True)))
+    rows = models.flagged(models.staged(fx.abstracts(spark, sf)))
     return rows.select("abstract_id", "cancer_type", *models.FLAG_TERMS)
 
 
@@ -467,7 +473,7 @@ def _year_first(mart: DataFrame) -> DataFrame:
 
 
 def _base(spark, sf) -> DataFrame:
-    return models.study_base(models.flagged(models.staged(fx.abstracts(spark, sf, heavy=True))))
+    return models.study_base(models.flagged(models.staged(fx.abstracts(spark, sf))))
 
 
 @query

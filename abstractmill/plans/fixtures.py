@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.review import edited_record
-from ..sources.tables import spread
 
 SENTENCES = [
     "This study enrolled 245 patients with Stage III nasopharyngeal carcinoma (T2N1M0). "
@@ -57,10 +56,9 @@ MODEL_OUTPUTS = [
 STAMP = "2024-06-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """One of the given tables, spread over the cores for ``heavy`` work on its texts."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if heavy else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _sql(value) -> str:
@@ -93,22 +91,22 @@ def _clinical(df: DataFrame, key: str, text: str, title: str, journal: str) -> D
     )
 
 
-def abstracts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+def abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned-abstract rows of every document."""
-    documents = table(spark, sf_dir, "documents", heavy)
+    documents = table(spark, sf_dir, "documents")
     title = "concat('Study ', cast(doc_id as string), ' of ', lang)"
     return _clinical(documents, "doc_id", "text", title, "source")
 
 
-def page_abstracts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+def page_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned-abstract rows of every web page: the batch that meets older rows."""
-    pages = table(spark, sf_dir, "pages", heavy)
+    pages = table(spark, sf_dir, "pages")
     return _clinical(pages, "page_id", "html", "url", "'web'")
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON rows of every document, with markup, an entity and some invalid dates."""
-    rows = abstracts(spark, sf_dir, heavy=True)
+    rows = abstracts(spark, sf_dir)
     bad_date = F.col("pmid").cast("bigint") % 19 == 0
     payload = F.struct(
         "pmid",
@@ -244,7 +242,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Abstracts with one of sixteen kinds of model output each."""
-    return abstracts(spark, sf_dir, heavy=True).select(
+    return abstracts(spark, sf_dir).select(
         "pmid",
         "abstract_text",
         F.expr(_pick(MODEL_OUTPUTS, "cast(pmid as bigint) % 16")).alias("raw_output"),

@@ -386,7 +386,7 @@ def oracle() -> dict[str, str]:
     rule_columns = _plain("r_")
     extraction_columns = f"{_flat('f_')}"
     originals = _flat("o_", "original_")
-    prompt = (f"{_text(PROMPT_HEAD)} || substring(abstract_text, 1, 1500) || "
+    prompt = (f"{_text(PROMPT_HEAD)} || abstract_text || "
               f"{_text(PROMPT_TAIL)}")
     month = ("case month when 'Mar' then 3 when 'Dec' then 12 when '11' then 11 when '7' then 7 "
              "end")
@@ -432,7 +432,7 @@ select pmid, {rule_columns}, {_score('r_', True)} as confidence_score,
     chosen = ", ".join(f"case when ok then m_{f} else r_{f} end as {f}" for f in RECORD)
     q["model_output_parse"] = _with(ABSTRACTS, rules, _model_rows(), select=f"""
 select pmid, {chosen} from rules join model_rows on kind = cast(pmid as bigint) % 16""")
-    answered = "length(prompt) % 3 = 2"
+    answered = "length(prompt) % 3 <> 1 and length(prompt) % 300 <> 0"
     inferred = ", ".join(
         f"case when {answered} then "
         + {"sample_size": "length(prompt)", "treatment_modality": "''", "biomarkers": "''"}.get(
@@ -442,7 +442,8 @@ select pmid, {chosen} from rules join model_rows on kind = cast(pmid as bigint)
     q["batch_inference"] = _with(
         ABSTRACTS, rules,
         f"asked as (select *, {prompt} as prompt from rules)",
-        f"answers as (select pmid, {inferred} from asked)",
+        f"answers as (select pmid, {inferred}, case when {answered} then 'model' else 'rules' end "
+        "as read_by from asked)",
         select=f"""select *, {_score('', True)} as confidence_score, 'stub' as model_version
 from answers""")
     q["key_findings"] = _with(

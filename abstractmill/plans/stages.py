@@ -96,13 +96,15 @@ class Run:
         self,
         make_predictor: PredictorFactory | None = None,
         model_version: str = RULES_VERSION,
+        max_chars: int | None = None,
+        partitions: int | None = None,
     ) -> DataFrame:
         """Extract every abstract that has no extraction. All keys are new: an append."""
         self._noteless = self.tables["extractions"]
         missing = new_keys(self._unsure.select("pmid"), self.tables["extractions"])
         missing = stored(missing, f"{self.out}/todo/extract")
         todo = self._due.unionByName(self._unsure.join(missing, "pmid", "left_semi"))
-        batch = extract(todo, self.now, make_predictor, model_version, with_note=True)
+        batch = extract(todo, self.now, make_predictor, model_version, True, max_chars, partitions)
         batch = batch.withColumns(
             {"human_verified": F.lit(False), "reviewer_notes": F.lit(None).cast("string")}
         )
@@ -180,6 +182,8 @@ def full_run(
     model_version: str = RULES_VERSION,
     only_new: bool = False,
     reset_first: bool = False,
+    max_chars: int | None = None,
+    partitions: int | None = None,
 ) -> Run:
     """All stages. Archive and cleaning both start from the raw table.
 
@@ -191,6 +195,6 @@ def full_run(
     run.clean(only_new)
     if reset_first:
         run.reset()
-    run.extract(make_predictor, model_version)
+    run.extract(make_predictor, model_version, max_chars, partitions)
     run.notes()
     return run

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +34,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names.
 
-    Every executor must reach it. Only a session without the setting (a local test)
-    gets a folder of this machine.
+    ``spark.checkpoint.dir``, which every executor must reach; without it there is no
+    folder that they could share, and a cluster would write to many local disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="abstractmill-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 

@@ -18,17 +18,6 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[name])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few splits one partition per core.
-
-    Searching a text costs far more than moving it, and a small file, or one with a
-    single row group, would keep one core busy. Large inputs have more splits than the
-    cluster has cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -65,12 +65,11 @@ def test_null_key_fails(spark):
         keyed.upsert_notes(target, _kv(spark, [(None, "x")])).collect()
 
 
-def test_new_keys_and_cap(spark):
+def test_new_keys(spark):
     candidates = _kv(spark, [("3", "c"), ("1", "a"), ("2", "b")])
     assert _set(keyed.new_keys(candidates, _kv(spark, [("1", "x"), ("1", "y")]))) == [
         ("2", "b"), ("3", "c"),
     ]
-    assert [r.pmid for r in keyed.capped_candidates(candidates, 2).collect()] == ["1", "2"]
 
 
 def test_replace_and_cascade(spark):
@@ -126,3 +125,11 @@ def test_reset_and_backfill(spark):
     ext = spark.createDataFrame([("1", "e", None), ("2", "e", "o")], "pmid string, extracted string, original string")
     assert keyed.reset(ext).count() == 0 and keyed.reset(ext).columns == ext.columns
     assert _set(keyed.backfill_original(ext)) == [("1", "e", "e"), ("2", "e", "o")]
+
+
+def test_repeated_keys_fail_or_the_last_counts(spark):
+    target, batch = _kv(spark, [("1", "old")]), _kv(spark, [("1", "a"), ("1", "b"), ("2", "c")])
+    for change in (keyed.replace_by_key, keyed.upsert):
+        with pytest.raises(ValueError, match="'1' comes more than once"):
+            change(target, batch)
+        assert _set(change(target, batch, order_by=["v"])) == [("1", "b"), ("2", "c")]

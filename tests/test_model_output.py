@@ -129,6 +129,25 @@ def test_prompt_cap(spark):
         return lambda prompts: [str(len(p)) for p in prompts]
 
     df = spark.createDataFrame([("1", "x" * 4000)], "pmid string, abstract_text string")
-    capped = int(with_model_output(df, factory).first()["model_output"])
-    whole = int(with_model_output(df, factory, max_chars=None, partitions=2).first()["model_output"])
+    capped = int(with_model_output(df, factory, max_chars=1500).first()["model_output"])
+    whole = int(with_model_output(df, factory, partitions=2).first()["model_output"])
     assert whole - capped == 2500
+
+
+def test_a_failing_batch_is_halved(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def predict(prompts):
+            calls.add(1)
+            if any("bad" in p for p in prompts):
+                raise ValueError("no answer")
+            return ["fine"] * len(prompts)
+
+        return predict
+
+    texts = [(str(i), f"{'bad' if i == 37 else 'good'} " * 10) for i in range(64)]
+    df = spark.createDataFrame(texts, "pmid string, abstract_text string").coalesce(1)
+    out = {r["pmid"]: r["model_output"] for r in with_model_output(df, factory).collect()}
+    assert [k for k, v in out.items() if v is None] == ["37"]
+    assert calls.value <= 1 + 2 * 6

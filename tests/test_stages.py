@@ -1,5 +1,7 @@
 import json
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from abstractmill.operators.keyed import upsert
@@ -119,3 +121,9 @@ def test_upsert_leaves_its_inputs_alone(spark):
     target = spark.createDataFrame([("1", "a")], "pmid string, v string")
     upsert(target, spark.createDataFrame([("1", "b")], "pmid string, v string")).collect()
     assert target.first().v == "a"
+
+
+def test_no_shared_folder_is_an_error():
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(bare, "x")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abstractmill.schemas import CLEANED, TABLES
-from abstractmill.sources.tables import empty_table, jdbc_ready, read_table, spread
+from abstractmill.sources.tables import empty_table, jdbc_ready, read_table
 
 
 def test_empty_tables(spark):
@@ -34,10 +34,3 @@ def test_nested_columns_become_json_for_a_database(spark):
     df = spark.sql("select '1' pmid, array('a', 'b') authors, named_struct('x', 1) r, 2 n")
     r = jdbc_ready(df).first()
     assert (r.pmid, json.loads(r.authors), json.loads(r.r), r.n) == ("1", ["a", "b"], {"x": 1}, 2)
-
-
-def test_spread_only_small_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert spread(wide) is wide
