@@ -56,7 +56,7 @@ TOGETHER = 4
 BLOCK_BYTES = 4 << 20
 CODED = "bucket int, block int, together int, hashes binary, counts binary, tails binary, docs binary, numbers binary"
 TOTALS = "block int, bucket int, together int, totals binary"
-STATS = "tail int, hash long, n long, v long"
+STATS = "bucket int, n binary, v binary, words binary, totals binary, tails binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -139,20 +139,29 @@ def _totals(table: pa.Table) -> pa.Table:
 
 
 def _group_stats(table: pa.Table) -> pa.Table:
-    """Counts and distinct words by tail class (hash null), and the group's most frequent words."""
+    """Counts and distinct words of a group by tail class, and its most frequent words, as one row."""
     _, _, words, total, tails = _add_up(table)
     known = total > 0
-    words, total, tails = words[known], total[known], tails[known]
+    words, total, tails = words[known].view(np.int64), total[known], tails[known]
     n, v = np.bincount(tails, total, TAIL).astype(np.int64), np.bincount(tails, minlength=TAIL)
-    top = np.lexsort((words.view(np.int64), -total))[:SHORT]
-    return pa.table(
-        {
-            "tail": pa.array([*range(TAIL), *tails[top].tolist()], pa.int32()),
-            "hash": pa.array([None] * TAIL + words[top].view(np.int64).tolist(), pa.int64()),
-            "n": pa.array(np.concatenate([n, total[top]])),
-            "v": pa.array(np.concatenate([v, np.ones(len(top), np.int64)])),
-        }
+    return _stats_row(table.column("bucket")[0].as_py(), n, v, words, total, tails)
+
+
+def _stats_row(bucket: int, n: np.ndarray, v: np.ndarray, words: np.ndarray, total: np.ndarray, tails: np.ndarray) -> pa.Table:
+    top = np.lexsort((words, -total))[:SHORT]
+    held = (n, v.astype(np.int64), words[top], total[top], tails[top])
+    names = ("n", "v", "words", "totals", "tails")
+    return pa.table({"bucket": pa.array([bucket], pa.int32())} | {k: pa.array([x.tobytes()], pa.binary()) for k, x in zip(names, held, strict=True)})
+
+
+def _merge_stats(table: pa.Table) -> pa.Table:
+    """One row for the rows of several groups."""
+    n, v, words, total = (
+        [np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()] for c in ("n", "v", "words", "totals")
     )
+    tails = [np.frombuffer(x, np.uint8) for x in table.column("tails").to_pylist()]
+    both = (np.concatenate(x) for x in (words, total, tails))
+    return _stats_row(table.column("bucket")[0].as_py(), np.sum(n, axis=0), np.sum(v, axis=0), *both)
 
 
 class Vocabulary:
@@ -350,6 +359,16 @@ class Gru:
         return np.add.reduceat(out.astype(np.float64), rows[:-1])
 
 
+def _statistics(merged: list) -> tuple[dict[int, tuple[int, int]], list[tuple[int, int, int]]]:
+    """Counts and distinct words by tail class; the most frequent words: hash, count and tail class."""
+    if not merged:
+        return {}, []
+    columns = {c: pa.array([r[c] for r in merged], pa.int32() if c == "bucket" else pa.binary()) for c in merged[0].asDict()}
+    row = _merge_stats(pa.table(columns)).to_pylist()[0]
+    n, v, words, totals = (np.frombuffer(row[c], np.int64).tolist() for c in ("n", "v", "words", "totals"))
+    return {t: (n[t], v[t]) for t in range(TAIL)}, list(zip(words, totals, np.frombuffer(row["tails"], np.uint8).tolist(), strict=True))
+
+
 def _sample(docs: DataFrame, fit_docs: int, vocabulary: Vocabulary) -> list[np.ndarray]:
     """Symbols of a bounded sample of the training documents, whole texts."""
     chosen = docs.filter("train").select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)
@@ -380,11 +399,11 @@ def document_scores(
     )
     coded = stored(rows.mapInArrow(_code(buckets), CODED), "coded")
     asked = coded.filter("bucket >= 0").select("bucket", "block", "together", "hashes", "counts", "tails").groupBy("bucket")
-    stats = stored(asked.applyInArrow(_group_stats, STATS), "counts")
+    # The groups' statistics (of a fixed size each) are merged in about sqrt(buckets) tasks, then here.
+    parts = (F.col("bucket") % int(buckets**0.5 + 1)).alias("part")
+    merged = asked.applyInArrow(_group_stats, STATS).groupBy(parts).applyInArrow(_merge_stats, STATS).collect()
     ends = rows.filter("train").count()
-    tails = {t: (n, v) for t, n, v in stats.filter("hash is null").groupBy("tail").agg(F.sum("n"), F.sum("v")).collect()}
-    top = stats.filter("hash is not null").orderBy(F.desc("n"), "hash").limit(SHORT).select("hash", "n", "tail").collect()
-    vocabulary = Vocabulary(ends, tails, [tuple(r) for r in top])
+    vocabulary = Vocabulary(ends, *_statistics(merged))
     model = Gru(vocabulary)
     sample = _sample(rows, fit_docs, vocabulary)
     if sample:
