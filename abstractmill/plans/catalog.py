@@ -24,7 +24,7 @@ from ..operators.extraction import (
 )
 from ..schemas import LIST_FIELDS, OTHER_CANCER_TYPE, RECORD_FIELDS, SUBJECT_CANCER_TYPES
 from ..sources.archive import read_archive, shared_dir, stored, write_archive
-from ..sources.articles import read_articles
+from ..sources.articles import article_lines, read_articles, rejected_articles
 from . import fixtures as fx
 from . import models
 from .stages import full_run
@@ -58,16 +58,26 @@ def _flat(record: str, prefix: str = "") -> list[Column]:
 # --- scans, cleaning ---------------------------------------------------------------
 
 
-@query
-def xml_articles(spark, sf):
+def _article_files(spark, sf) -> str:
     path = shared_dir(spark, "xml")
     fx.article_xml(spark, sf).write.text(path)
-    return read_articles(spark, path).select(
+    return path
+
+
+@query
+def xml_articles(spark, sf):
+    return read_articles(spark, _article_files(spark, sf)).select(
         "pmid", "title", "abstract_text", _joined(F.col("authors")).alias("authors"),
         "journal", "pub_date", _joined(F.col("mesh_terms")).alias("mesh_terms"),
     )
 
 
+@query
+def xml_rejects(spark, sf):
+    lines = article_lines(spark, _article_files(spark, sf))
+    return rejected_articles(lines).select("pmid", F.col("xml").contains(" & ").alias("bare_ampersand"))
+
+
 @query
 def pub_dates(spark, sf):
     date = publication_date(F.col("year"), F.col("month"), F.col("day"))

@@ -34,6 +34,14 @@ STAGES = ["Stage I", "Stage III", "T2N1M0", None]
 CANCERS = ["Lung Cancer", None, "Breast Cancer"]
 TREATMENTS = [["chemotherapy"], ["radiation", "surgery"], []]
 BIOMARKERS = [["EBV DNA", "PD-L1"], ["p53"], []]
+#: Markup of an article's first section, and below its text.
+ARTICLE_MARKUP = [
+    " and <DispFormula>x=1</DispFormula>.",
+    " and <mml:math xmlns:mml='m'><mml:mi>y</mml:mi>=2</mml:math>.",
+    " and <strong>all <em class='x'>of</em> it</strong>.",
+    "<br/>.",
+]
+ARTICLE_MARKUP_TEXT = [" and x=1.", " and y=2.", " and all of it.", "."]
 MODEL_OUTPUTS = [
     '{"tnm_stage": "Stage II", "treatment_modality": ["chemotherapy", "surgery"], '
     '"biomarkers": ["p53"], "sample_size": 80, "cancer_type": "Lung Cancer"}',
@@ -289,9 +297,13 @@ def article_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
             (k % 40 + 1985).cast("string"),
             F.lit("</Year><Month>Mar</Month></PubDate></JournalIssue><Title>"), esc("journal"),
             F.lit("</Title></Journal>\n<ArticleTitle>"), esc("title"),
-            F.lit(" <i>in vivo</i></ArticleTitle>\n<Abstract><AbstractText Label='AIM'>H<sub>2"
-                  "</sub>O</AbstractText><AbstractText>"),
+            F.lit(" <i>in <b>vivo</b></i></ArticleTitle>\n<Abstract><AbstractText Label='AIM'>H<sub>2"
+                  "</sub>O<!-- a > b -->"),
+            F.expr(_pick(ARTICLE_MARKUP, "cast(pmid as bigint) % 4")),
+            F.lit("</AbstractText><AbstractText>"),
             esc("abstract_text"),
+            # A bare ampersand is no well-formed XML.
+            F.when(k % 29 == 0, " & ").otherwise(""),
             F.lit("</AbstractText></Abstract>\n<AuthorList><Author><LastName>Roe</LastName>"
                   "<ForeName>R</ForeName></Author><Author><CollectiveName>Group"
                   "</CollectiveName></Author><Author><LastName>"),

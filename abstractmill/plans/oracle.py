@@ -394,10 +394,13 @@ def oracle() -> dict[str, str]:
 
     q["xml_articles"] = _with(ABSTRACTS, select=f"""
 select pmid, title || ' in vivo' as title,
-       'AIM: H2O' || chr(10) || abstract_text as abstract_text,
+       'AIM: H2O' || {_pick(fx.ARTICLE_MARKUP_TEXT, 'cast(pmid as bigint) % 4')} || chr(10)
+         || abstract_text as abstract_text,
        'Roe, R|' || journal as authors, journal,
        cast(cast(pmid as bigint) % 40 + 1985 as varchar) || '-03-01' as pub_date,
-       {_joined('mesh_terms')} as mesh_terms from abstracts""")
+       {_joined('mesh_terms')} as mesh_terms from abstracts where cast(pmid as bigint) % 29 <> 0""")
+    q["xml_rejects"] = """
+select cast(doc_id as varchar) as pmid, true as bare_ampersand from documents where doc_id % 29 = 0"""
     q["pub_dates"] = f"""
 with parts as (
   select doc_id, case when doc_id % 9 <> 0 then cast(doc_id % 40 + 1985 as varchar) end as year,

@@ -9,10 +9,16 @@ from pyspark.sql import types as T
 from ..functions.dates import publication_date
 from ..functions.plan import pin
 
-# Element names of the article format and its inline markup.
+# Element names of the article format.
 RECORD_END = "</PubmedArticle>"
 RECORD_PATTERN = r"(?s)<PubmedArticle(?=[\s>]).*"
-INLINE_PATTERN = r"</?(?:i|b|sub|sup|u)(?:\s[^<>]*)?/?>"
+COMMENT_PATTERN = r"(?s)<!--.*?-->"
+# Any tag inside a title or an abstract section: it follows the opening tag or the last
+# match, with text but no other tag between.
+MARKUP_PATTERN = (
+    r"(<(?:ArticleTitle|AbstractText)(?:\s[^<>]*)?(?<!/)>|\G(?!^))([^<]*)"
+    r"<(?!/(?:ArticleTitle|AbstractText)\s*>|!)[^<>]*>"
+)
 
 _S = T.StringType()
 
@@ -38,21 +44,39 @@ ARTICLE_XML = _struct(
 )
 
 
+def _parsed(lines: DataFrame, value: str) -> DataFrame:
+    """The article's XML and its citation ``c``, null in a row that is no well-formed XML.
+
+    All markup and comments inside titles and abstracts are removed before parsing,
+    because the XML parser drops text that surrounds child elements.
+    """
+    article = F.regexp_replace(F.regexp_extract(F.col(value), RECORD_PATTERN, 0), COMMENT_PATTERN, "")
+    closed = F.concat(F.regexp_replace(article, MARKUP_PATTERN, "$1$2"), F.lit(RECORD_END))
+    read = F.from_xml(
+        "xml",
+        T.StructType([*ARTICLE_XML.fields, T.StructField("_corrupt_record", _S)]),
+        {"rowTag": "PubmedArticle", "ignoreSurroundingSpaces": "false"},
+    )
+    records = lines.where(F.col(value).rlike(r"<PubmedArticle[\s>]")).select(closed.alias("xml"))
+    whole = pin(records, "read", read)
+    return whole.select("xml", F.col("read._corrupt_record").alias("corrupt"), F.col("read.MedlineCitation").alias("c"))
+
+
+def rejected_articles(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Articles that are no well-formed XML: their key, as far as it can be read, and their text."""
+    key = F.regexp_extract("xml", r"<PMID(?:\s[^<>]*)?>\s*(\d+)", 1)
+    bad = _parsed(lines, value).where(F.col("corrupt").isNotNull())
+    return bad.select(F.nullif(key, F.lit("")).alias("pmid"), "xml")
+
+
 def parse_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     """Flat records from one XML article per row.
 
-    Inline markup is removed before parsing because the XML parser drops text that
-    surrounds child elements. Rows without an article, a key or an article body
-    are skipped.
+    Rows without an article, a key or an article body are skipped; those that are no
+    well-formed XML are the rows of ``rejected_articles``.
     """
-    article = F.regexp_extract(F.col(value), RECORD_PATTERN, 0)
-    closed = F.concat(F.regexp_replace(article, INLINE_PATTERN, ""), F.lit(RECORD_END))
-    citation = F.from_xml(
-        "xml", ARTICLE_XML, {"rowTag": "PubmedArticle", "ignoreSurroundingSpaces": "false"}
-    )["MedlineCitation"]
-    records = lines.where(F.col(value).contains("<PubmedArticle")).select(closed.alias("xml"))
-    kept = pin(records, "c", citation).where(
-        (F.col("c.PMID") != "") & F.col("c.Article").isNotNull()
+    kept = _parsed(lines, value).where(
+        F.col("corrupt").isNull() & (F.col("c.PMID") != "") & F.col("c.Article").isNotNull()
     )
     a = F.col("c.Article")
     date = a["Journal"]["JournalIssue"]["PubDate"]
@@ -98,7 +122,12 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     The record terminator is the line separator, so large files are read in parallel
     from any offset and no file has to fit in memory.
     """
-    return parse_articles(spark.read.option("lineSep", RECORD_END).text(path))
+    return parse_articles(article_lines(spark, path))
+
+
+def article_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per article of a directory of files, as text without its end tag."""
+    return spark.read.option("lineSep", RECORD_END).text(path)
 
 
 def to_raw(articles: DataFrame, fetched_at: Column) -> DataFrame:
