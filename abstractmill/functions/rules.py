@@ -15,6 +15,13 @@ SIZE_PATTERN = (
     r"(?iu)(\d{1,5})" + WS + r"*(?:patients|subjects|cases|participants|individuals)"
 )
 MIN_TEXT = 20
+# Site -> cancer type and whether a word for a tumour must stand in the text too.
+SITES = {
+    "nasopharyngeal": ("Nasopharyngeal Carcinoma", False),
+    "lung": ("Lung Cancer", True),
+    "breast": ("Breast Cancer", True),
+}
+TUMOUR_WORDS = ["cancer", "carcinoma"]
 
 
 def stage_code(text: Column) -> Column:
@@ -41,19 +48,19 @@ def labels(lowered: Column, lexicon: dict[str, list[str]]) -> Column:
     return F.array_except(found, F.array(F.lit(None).cast("string")))
 
 
-def cohort_size(text: Column) -> Column:
-    """First number of at most five digits right before a word for people, or ``''``."""
-    return F.regexp_extract(text, SIZE_PATTERN, 1)
+def cohort_size(text: Column, pattern: str = SIZE_PATTERN) -> Column:
+    """First number right before a word for people (its last five digits), or ``''``."""
+    return F.regexp_extract(text, pattern, 1)
 
 
 def cancer_type(lowered: Column) -> Column:
     """The first of three tumour sites that the text names, else null."""
-    tumour = contains_any(lowered, ["cancer", "carcinoma"])
-    return (
-        F.when(lowered.contains("nasopharyngeal"), "Nasopharyngeal Carcinoma")
-        .when(lowered.contains("lung") & tumour, "Lung Cancer")
-        .when(lowered.contains("breast") & tumour, "Breast Cancer")
-    )
+    tumour = contains_any(lowered, TUMOUR_WORDS)
+    found = F.lit(None).cast("string")
+    for site, (name, needs_tumour) in reversed(SITES.items()):
+        named = lowered.contains(site)
+        found = F.when(named & tumour if needs_tumour else named, name).otherwise(found)
+    return found
 
 
 def with_rule_record(
@@ -62,6 +69,7 @@ def with_rule_record(
     into: str,
     treatments: dict[str, list[str]] = TREATMENT_TERMS,
     biomarkers: dict[str, list[str]] = BIOMARKER_TERMS,
+    size_pattern: str = SIZE_PATTERN,
 ) -> DataFrame:
     """Add ``into``, the record the rules read from ``text``.
 
@@ -74,7 +82,7 @@ def with_rule_record(
         *kept,
         code,
         F.when(code == "", worded_stage(t, low)).otherwise("").alias("__word"),
-        cohort_size(t).alias("__size"),
+        cohort_size(t, size_pattern).alias("__size"),
         labels(low, treatments).alias("__treatments"),
         labels(low, biomarkers).alias("__biomarkers"),
         cancer_type(low).alias("__cancer"),

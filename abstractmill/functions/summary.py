@@ -17,21 +17,21 @@ def _list_or(record: Column, field: str, default: str) -> Column:
     return F.when(present(record, field), F.array_join(record[field], ", ")).otherwise(default)
 
 
-# The wording of notes, with the record's parts in between.
-SIZED = ("This study examined ", " patients with ", " ", ", treated with ", ".")
-UNSIZED = ("This study investigated ", " (", "), with treatment involving ", ".")
-MARKERS = ("Biomarkers assessed: ", ".")
-FINDING = ("Key finding: ", ".")
+# The wording of notes.
+SIZED = "This study examined %s patients with %s %s, treated with %s."
+UNSIZED = "This study investigated %s (%s), with treatment involving %s."
+MARKERS = "Biomarkers assessed: %s."
+FINDING = "Key finding: %s."
 NO_CANCER, NO_STAGE = "oncology condition", "unspecified stage"
 NO_TREATMENT, NO_MARKERS = "unspecified treatment", "none reported"
 
 
-def _filled(wording: tuple[str, ...], *parts: Column) -> Column:
-    """The wording with ``parts`` between its pieces; null if a part is null."""
-    pieces = [F.lit(wording[0])]
-    for part, text in zip(parts, wording[1:], strict=True):
-        pieces += [part, F.lit(text)]
-    return F.concat(*pieces)
+def _filled(wording: str, *parts: Column) -> Column:
+    """The wording with ``parts`` in it; null if a part is null."""
+    whole = F.lit(True)
+    for part in parts:
+        whole = whole & part.isNotNull()
+    return F.when(whole, F.format_string(wording, *parts))
 
 
 def note_text(record: Column, text: Column) -> Column:

@@ -64,10 +64,12 @@ def normalize(text: Column) -> Column:
 def contains_any(text: Column, terms: list[str]) -> Column:
     """True where ``text`` holds one of the literal ``terms``; null text is false.
 
-    A chain of substring searches stops at the first hit and needs no regex engine.
+    A chain of substring searches stops at the first hit and needs no regex engine. A term
+    that contains another one adds no match and is not searched for.
     """
     found = F.lit(False)
-    for term in reversed(terms):
+    needed = [t for t in terms if not any(o in t for o in terms if o != t)]
+    for term in reversed(needed):
         found = text.contains(term) | found
     return F.coalesce(found, F.lit(False))
 

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from ..operators.review import edited_record
 
 SENTENCES = [
-    "This study enrolled 245 patients with Stage III nasopharyngeal carcinoma (T2N1M0). "
-    "Concurrent radiotherapy with cisplatin-based chemotherapy was given. "
-    "EBV DNA levels and PD-L1 expression were assessed",
-    "Pembrolizumab was administered as first-line immunotherapy in lung cancer. "
-    "Results: response rate of 40 percent in advanced cases",
+    "Tumours of the nasopharyngeal wall, Stage III and coded T2N1M0, were seen in 318 patients. "
+    "Carboplatin came first and IMRT after it. "
+    "Plasma held ebv copies and stained cells showed programmed death-ligand",
+    "A checkpoint inhibitor was compared with nivolumab where lung carcinoma had come back. "
+    "After two years every third tumour had shrunk",
     "Patients with stage IVA breast carcinoma underwent surgical resection. "
     "HER2 and p53 status was reported in 1,245 patients",
     "At this stage is unclear whether VEGF matters. "
@@ -25,7 +25,7 @@ SENTENCES = [
     "No clinical variable is mentioned in this passage at all",
 ]
 SUBJECTS = [
-    ["Nasopharyngeal Neoplasms", "Herpesvirus 4, Human"],
+    ["Neoplasms of Throat", "Nasopharyngeal Diseases"],
     ["Lung Neoplasms"],
     ["Breast Neoplasms", "Receptor, ErbB-2"],
     [],

@@ -113,18 +113,17 @@ TREATMENT_TERMS = {
     "surgery": ["surgery", "surgical", "resection", "dissection"],
 }
 BIOMARKER_TERMS = {
-    "EBV DNA": ["ebv", "epstein-barr"],
+    "EBV DNA": ["ebv", "epstein-barr", "ebv dna"],
     "PD-L1": ["pd-l1", "programmed death-ligand"],
-    "p53": ["p53"],
+    "p53": ["p53", "tp53"],
     "VEGF": ["vegf", "vascular endothelial"],
     "HER2": ["her2", "erbb2"],
 }
 # Mention flags of the analytic model (narrower than the rules above).
-# A term that contains another term of the same list is left out: it adds no match.
 FLAG_TERMS = {
-    "mentions_ebv": ["ebv", "epstein-barr"],
+    "mentions_ebv": ["ebv", "epstein-barr", "ebv dna"],
     "mentions_pdl1": ["pd-l1", "programmed death-ligand"],
-    "mentions_p53": ["p53"],
+    "mentions_p53": ["p53", "tp53"],
     "mentions_chemotherapy": ["chemotherapy", "cisplatin", "carboplatin", "gemcitabine"],
     "mentions_radiation": ["radiation", "radiotherapy", "imrt"],
     "mentions_immunotherapy": [

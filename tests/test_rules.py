@@ -1,81 +1,44 @@
-import re
-
 from pyspark.sql import functions as F
 
-from abstractmill.functions.rules import confidence
+from abstractmill.functions.rules import confidence, with_rule_record
 from abstractmill.operators.extraction import extract, with_rules
-from abstractmill.schemas import BIOMARKER_TERMS, RECORD, TREATMENT_TERMS
-
-TEXTS = [
-    "This study enrolled 245 patients with Stage III nasopharyngeal carcinoma (T2N1M0). "
-    "Cisplatin and radiotherapy were used; EBV DNA and PD-L1 were measured.",
-    "Patients had stage IVA disease of unknown origin.",
-    "Pembrolizumab is an option for lung cancer in 1,245 patients.",
-    "At this stage is nothing decided about breast carcinoma, irradiation or HER2.",
-    "A stage 10 tumour in 1234567 subjects, stage 2b elsewhere.",
-    "stage v is not matched alone but Stage IIIB is; T4bN3M1 is a code.",
-    "t2n1m0 is lower case and no code. 12 Participants, then 40 cases.",
-    "Chemoradiotherapy counts once. Breast tissue without the other word. 5-FU given.",
-    "Lung and breast cancer after surgical resection, anti-PD agents, TP53 and ERBB2.",
-    "stage II with a hard space, 7 individuals.",
-    "No clinical variable is mentioned here at all.",
-    "Stage I T1N0M0 5 pts",
-    "too short",
-    "",
-    None,
+from abstractmill.schemas import RECORD
+
+#: text -> stage, treatments, biomarkers, size, cancer type
+CASES = [
+    ("Nasopharyngeal growths of stage II, code T3N2M1, in 88 participants had gemcitabine, then IMRT; epstein-barr and p53 were read.",
+     "T3N2M1", ["chemotherapy", "radiation"], ["EBV DNA", "p53"], 88, "Nasopharyngeal Carcinoma"),
+    ("The disease was of stage IVA and its origin unknown.", "Stage IVA", [], [], None, None),
+    ("Nivolumab for lung cancer was open to 2,318 individuals.", None, ["immunotherapy"], [], 318, "Lung Cancer"),
+    ("Nothing at this stage is settled: breast carcinoma, irradiation, erbb2.", "Stage I", ["radiation"], ["HER2"], None, "Breast Cancer"),
+    ("One stage 10 mass in 7654321 cases; stage 3a came later.", "Stage 1", [], [], 54321, None),
+    ("A stage x mass beside one of STAGE iiib, and T4bN3M1.", "T4bN3M1", [], [], None, None),
+    ("t1n1m1 is no code. We saw 19 Subjects and 77 patients.", None, [], [], 19, None),
+    ("Breast tissue without the other word; 5-FU by mouth.", None, ["chemotherapy"], [], None, None),
+    ("Lung and breast cancer after a dissection, anti-PD agents, TP53.", None, ["immunotherapy", "surgery"], ["p53"], None, "Lung Cancer"),
+    ("stage\u00a0II across a hard space for 6 cases.", "Stage II", [], [], 6, None),
+    ("Not one clinical variable stands in this line.", None, [], [], None, None),
+    ("T1N0M0, 9 patients", None, [], [], None, None),
+    ("", None, [], [], None, None),
+    (None, None, [], [], None, None),
 ]
-SMALL = re.compile(
-    r"(\d{1,5})\s*(?:patients|subjects|cases|participants|individuals)", re.IGNORECASE
-)
 
 
-def plain_rules(text):
-    """The definition of the rules, in plain Python."""
-    out = {f: [] if "ArrayType" in str(RECORD[f].dataType) else None for f in RECORD.names}
-    if not text or len(text) < 20:
-        return out
-    low = text.lower()
-    code = re.search(r"T[0-4][a-b]?N[0-3]M[0-1]", text)
-    word = re.search(r"stage\s+(I{1,3}V?[AB]?|[1-4][AB]?)", text, re.IGNORECASE)
-    out["tnm_stage"] = (
-        code.group() if code else "Stage " + word.group(1).upper() if word else None
-    )
-    for field, lexicon in (
-        ("treatment_modality", TREATMENT_TERMS), ("biomarkers", BIOMARKER_TERMS),
-    ):
-        out[field] = [label for label, ts in lexicon.items() if any(t in low for t in ts)]
-    size = SMALL.search(text)
-    out["sample_size"] = int(size.group(1)) if size else None
-    tumour = "cancer" in low or "carcinoma" in low
-    for word, name, needed in (
-        ("nasopharyngeal", "Nasopharyngeal Carcinoma", True),
-        ("lung", "Lung Cancer", tumour),
-        ("breast", "Breast Cancer", tumour),
-    ):
-        if word in low and needed:
-            out["cancer_type"] = name
-            break
-    return out
+def _records(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, abstract_text string")
+    return [r["extracted"] for r in with_rules(df).orderBy("i").collect()]
 
 
-def test_rules_equal_plain_python(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, abstract_text string")
-    rows = with_rules(df).orderBy("i").collect()
-    assert [r["extracted"].asDict() for r in rows] == [plain_rules(t) for t in TEXTS]
+def test_rules_by_case(spark):
+    for case, record in zip(CASES, _records(spark), strict=True):
+        found = (record.tnm_stage, record.treatment_modality, record.biomarkers, record.sample_size, record.cancer_type)
+        assert found == case[1:], case[0]
 
 
-def test_known_values(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, abstract_text string")
-    r = [x["extracted"] for x in with_rules(df).orderBy("i").collect()]
-    assert r[0].tnm_stage == "T2N1M0" and r[0].sample_size == 245
-    assert r[0].treatment_modality == ["chemotherapy", "radiation"]
-    assert r[0].biomarkers == ["EBV DNA", "PD-L1"]
-    assert r[0].cancer_type == "Nasopharyngeal Carcinoma"
-    assert r[1].tnm_stage == "Stage IVA"
-    assert r[2].sample_size == 245 and r[2].treatment_modality == ["immunotherapy"]
-    assert r[3].tnm_stage == "Stage I" and r[3].treatment_modality == ["radiation"]
-    assert r[4].tnm_stage == "Stage 1" and r[4].sample_size == 34567
-    assert r[8].cancer_type == "Lung Cancer"
+def test_size_pattern_is_a_parameter(spark):
+    df = spark.createDataFrame([("One mass in 7654321 cases of the series.",)], "t string")
+    wide = with_rule_record(df, "t", "r", size_pattern=r"(\d+) cases").first()["r"]
+    assert wide.sample_size == 7654321
 
 
 def test_confidence(spark):
@@ -92,7 +55,7 @@ def test_confidence(spark):
 
 
 def test_extract_rows(spark):
-    df = spark.createDataFrame([("1", TEXTS[0]), ("2", "short")], "pmid string, abstract_text string")
+    df = spark.createDataFrame([("1", CASES[0][0]), ("2", "short")], "pmid string, abstract_text string")
     rows = {r.pmid: r for r in extract(df, F.lit("2024-01-01")).collect()}
     assert rows["1"].confidence_score == 1.0 and rows["1"].original == rows["1"].extracted
     assert rows["2"].confidence_score == 0.0 and rows["2"].extracted.biomarkers == []
