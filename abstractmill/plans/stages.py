@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,33 @@ from ..sources.archive import stored, write_archive
 from ..sources.tables import empty_table, read_table
 
 
+STATE_TABLES = ("raw", "cleaned", "extractions", "notes")
+
+
+def _manifest(spark: SparkSession, out: str) -> dict[str, list[str]]:
+    return json.loads(spark.read.text(f"{out}/manifest", wholetext=True).first()[0])
+
+
+def open_state(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The four tables as the complete run under ``out`` left them.
+
+    The folders are those that the run's manifest lists. It is written last, so a run that
+    was interrupted has none and cannot be opened.
+    """
+    tables = {name: empty_table(spark, name) for name in STATE_TABLES}
+    for name, folders in _manifest(spark, out).items():
+        for folder in folders:
+            tables[name] = tables[name].unionByName(read_table(spark, name, folder))
+    return tables
+
+
 class Run:
-    """One run over the four tables, writing each table's next state under ``out``.
+    """One run over the four tables, whose next state ``open_state(spark, out)`` opens.
 
-    ``current`` holds the tables the last complete run left; an incomplete run is repeated
-    from the same ones. Each stage is called at most once, in the order of ``full_run``.
+    ``current`` is the folder of the last complete run, or its tables; an incomplete run is
+    repeated from the same ones. Each stage is called at most once, in the order of
+    ``full_run``, and ``commit`` last: it writes the manifest, which lists the folders that
+    make up each table. Folders of earlier runs stay in it where their rows did not change.
 
     Every stage reads stored tables and writes one, so a lost executor only repeats
     tasks of the current stage, and no stage is computed twice. A table's folder holds
@@ -36,17 +60,23 @@ class Run:
         spark: SparkSession,
         out: str,
         now: Column,
-        current: dict[str, DataFrame] | None = None,
+        current: dict[str, DataFrame] | str | None = None,
     ):
         self.spark = spark
         self.out = out
         self.now = now
         self.counts: dict[str, int] = {}
         self._open: list[tuple[str, Observation]] = []
-        self.tables = {
-            name: empty_table(spark, name) for name in ("raw", "cleaned", "extractions", "notes")
-        }
-        self.tables.update(current or {})
+        self.tables = {name: empty_table(spark, name) for name in STATE_TABLES}
+        #: table -> folders of its rows; tables that were handed in have none until commit
+        self._folders: dict[str, list[str]] = {name: [] for name in STATE_TABLES}
+        self._handed: dict[str, DataFrame] = {}
+        if isinstance(current, str):
+            self._folders.update(_manifest(spark, current))
+            self.tables = open_state(spark, current)
+        elif current:
+            self._handed = dict(current)
+            self.tables.update(current)
         self._ingested = empty_table(spark, "raw")
         # Abstracts known to have no extraction, and those that must be looked up.
         self._due = empty_table(spark, "cleaned")
@@ -81,6 +111,7 @@ class Run:
             for name in ("notes", "extractions", "cleaned"):
                 self._write(name, "kept", delete_keys(self.tables[name], fresh))
                 self.tables[name] = self._read(name, "kept")
+                self._handed.pop(name, None)
         # Extractions refer to cleaned rows, so a key cleaned just now cannot have one.
         self._due, self._unsure = fresh, self.tables["cleaned"]
         self.tables["cleaned"] = self.tables["cleaned"].unionByName(fresh)
@@ -90,6 +121,8 @@ class Run:
         """Forget all notes and extractions, reviewed ones too, so that all are redone."""
         for name in ("notes", "extractions"):
             self.tables[name] = reset(self.tables[name])
+            self._folders[name] = []
+            self._handed.pop(name, None)
         self._due, self._unsure = self.tables["cleaned"], empty_table(self.spark, "cleaned")
 
     def extract(
@@ -130,6 +163,16 @@ class Run:
         self.tables["notes"] = self.tables["notes"].unionByName(self._read("notes", "new"))
         return self.tables["notes"]
 
+    def commit(self) -> None:
+        """Write the manifest: from now on the run's state can be opened."""
+        for name, table in self._handed.items():
+            folder = f"{self.out}/{name}/part=current"
+            table.write.mode("overwrite").parquet(folder)
+            self._folders[name].insert(0, folder)
+        self._handed = {}
+        text = self.spark.createDataFrame([(json.dumps(self._folders),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{self.out}/manifest")
+
     def counters(self) -> DataFrame:
         """Counts as a table of one row per stage."""
         return self.spark.createDataFrame(list(self.counts.items()), "stage string, n bigint")
@@ -139,7 +182,12 @@ class Run:
 
     def _write(self, name: str, part: str, df: DataFrame, stage: str | None = None) -> None:
         df = df if stage is None else self._observed(df, stage)
-        df.write.mode("overwrite").parquet(f"{self.out}/{name}/part={part}")
+        folder = f"{self.out}/{name}/part={part}"
+        df.write.mode("overwrite").parquet(folder)
+        held = [f for f in self._folders[name] if f != folder]
+        if part == "kept":  # in place of all earlier rows, beside this run's new ones
+            held = [f for f in held if f == f"{self.out}/{name}/part=new"]
+        self._folders[name] = [*held, folder]
         self._settle()
 
     def _observed(self, df: DataFrame, stage: str) -> DataFrame:
@@ -159,13 +207,14 @@ def ingest_and_clean(
     out: str,
     now: Column,
     order_by: list[str],
-    current: dict[str, DataFrame] | None = None,
+    current: dict[str, DataFrame] | str | None = None,
     only_new: bool = False,
 ) -> Run:
     """Ingest, then clean."""
     run = Run(spark, out, now, current)
     run.ingest(incoming, order_by)
     run.clean(only_new)
+    run.commit()
     return run
 
 
@@ -177,7 +226,7 @@ def full_run(
     order_by: list[str],
     archive_path: str,
     archive_date: str,
-    current: dict[str, DataFrame] | None = None,
+    current: dict[str, DataFrame] | str | None = None,
     make_predictor: PredictorFactory | None = None,
     model_version: str = RULES_VERSION,
     only_new: bool = False,
@@ -197,4 +246,5 @@ def full_run(
         run.reset()
     run.extract(make_predictor, model_version, max_chars, partitions)
     run.notes()
+    run.commit()
     return run

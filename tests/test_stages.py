@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abstractmill.operators.keyed import upsert
-from abstractmill.plans.stages import full_run, ingest_and_clean
+from abstractmill.plans.stages import Run, full_run, ingest_and_clean, open_state
 from abstractmill.sources.archive import read_archive, shared_dir, write_archive
 
 NOW = "2024-06-01"
@@ -127,3 +127,31 @@ def test_no_shared_folder_is_an_error():
     bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(bare, "x")
+
+
+def _rows(tables):
+    return {name: sorted(map(str, df.collect())) for name, df in tables.items()}
+
+
+def test_state_is_opened_from_disk(spark):
+    first = _run(spark, _raw(spark, [("1", "a", LONG), ("2", "b", LONG)]))
+    assert _rows(open_state(spark, first.out)) == _rows(first.tables)
+    second = _run(spark, _raw(spark, [("2", "z", LONG), ("3", "c", LONG)]), first.out, only_new=True)
+    state = open_state(spark, second.out)
+    assert _rows(state) == _rows(second.tables)
+    assert {name: df.count() for name, df in state.items()} == dict.fromkeys(state, 3)
+    again = _run(spark, _raw(spark, [("4", "d", LONG)]), second.out, only_new=True, reset_first=True)
+    state = open_state(spark, again.out)
+    assert _rows(state) == _rows(again.tables)
+    assert state["extractions"].select("pmid").distinct().count() == state["extractions"].count() == 4
+    whole = _run(spark, _raw(spark, []), again.out)
+    assert _rows(open_state(spark, whole.out)) == _rows(whole.tables)
+    handed = _run(spark, _raw(spark, [("5", "e", LONG)]), dict(whole.tables), only_new=True)
+    assert {name: df.count() for name, df in open_state(spark, handed.out).items()} == dict.fromkeys(state, 5)
+
+
+def test_interrupted_run_is_invisible(spark):
+    run = Run(spark, shared_dir(spark, "run"), F.lit(NOW))
+    run.ingest(_raw(spark, [("1", "a", LONG)]), ["raw_json"])
+    with pytest.raises(Exception):
+        open_state(spark, run.out)
