@@ -24,7 +24,7 @@ def clean_abstracts(raw: DataFrame, cleaned_at: Column | None = None) -> DataFra
     """Cleaned rows of every raw record whose abstract is longer than ten characters.
 
     Entities of all three texts are decoded in one Python step, everything else is
-    native. The other texts are squeezed only for rows that stay.
+    native. The other texts are squeezed only for rows that stay. Missing lists stay null.
     """
     stamp = F.current_timestamp() if cleaned_at is None else cleaned_at
     texts = ("title", "abstract_text", "journal")
@@ -34,14 +34,13 @@ def clean_abstracts(raw: DataFrame, cleaned_at: Column | None = None) -> DataFra
     kept = pin(decoded, "abstract_text", squeeze(F.col("abstract_text"))).where(
         F.length("abstract_text") > MIN_ABSTRACT
     )
-    no_items = F.array().cast("array<string>")
     return kept.select(
         "pmid",
         squeeze(F.col("title")).alias("title"),
         "abstract_text",
-        F.coalesce("authors", no_items).alias("authors"),
+        "authors",
         F.try_to_date("pub_date").alias("pub_date"),
-        F.coalesce("mesh_terms", no_items).alias("mesh_terms"),
+        "mesh_terms",
         squeeze(F.col("journal")).alias("journal"),
         stamp.cast("timestamp").alias("cleaned_at"),
     )

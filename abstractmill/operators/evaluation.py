@@ -107,15 +107,20 @@ def validation_metrics(pairs: DataFrame) -> DataFrame:
 
 
 def validation_run(
-    metrics: DataFrame, run_id: str, run_at: Column, model_version: str
+    metrics: DataFrame,
+    run_id: str,
+    run_at: Column,
+    model_version: str,
+    sample_size: int | None = None,
 ) -> DataFrame:
-    """Rows to append to the log of validation runs."""
+    """Rows to append to the log of validation runs; ``sample_size`` is the run's pairs."""
     return conform(
         metrics.withColumns(
             {
                 "run_id": F.lit(run_id),
                 "run_at": run_at.cast("timestamp"),
                 "model_version": F.lit(model_version),
+                "sample_size": F.lit(sample_size),
             }
         ),
         VALIDATION_RUNS,

@@ -27,7 +27,7 @@ from ..sources.archive import read_archive, shared_dir, stored, write_archive
 from ..sources.articles import article_lines, read_articles, rejected_articles
 from . import fixtures as fx
 from . import models
-from .stages import full_run
+from .stages import full_run, open_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,16 +116,15 @@ def run_clean_abstracts(spark, sf):
 @query
 def archive_readback(spark, sf):
     path = shared_dir(spark, "archive")
-    raw = fx.raw_records(spark, sf)
+    raw = stored(fx.raw_records(spark, sf), shared_dir(spark, "raw"))
     write_archive(raw, path, "2024-05-31")
     write_archive(raw, path, "2024-06-01")
     write_archive(raw, path, "2024-06-01")
-    stored = read_archive(spark, path).where(
+    day = read_archive(spark, path).where(
         F.col("archive_date") == F.lit("2024-06-01").cast("date")
     )
-    return stored.select(
-        "pmid", "archive_date", F.get_json_object("raw_json", "$.journal").alias("journal")
-    )
+    dated = parse_payload(day).withColumn("archive_date", F.lit("2024-06-01").cast("date"))
+    return dated.select("pmid", "archive_date", "title", "abstract_text", "journal")
 
 
 # --- extraction, notes -------------------------------------------------------------
@@ -311,6 +310,25 @@ def stage_counts(spark, sf):
     return run.counters()
 
 
+@query
+def run_run_state(spark, sf):
+    out = shared_dir(spark, "run")
+    full_run(
+        spark,
+        stored(fx.raw_records(spark, sf), shared_dir(spark, "raw")),
+        out,
+        NOW(),
+        ["fetched_at"],
+        shared_dir(spark, "archive"),
+        "2024-06-01",
+    )
+    opened = open_state(spark, out)
+    noted = opened["notes"].select("pmid", F.col("model_version").alias("note_version"))
+    return opened["extractions"].join(noted, "pmid").select(
+        "pmid", *_flat("extracted"), "confidence_score", "human_verified", "note_version"
+    )
+
+
 # --- review ------------------------------------------------------------------------
 
 
@@ -452,10 +470,12 @@ def validation_run_log(spark, sf):
     pairs = evaluation.pair_by_key(fx.predictions(spark, sf), fx.gold(spark, sf))
     path = shared_dir(spark, "validation_runs")
     run = evaluation.validation_run(
-        evaluation.validation_metrics(pairs), "run-1", NOW(), "v0"
+        evaluation.validation_metrics(pairs), "run-1", NOW(), "v0", pairs.count()
     )
     run.write.mode("append").parquet(path)
-    return spark.read.parquet(path).select("run_id", "model_version", "field", "tp", "n")
+    return spark.read.parquet(path).select(
+        "run_id", "model_version", "field", "tp", "n", "correct", "sample_size"
+    )
 
 
 # --- models, quality ---------------------------------------------------------------
@@ -499,11 +519,16 @@ def mart_treatment_outcomes(spark, sf):
 @query
 def built_models(spark, sf):
     built = models.build_models(fx.abstracts(spark, sf), shared_dir(spark, "models"))
-    totals = [
-        built[name].agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"))
-        for name in sorted(built)
-    ]
-    return quality.report(*totals)
+    studies = built["mart_cancer_studies"].select(
+        F.lit("mart_cancer_studies").alias("model"), "publication_year", "cancer_type", "journal",
+        F.col("study_count").alias("n"), F.col("chemo_studies").alias("chemo"),
+    )
+    outcomes = built["mart_treatment_outcomes"].select(
+        F.lit("mart_treatment_outcomes").alias("model"), "publication_year", "cancer_type",
+        F.lit(None).cast("string").alias("journal"),
+        F.col("total_abstracts").alias("n"), F.col("chemo_count").alias("chemo"),
+    )
+    return _year_first(studies.unionByName(outcomes))
 
 
 @query

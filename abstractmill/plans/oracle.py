@@ -421,9 +421,9 @@ select pmid, '  <b>' || title || '</b> ' as title,
        {_joined('mesh_terms')} as mesh_terms from abstracts""")
     q["normalize_text"] = f"select page_id, {_collapse(_DECODED)} as clean_text from pages"
     q["clean_abstracts"] = _with(ABSTRACTS, select=_CLEANED)
-    q["archive_readback"] = """
-select cast(doc_id as varchar) as pmid, date '2024-06-01' as archive_date, source as journal
-from documents"""
+    q["archive_readback"] = _with(ABSTRACTS, select="""
+select pmid, date '2024-06-01' as archive_date, '  <b>' || title || '</b> ' as title,
+       '<p>' || abstract_text || ' &amp; more</p>' as abstract_text, journal from abstracts""")
 
     q["rule_extract"] = _with(ABSTRACTS, rules, select=f"select pmid, {rule_columns} from rules")
     q["extraction_confidence"] = _with(PAIRS, select=f"""
@@ -512,6 +512,9 @@ select cast(0 as bigint) as rows_after,
     q["backfill_original"] = _with(EXTRACTIONS, select="select pmid, " + ", ".join(
         f"case when has_original then {old_orig[f]} else {old_rec[f]} end as original_{f}"
         for f in RECORD) + " from extractions")
+    q["run_state"] = _with(ABSTRACTS, rules, select=f"""
+select pmid, {rule_columns}, {_score('r_', True)} as confidence_score, false as human_verified,
+       'template-v1' as note_version from rules""")
     q["stage_counts"] = """
 with n as (select count(*) as n from documents)
 select unnest(['ingested', 'archived', 'raw', 'cleaned', 'extracted', 'noted']) as stage, n
@@ -587,8 +590,10 @@ where human_verified and has_original""")
             [_text_metrics(f) for f in ("tnm_stage", "cancer_type")]
             + [_list_metrics(f) for f in LISTS]) + ")",
         select=f"""select 'run-1' as run_id, 'v0' as model_version, field, tp,
-       cast(null as bigint) as n from prf
-union all select 'run-1', 'v0', field, null, n from ({_EVAL_SIZE})""")
+       cast(null as bigint) as n, cast(null as bigint) as correct,
+       (select count(*) from scored) as sample_size from prf
+union all select 'run-1', 'v0', field, null, n, correct, (select count(*) from scored)
+from ({_EVAL_SIZE})""")
 
     q["stg_abstracts"] = _with(ABSTRACTS, select=f"""
 select pmid as abstract_id, pmid, title, pub_date as publication_date,
@@ -623,15 +628,14 @@ select publication_year, cancer_type, count(*) as total_abstracts,
        {n('mentions_ebv')} as ebv_mentions, {n('mentions_pdl1')} as pdl1_mentions
 from flagged where publication_year is not null group by 1, 2
 order by publication_year desc, total_abstracts desc""")
-    q["built_models"] = _with(ABSTRACTS, FLAGGED, select="""
-select 'stg_abstracts' as model, count(*) as n from flagged
-union all select 'int_abstracts_parsed', count(*) from flagged
-union all select 'mart_cancer_studies', count(*) from (
-  select distinct publication_year, cancer_type, journal from flagged
-  where publication_year is not null)
-union all select 'mart_treatment_outcomes', count(*) from (
-  select distinct publication_year, cancer_type from flagged
-  where publication_year is not null)""")
+    q["built_models"] = _with(ABSTRACTS, FLAGGED, select=f"""
+select 'mart_cancer_studies' as model, publication_year, cancer_type, journal, count(*) as n,
+       {n('mentions_chemotherapy')} as chemo
+from flagged where publication_year is not null group by all
+union all
+select 'mart_treatment_outcomes', publication_year, cancer_type, null, count(*),
+       {n('mentions_chemotherapy')}
+from flagged where publication_year is not null group by all""")
     q["dq_report"] = _with(ABSTRACTS, EXTRACTIONS, FLAGGED, select=" union all ".join([
         _dq("cleaned", "not_null", "pmid", _nulls("abstracts", "pmid")),
         _dq("cleaned", "not_null", "pub_date", _nulls("abstracts", "pub_date")),

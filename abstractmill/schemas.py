@@ -88,8 +88,10 @@ VALIDATION_RUNS = T.StructType(
         T.StructField("precision", T.DoubleType()),
         T.StructField("recall", T.DoubleType()),
         T.StructField("f1", T.DoubleType()),
+        T.StructField("correct", T.LongType()),
         T.StructField("accuracy", T.DoubleType()),
         T.StructField("n", T.LongType()),
+        T.StructField("sample_size", T.LongType()),
     ]
 )
 

@@ -34,8 +34,8 @@ def test_clean_rows(spark):
     assert rows["0"].title == "T 1" and rows["0"].abstract_text == "Long > enough text"
     assert rows["0"].journal == "" and rows["0"].authors == ["A, B"]
     assert str(rows["0"].pub_date) == "2023-02-28" and str(rows["0"].cleaned_at)[:10] == "2024-01-01"
-    assert rows["1"].pub_date is None and rows["1"].authors == []
-    assert rows["7"].pub_date is None and rows["7"].mesh_terms == [] and rows["7"].authors == ["A, B"]
+    assert rows["1"].pub_date is None and rows["1"].authors is None
+    assert rows["7"].pub_date is None and rows["7"].mesh_terms is None and rows["7"].authors == ["A, B"]
 
 
 def test_one_parse_and_one_python_step(spark):
