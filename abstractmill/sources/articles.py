@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +46,7 @@ ARTICLE_XML = _struct(
 )
 
 
-def _parsed(lines: DataFrame, value: str) -> DataFrame:
+def _parsed(lines: DataFrame, value: str, keep: Sequence[str] = ()) -> DataFrame:
     """The article's XML and its citation ``c``, null in a row that is no well-formed XML.
 
     All markup and comments inside titles and abstracts are removed before parsing,
@@ -57,9 +59,11 @@ def _parsed(lines: DataFrame, value: str) -> DataFrame:
         T.StructType([*ARTICLE_XML.fields, T.StructField("_corrupt_record", _S)]),
         {"rowTag": "PubmedArticle", "ignoreSurroundingSpaces": "false"},
     )
-    records = lines.where(F.col(value).rlike(r"<PubmedArticle[\s>]")).select(closed.alias("xml"))
+    records = lines.where(F.col(value).rlike(r"<PubmedArticle[\s>]")).select(
+        closed.alias("xml"), *keep
+    )
     whole = pin(records, "read", read)
-    return whole.select("xml", F.col("read._corrupt_record").alias("corrupt"), F.col("read.MedlineCitation").alias("c"))
+    return whole.select("xml", *keep, F.col("read._corrupt_record").alias("corrupt"), F.col("read.MedlineCitation").alias("c"))
 
 
 def rejected_articles(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -69,13 +73,15 @@ def rejected_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     return bad.select(F.nullif(key, F.lit("")).alias("pmid"), "xml")
 
 
-def parse_articles(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Flat records from one XML article per row.
+def parse_articles(
+    lines: DataFrame, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Flat records from one XML article per row, and the columns ``keep`` of its line.
 
     Rows without an article, a key or an article body are skipped; those that are no
     well-formed XML are the rows of ``rejected_articles``.
     """
-    kept = _parsed(lines, value).where(
+    kept = _parsed(lines, value, keep).where(
         F.col("corrupt").isNull() & (F.col("c.PMID") != "") & F.col("c.Article").isNotNull()
     )
     a = F.col("c.Article")
@@ -94,6 +100,7 @@ def parse_articles(lines: DataFrame, value: str = "value") -> DataFrame:
         F.filter(
             _list(F.col("c.MeshHeadingList.MeshHeading.DescriptorName")), lambda x: x != ""
         ).alias("mesh_terms"),
+        *keep,
     )
 
 
@@ -130,10 +137,12 @@ def article_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", RECORD_END).text(path)
 
 
-def to_raw(articles: DataFrame, fetched_at: Column) -> DataFrame:
-    """Raw-table rows: the record as JSON text under its key."""
+def to_raw(articles: DataFrame, fetched_at: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw-table rows: the record without ``keep`` as JSON text under its key, and ``keep``."""
+    record = [c for c in articles.columns if c not in keep]
     return articles.select(
         "pmid",
-        F.to_json(F.struct(*articles.columns), {"ignoreNullFields": "false"}).alias("raw_json"),
+        F.to_json(F.struct(*record), {"ignoreNullFields": "false"}).alias("raw_json"),
         fetched_at.cast("timestamp").alias("fetched_at"),
+        *keep,
     )

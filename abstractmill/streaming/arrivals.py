@@ -33,7 +33,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start the ingest of all files not seen yet; the query ends when they are done.
 
-    A micro-batch writes only its own partition and looks for known keys only in the
+    Of articles that repeat a key the one of the earliest file counts (by time, then
+    name, then the record's text). A micro-batch writes only its own partition and looks for known keys only in the
     others, so a batch that is replayed after a failure replaces what it had written.
     """
     empty = spark.createDataFrame([], _STORED)
@@ -44,17 +45,23 @@ def ingest_stream(
         .option("lineSep", RECORD_END)
         .option("maxFilesPerTrigger", max_files)
         .load(incoming)
+        .select(
+            "value",
+            F.col("_metadata.file_modification_time").alias("arrived"),
+            F.col("_metadata.file_path").alias("file"),
+        )
     )
+    order = ["arrived", "file"]
 
     def add(rows: DataFrame, batch: int) -> None:
         stored = rows.sparkSession.read.schema(_STORED).parquet(raw_path)
         known = stored.where(F.col("batch") != batch).drop("batch")
-        absent_rows(known, rows, ["raw_json"]).withColumn("batch", F.lit(batch)).write.mode(
+        absent_rows(known, rows, [*order, "raw_json"]).withColumn("batch", F.lit(batch)).write.mode(
             "overwrite"
         ).option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(raw_path)
 
     return (
-        to_raw(parse_articles(lines), fetched_at)
+        to_raw(parse_articles(lines, keep=order), fetched_at, keep=order)
         .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

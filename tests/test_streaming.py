@@ -1,3 +1,4 @@
+import os
 from pyspark.sql import functions as F
 
 from abstractmill.streaming.arrivals import ingest_stream, read_raw
@@ -44,3 +45,14 @@ def test_replayed_batches_replace_themselves(spark, tmp_path):
         assert query.awaitTermination(120)
         assert _titles(spark, raw) == {"1": "a", "2": "b"}
         assert read_raw(spark, raw).count() == 2
+
+
+def test_earliest_file_of_a_batch_wins(spark, tmp_path):
+    incoming, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    (tmp_path / "in").mkdir()
+    for name, title, time in (("b.xml", "z first", 1000), ("a.xml", "a later", 2000)):
+        (tmp_path / "in" / name).write_text(ARTICLE.format("1", title))
+        os.utime(tmp_path / "in" / name, (time, time))
+    query = ingest_stream(spark, incoming, raw, str(tmp_path / "marks"), F.lit("2024-01-01"))
+    assert query.awaitTermination(120)
+    assert _titles(spark, raw) == {"1": "z first"}
