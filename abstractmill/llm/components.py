@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
     reduced to a minimum in the map tasks; no list of neighbours is ever built. Rounds end
     when the edges do not change, after about log(n) of them.
     """
-    edges = stored(edges.select("u", "v").filter("u != v").distinct(), "edges")
+    edges = stored(edges.select("u", "v").filter("u != v").distinct(), "edges", narrow=True)
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -39,5 +39,5 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := state(edges)) != before:
         before = now
         if now[0]:
-            edges = stored(_small_star(_large_star(edges)), "edges")
+            edges = stored(_small_star(_large_star(edges)), "edges", narrow=True)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -13,12 +13,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """The rows written as Parquet to the shared folder and read again.
 
+    narrow: the rows are few and short against the other tables of a plan (edges, say), so they go to
+    a sixteenth of the shuffle partitions' number of files.
+
     Later plans start from the files, so a lost executor costs the tasks that were running
     on it, and rows that depend on how they were dealt out do not change any more.
     """
     path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    if narrow:
+        df = df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
