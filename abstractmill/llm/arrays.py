@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are handled at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -82,6 +82,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - first
 
 
+def block_numbers(partition: int) -> Iterator[int]:
+    """Numbers of the blocks of a scan's partition, distinct over the table, in 31 bits."""
+    if partition >= 1 << 19:
+        raise ValueError("more than 2 ** 19 partitions: raise spark.sql.files.maxPartitionBytes")
+    for n in range(1 << 12):
+        yield partition << 12 | n
+    raise ValueError("more than 4096 blocks in a partition: lower spark.sql.files.maxPartitionBytes")
+
+
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of a string column.
 

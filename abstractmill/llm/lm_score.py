@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Words, mix, pieces, span_hashes, text_bytes
+from .arrays import Words, block_numbers, mix, pieces, span_hashes, text_bytes
 from .rlz import _by_group, from_bytes, to_bytes
 from .stored import stored
 
@@ -53,7 +53,7 @@ CLASSES = SHORT // IN_CLASS
 STATE, WINDOW, SCORED = 32, 20, 64
 #: Blocks that are scored together.
 TOGETHER = 4
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 CODED = "bucket int, block int, together int, hashes binary, counts binary, tails binary, docs binary, numbers binary"
 TOTALS = "block int, bucket int, together int, totals binary"
 STATS = "bucket int, n binary, v binary, words binary, totals binary, tails binary"
@@ -74,9 +74,10 @@ def _code(buckets: int):
     """Blocks of documents as numbers of their distinct words, which are in the order of the groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 12
+        blocks = block_numbers(TaskContext.get().partitionId())
         for batch in batches:
             for part in pieces(batch, "text", BLOCK_BYTES):
+                block = next(blocks)
                 words = Words(part.column("text"), lower=True)
                 number, held = words.coded()
                 distinct = pa.array(held, pa.binary())
@@ -109,7 +110,6 @@ def _code(buckets: int):
                         "numbers": pa.array([to_bytes(numbers)] + [None] * n, pa.binary()),
                     }
                 )
-                block += 1
 
     return run
 

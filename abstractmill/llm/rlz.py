@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import Words, grams, mix, pieces
+from .arrays import Words, block_numbers, grams, mix, pieces
 
 BLOCK_BYTES = 2 << 20
 #: Bytes of a window's hash that are sent.
@@ -90,9 +90,10 @@ def from_bytes(data: bytes) -> pa.RecordBatch:
 
 def _send(text: str, window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 12
+        blocks = block_numbers(TaskContext.get().partitionId())
         for batch in batches:
             for part in pieces(batch, text, BLOCK_BYTES):
+                block = next(blocks)
                 h, _, group = _windows(Words(part.column(text), lower=False), window, buckets)
                 order, bounds = _by_group(group, buckets)
                 h = h[order]
@@ -105,7 +106,6 @@ def _send(text: str, window: int, buckets: int):
                         "texts": pa.array([to_bytes(part)] + [None] * len(used), pa.binary()),
                     }
                 )
-                block += 1
 
     return run
 
