@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Words, mix, pieces, shingles
+from .arrays import Words, block_numbers, mix, pieces, shingles
 from .components import components
 from .rlz import _by_group, _pack, _unpack, from_bytes, to_bytes
 from .stored import stored
@@ -53,6 +53,8 @@ from .stored import stored
 BLOCK_BYTES = 2 << 20
 #: Light sets have at most this many shingles, whatever the costs.
 MOST_LIGHT = 24
+#: Scanning and verifying a list entry costs as much as enumerating so many subsets.
+ENTRY_COST = 8
 SENT = "bucket int, block int, hashes binary, rows binary, docs binary"
 ANSWER = "block int, bucket int, hashes binary, rows binary, counts binary, docs binary"
 
@@ -86,9 +88,10 @@ def _stored_sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray
 
 def _send(sets: Callable, buckets: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 12
+        blocks = block_numbers(TaskContext.get().partitionId())
         for batch in batches:
             for keys, rows, docs in sets(batch):
+                block = next(blocks)
                 group = ((mix(keys) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 order, bounds = _by_group(group.astype(np.int32), buckets)
                 keys = keys[order]
@@ -104,7 +107,6 @@ def _send(sets: Callable, buckets: int, width: int):
                         "docs": pa.array([to_bytes(docs)] + [None] * len(used), pa.binary()),
                     }
                 )
-                block += 1
 
     return run
 
@@ -165,18 +167,23 @@ def _maybe_linked(table: pa.Table) -> pa.Table:
 
 
 def _ranked(table: pa.Table) -> pa.Table:
-    """Sets that may still link: keys by rising frequency, how many of them are in the prefix, costs."""
+    """Sets that may still link: keys by rising frequency, how many of them are in the prefix."""
     docs, bounds, keys, counts = _repeated(table, 8)
     n, same = docs.column("n").to_numpy(), docs.column("same").to_numpy()
     held = np.diff(bounds)
-    out: dict[str, list] = {x: [] for x in ("same", "n", "held", "prefix", "scan", "score", "keys")}
+    out: dict[str, list] = {x: [] for x in ("same", "n", "held", "prefix", "score", "bits0", "bits1", "keys")}
+    # A parity bit for each of 128 parts of the keys; see _may_link.
+    bit = mix(keys ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(127)
+    flag = np.uint64(1) << (bit & np.uint64(63))
+    halves = [np.append(np.where(half, flag, np.uint64(0)), np.uint64(0)) for half in (bit < 64, bit >= 64)]
+    low, high = (np.bitwise_xor.reduceat(x, bounds[:-1]).view(np.int64) for x in halves)
     for i in np.flatnonzero(5 * held >= 4 * n):
         own = counts[bounds[i] : bounds[i + 1]]
         prefix = max(0, int(n[i] + (-4 * n[i] // 5) + 1 - (n[i] - held[i])))
-        row = (same[i], n[i], held[i], prefix, int(own[:prefix].sum()), float(np.log(own).sum() / n[i]), keys[bounds[i] : bounds[i + 1]].tobytes())
+        row = (same[i], n[i], held[i], prefix, float(np.log(own).sum() / n[i]), low[i], high[i], keys[bounds[i] : bounds[i + 1]].tobytes())
         for name, x in zip(out, row, strict=True):
             out[name].append(x)
-    kinds = (*[pa.int64()] * 5, pa.float64(), pa.binary())
+    kinds = (*[pa.int64()] * 4, pa.float64(), pa.int64(), pa.int64(), pa.binary())
     return pa.table({name: pa.array(x, kind) for (name, x), kind in zip(out.items(), kinds, strict=True)})
 
 
@@ -187,11 +194,11 @@ def _subsets(n: int, held: int, most: int) -> list[tuple[int, int]]:
 
 
 def light_boundary(by_size: list[tuple[int, int, int, int]]) -> int:
-    """The largest light size, from rows (size, repeated shingles, sets, entries of their lists)."""
+    """The largest light size, from rows (size, repeated shingles, sets, their entries in lists)."""
     best, least = 0, float("inf")
     for x in range(MOST_LIGHT + 1):
         light = sum(count * sum(comb(held, c) for _, c in _subsets(n, held, x)) for n, held, count, _ in by_size if n <= x)
-        heavy = sum(scan for n, _, _, scan in by_size if 5 * n > 4 * x)
+        heavy = sum(ENTRY_COST * entries for n, _, _, entries in by_size if 5 * n > 4 * x)
         if light + heavy < least:
             best, least = x, light + heavy
     return best
@@ -225,9 +232,16 @@ def _light_links(sets: DataFrame, most: int) -> DataFrame:
     return found.join(linked, key).filter("same != m").select(F.col("same").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _may_link(n: Column, held: Column, other_n: Column, other_held: Column) -> Column:
-    """Whether sizes and repeated shingles allow a link."""
-    return 9 * F.least(held, other_held) >= 4 * (n + other_n)
+def _may_link(a: str, b: str) -> Column:
+    """Whether sizes and repeated shingles allow a link of the sets in columns `a` and `b`.
+
+    Sets share no more than the repeated shingles of either. Each shingle that only one of
+    them has flips one parity bit, so they differ in as many shingles at least as in bits.
+    """
+    x, y = ({c: F.col(f"{p}.{c}") for c in ("n", "held", "bits0", "bits1")} for p in (a, b))
+    differ = sum(F.bit_count(x[c].bitwiseXOR(y[c])) for c in ("bits0", "bits1"))
+    total = x["n"] + y["n"]
+    return (9 * F.least(x["held"], y["held"]) >= 4 * total) & (9 * (x["held"] + y["held"] - differ) >= 8 * total)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -254,7 +268,7 @@ def _heavy_links(sets: DataFrame, most_light: int) -> DataFrame:
     """Edges that connect all sets of which one at least is heavy."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("same", "n", "held", "score")
+        names = ("same", "n", "held", "score", "bits0", "bits1")
         for batch in batches:
             size = batch.column("prefix").to_numpy()
             keys = [np.frombuffer(k, np.int64)[:p] for k, p in zip(batch.column("keys").to_pylist(), size, strict=True)]
@@ -263,14 +277,15 @@ def _heavy_links(sets: DataFrame, most_light: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"key": pa.array(key)} | {c: batch.column(c).take(row) for c in names})
 
     heavy = sets.filter(5 * F.col("n") > 4 * F.lit(most_light)).filter("prefix > 0")
-    entries = stored(heavy.mapInArrow(prefixes, "key long, same long, n long, held long, score double"), "lists")
+    entries = stored(heavy.mapInArrow(prefixes, "key long, same long, n long, held long, score double, bits0 long, bits1 long"), "lists")
 
-    centre = F.max(F.struct("score", "same", "n", "held")).alias("c")
+    centre = F.max(F.struct("score", "same", "n", "held", "bits0", "bits1")).alias("c")
     centres = entries.groupBy("key").agg(centre, F.count("*").alias("size")).filter("size > 1")
     first = (
-        entries.join(centres, "key")
-        .filter((F.col("same") != F.col("c.same")) & _may_link(F.col("n"), F.col("held"), F.col("c.n"), F.col("c.held")))
-        .select(F.col("same").alias("u"), F.col("c.same").alias("v"))
+        entries.alias("e")
+        .join(centres, "key")
+        .filter((F.col("e.same") != F.col("c.same")) & _may_link("e", "c"))
+        .select(F.col("e.same").alias("u"), F.col("c.same").alias("v"))
         .distinct()
     )
     links = stored(_verified(first, sets), "links")
@@ -288,11 +303,12 @@ def _heavy_links(sets: DataFrame, most_light: int) -> DataFrame:
     open_lists = lists.filter("low != high").select("key", "main", "least_n")
     # A set outside the list's main component that could still link with its smallest one.
     loose = placed.join(open_lists, "key").filter((F.col("component") != F.col("main")) & (9 * F.col("held") >= 4 * (F.col("n") + F.col("least_n"))))
-    loose = stored(loose.select("key", "same", "n", "held", "component"), "loose")
-    a, b = loose.alias("a"), placed.select("key", "same", "n", "held", "component").alias("b")
+    member = ["key", "same", "n", "held", "bits0", "bits1", "component"]
+    loose = stored(loose.select(*member), "loose", narrow=True)
+    a, b = loose.alias("a"), placed.select(*member).alias("b")
     rest = (
         a.join(b, F.col("a.key") == F.col("b.key"))
-        .filter((F.col("a.component") != F.col("b.component")) & _may_link(F.col("a.n"), F.col("a.held"), F.col("b.n"), F.col("b.held")))
+        .filter((F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
         .select(F.least("a.same", "b.same").alias("u"), F.greatest("a.same", "b.same").alias("v"))
         .distinct()
     )
@@ -315,12 +331,12 @@ def shingle_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     members = stored(exchange(texts, _text_sets, 6, False, _maybe_linked, "doc_id long, n long, same long, keys binary"), "members")
     equal = members.filter("keys is not null").groupBy("same").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
     ranked = exchange(
-        equal, _stored_sets, 8, True, _ranked, "same long, n long, held long, prefix long, scan long, score double, keys binary"
+        equal, _stored_sets, 8, True, _ranked, "same long, n long, held long, prefix long, score double, bits0 long, bits1 long, keys binary"
     )
     sets = stored(ranked, "sets")
 
     small = sets.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n", "held")
-    by_size = [tuple(r) for r in small.agg(F.count("*"), F.sum("scan")).collect()]  # bounded by the sizes
+    by_size = [tuple(r) for r in small.agg(F.count("*"), F.sum("prefix")).collect()]  # bounded by the sizes
     boundary = light_boundary(by_size)
     links = _heavy_links(sets, boundary).union(_light_links(sets, boundary)) if boundary else _heavy_links(sets, 0)
     labels = components(links).withColumnRenamed("node", "same")
