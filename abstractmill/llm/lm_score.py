@@ -52,7 +52,7 @@ CLASSES = SHORT // IN_CLASS
 #: Size of the state, steps of backpropagation, steps scored at once.
 STATE, WINDOW, SCORED = 32, 20, 64
 #: Blocks that are scored together.
-TOGETHER = 4
+TOGETHER = 2
 BLOCK_BYTES = 3 << 20
 CODED = "bucket int, block int, together int, hashes binary, counts binary, tails binary, docs binary, numbers binary"
 TOTALS = "block int, bucket int, together int, totals binary"
