@@ -11,9 +11,12 @@ softmax over its words; all other words are in `TAIL` classes by their last lett
 a word has the share (c + 0.1) / (N_t + 0.1 (V_t + 1)) of its class. The counts of the whole
 corpus set the biases and these shares, so before training the model is the unigram
 model by classes. It is trained by truncated backpropagation through windows of `WINDOW`
-steps (exact gradients in a window, state carried into the next one, Adam) on the
-texts of at most `fit_docs` training documents (those with the smallest hash of their id, a
-documented bound).
+steps (exact gradients in a window, state carried into the next one, Adam) on every training
+document: the blocks are dealt to `ROUNDS` rounds; in each one every task goes once through its
+blocks of the round, starting from the weights of the round before, and the tasks' weights are
+averaged in proportion to their words. The first round starts from weights learned on the
+driver from at most `fit_docs` training documents (those with the smallest hash of their id), which are in
+a round as well. The size of the network is fixed.
 
 *Scores.* Documents run side by side in lanes; the state is carried across windows from the
 first word to the end, so a score is the log-likelihood of the complete document.
@@ -28,13 +31,16 @@ columns are ignored.
 
 Scale: texts are read once, coded as word numbers (some 2 bytes a token, compressed) and
 stored. Hot words cost one entry a block and group. Driver and broadcast hold the
-short list and the weights only, whose sizes are fixed.
+short list and the weights only, whose sizes are fixed. A task of training holds one block and sends
+its weights (0.6 MB), which are averaged like the counts, in about sqrt(groups) tasks.
 """
 
 from __future__ import annotations
 
+import copy
 import heapq
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +59,12 @@ CLASSES = SHORT // IN_CLASS
 STATE, WINDOW, SCORED = 32, 20, 64
 #: Blocks that are scored together.
 TOGETHER = 2
+#: Rounds of training over all blocks, lanes of a block in them, and the rate of the first one.
+ROUNDS, LANES, RATE = 4, 512, 0.004
 BLOCK_BYTES = 3 << 20
 CODED = "bucket int, block int, together int, hashes binary, counts binary, tails binary, docs binary, numbers binary"
 TOTALS = "block int, bucket int, together int, totals binary"
+TRAINED = "task int, tokens long, weights binary"
 STATS = "bucket int, n binary, v binary, words binary, totals binary, tails binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -71,7 +80,10 @@ def tail_class(words: pa.Array) -> np.ndarray:
 
 
 def _code(buckets: int):
-    """Blocks of documents as numbers of their distinct words, which are in the order of the groups."""
+    """Blocks of documents as numbers of their distinct words, which are in the order of the groups.
+
+    The row of a block (bucket -1) has all its words, the rows for the groups have theirs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = block_numbers(TaskContext.get().partitionId())
@@ -92,7 +104,7 @@ def _code(buckets: int):
                 counts = np.bincount(number, np.repeat(train, np.diff(words.rows)), len(order)).astype(np.int32)
                 hashes, tails = hashes[order], tail_class(distinct)[order]
                 docs = pa.RecordBatch.from_pydict(
-                    {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n": pa.array(np.diff(words.rows))}
+                    {c: part.column(c) for c in ("doc_id", "held_out", "train")} | {"n": pa.array(np.diff(words.rows))}
                 )
                 numbers = pa.RecordBatch.from_pydict({"number": pa.array(number, pa.int32())})
                 used = np.flatnonzero(np.diff(bounds))
@@ -103,9 +115,9 @@ def _code(buckets: int):
                         "bucket": pa.array([-1, *used.tolist()], pa.int32()),
                         "block": pa.array([block] * (n + 1), pa.int32()),
                         "together": pa.array([block // TOGETHER] * (n + 1), pa.int32()),
-                        "hashes": pa.array([None, *(hashes[c].tobytes() for c in cuts)], pa.binary()),
+                        "hashes": pa.array([hashes.tobytes(), *(hashes[c].tobytes() for c in cuts)], pa.binary()),
                         "counts": pa.array([None, *(counts[c].tobytes() for c in cuts)], pa.binary()),
-                        "tails": pa.array([None, *(tails[c].tobytes() for c in cuts)], pa.binary()),
+                        "tails": pa.array([tails.tobytes(), *(tails[c].tobytes() for c in cuts)], pa.binary()),
                         "docs": pa.array([to_bytes(docs)] + [None] * n, pa.binary()),
                         "numbers": pa.array([to_bytes(numbers)] + [None] * n, pa.binary()),
                     }
@@ -201,6 +213,29 @@ class Vocabulary:
         return np.log10((count + 0.1) / (self.n + 0.1 * (self.v + 1)))
 
 
+class Adam:
+    """Moments of the gradients and the number of steps so far."""
+
+    def __init__(self, params: list[np.ndarray]):
+        self.k = 0
+        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+
+    def step(self, params: list[np.ndarray], slopes: list[np.ndarray], rate: Callable[[], float]) -> None:
+        self.k += 1
+        size = np.sqrt(sum(float((g * g).sum()) for g in slopes))
+        now = rate()
+        for p, g, (m, v) in zip(params, slopes, self.moments, strict=True):
+            g *= min(1.0, 1.0 / max(size, 1e-9))
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= now * (m / (1 - 0.9**self.k)) / (np.sqrt(v / (1 - 0.99**self.k)) + 1e-8)
+
+
+def _lanes(total: int, most: int, windows: int = 4) -> int:
+    """Lanes for so many symbols, of so many windows each at least."""
+    return max(1, min(most, total // (windows * WINDOW)))
+
+
 class Gru:
     """Gated recurrent unit with class-factored output; symbols as in Vocabulary."""
 
@@ -258,67 +293,78 @@ class Gru:
     def learn(self, documents: list[np.ndarray], epochs: int = 4, lanes: int = 64, rate: float = 0.01, seed: int = 5) -> None:
         """Truncated backpropagation over documents given as symbols, each closed by the end (0)."""
         rng = np.random.default_rng(seed)
-        moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.params()]
+        adam = Adam(self.params())
         total = sum(len(d) for d in documents)
-        lanes = max(1, min(lanes, total // (4 * WINDOW)))
-        k = 0
+        lanes = _lanes(total, lanes)
         steps = max(1, epochs * -(-total // (lanes * WINDOW)))
         for _ in range(epochs):
             flat = np.concatenate([documents[i] for i in rng.permutation(len(documents))])
-            rows = len(flat) // lanes
-            target = flat[: rows * lanes].reshape(lanes, rows).T
-            source = np.concatenate([np.zeros((1, lanes), np.int64), target[:-1]])
-            h = np.zeros((lanes, STATE), np.float32)
-            for at in range(0, rows, WINDOW):
-                k += 1
-                slopes, h = self._slopes(source[at : at + WINDOW], target[at : at + WINDOW], h)
-                size = np.sqrt(sum(float((g * g).sum()) for g in slopes))
-                now = rate * (1 - k / (steps + 1))
-                for p, g, (m, v) in zip(self.params(), slopes, moments, strict=True):
-                    g = g * min(1.0, 1.0 / max(size, 1e-9))
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    p -= now * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
+            self.descend(flat, lanes, adam, lambda: rate * (1 - min(adam.k, steps) / (steps + 1)))
+
+    def descend(self, flat: np.ndarray, lanes: int, adam: Adam, rate: Callable[[], float]) -> None:
+        """One pass over symbols of documents that follow each other, side by side in lanes."""
+        flat = np.concatenate([flat, np.full(-len(flat) % lanes, -1)])  # a pad is no word to learn
+        target = flat.reshape(lanes, -1).T
+        source = np.maximum(np.concatenate([np.zeros((1, lanes), np.int64), target[:-1]]), 0)
+        h = np.zeros((lanes, STATE), np.float32)
+        for at in range(0, len(target), WINDOW):
+            slopes, h = self._slopes(source[at : at + WINDOW], target[at : at + WINDOW], h)
+            adam.step(self.params(), slopes, rate)
 
     def _slopes(self, source: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        """Gradients of the mean loss of a window; the state after it."""
+        """Gradients of the mean loss of a window, where targets are not -1; the state after it."""
         held, states = [], []
-        for x in source:
+        gates = self.inputs[source]
+        for x, gate in zip(source, gates, strict=True):
             h = h * (x != 0)[:, None]  # a document starts after the end of the last one
-            new, z, r, c, u = self.step(self.inputs[x], h)
+            new, z, r, c, u = self.step(gate, h)
             held.append((x, h, z, r, c, u))
             h = new
             states.append(h)
         every, aim = np.concatenate(states), target.ravel()
-        kind = np.where(aim < SHORT, aim // IN_CLASS, aim - SHORT + CLASSES)
-        n = len(aim)
-        p = np.exp(self._log_softmax(every @ self.to_class + self.class_bias))
-        p[np.arange(n), kind] -= 1
+        kind = np.where(aim < SHORT, aim // IN_CLASS, aim - SHORT + CLASSES)  # -1 for a pad
+        n = max(1, int((aim >= 0).sum()))
+        p = every @ self.to_class
+        p += self.class_bias
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(aim)), kind] -= 1
+        p[aim < 0] = 0
         p /= n
         g_class, g_bias = every.T @ p, p.sum(axis=0)
         back = p @ self.to_class.T
         g_word, g_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        for c in np.unique(kind[kind < CLASSES]):
-            own = np.flatnonzero(kind == c)
-            q = np.exp(self._log_softmax(every[own] @ self.to_word[c] + self.word_bias[c]))
+        order = np.argsort(kind.astype(np.int8), kind="stable")
+        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        for c in np.flatnonzero(np.diff(bounds)):
+            own = order[bounds[c] : bounds[c + 1]]
+            state = every[own]
+            q = state @ self.to_word[c]
+            q += self.word_bias[c]
+            q -= q.max(axis=1, keepdims=True)
+            np.exp(q, out=q)
+            q /= q.sum(axis=1, keepdims=True)
             q[np.arange(len(own)), aim[own] % IN_CLASS] -= 1
             q /= n
-            g_word[c], g_word_bias[c] = every[own].T @ q, q.sum(axis=0)
+            g_word[c], g_word_bias[c] = state.T @ q, q.sum(axis=0)
             back[own] += q @ self.to_word[c].T
         back = back.reshape(len(states), -1, STATE)
-        g_inputs, g_hidden = np.zeros_like(self.inputs), np.zeros_like(self.hidden)
-        carry = np.zeros_like(h)
+        g_hidden, carry = np.zeros_like(self.hidden), np.zeros_like(h)
         for t in range(len(states) - 1, -1, -1):
             x, before, z, r, c, u = held[t]
             dh = back[t] + carry
             dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (before - c) * z * (1 - z)
-            dr = dc * u * r * (1 - r)
-            gates = np.concatenate([dz, dr, dc], axis=1)
-            np.add.at(g_inputs, x, gates)
-            through = np.concatenate([dz, dr, dc * r], axis=1)
+            gate = gates[t]  # from here on the gradients of these gates
+            gate[:, :STATE] = dh * (before - c) * z * (1 - z)
+            gate[:, STATE : 2 * STATE] = dc * u * r * (1 - r)
+            gate[:, 2 * STATE :] = dc
+            through = gate.copy()
+            through[:, 2 * STATE :] *= r
             g_hidden += before.T @ through
             carry = (dh * z + through @ self.hidden.T) * (x != 0)[:, None]
+        place = source.reshape(-1, 1) * (3 * STATE) + np.arange(3 * STATE)
+        g_inputs = np.bincount(place.ravel(), gates.ravel(), self.inputs.size).astype(np.float32).reshape(self.inputs.shape)
         return [g_inputs, g_hidden, g_class, g_word, g_bias, g_word_bias], h
 
     def score(self, symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -382,6 +428,70 @@ def _sample(docs: DataFrame, fit_docs: int, vocabulary: Vocabulary) -> list[np.n
     return out
 
 
+def _block_symbols(vocabulary: Vocabulary, hashes: bytes, tails: bytes, docs: bytes, numbers: bytes) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """A block's documents, the symbols of its distinct words, and each word's number."""
+    symbol = vocabulary.symbols(np.frombuffer(hashes, np.uint64), np.frombuffer(tails, np.uint8))
+    return from_bytes(docs), symbol, from_bytes(numbers).column(0).to_numpy()
+
+
+def _trained(task: int, tokens: int, params: list[np.ndarray]) -> pa.RecordBatch:
+    columns = ([task], [tokens], [b"".join(p.astype(np.float32).tobytes() for p in params)])
+    kinds = (pa.int32(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["task", "tokens", "weights"])
+
+
+def _mean_weights(rows: list[tuple[int, int, bytes]]) -> tuple[int, np.ndarray]:
+    """Tokens of all tasks and the mean of their weights, in proportion to the tokens."""
+    tokens, total = 0, 0.0
+    for _, n, weights in sorted(rows):
+        tokens += n
+        total = total + n * np.frombuffer(weights, np.float32).astype(np.float64)
+    return tokens, total / tokens
+
+
+def _merge_weights(table: pa.Table) -> pa.Table:
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("task", "tokens", "weights")), strict=True))
+    return pa.Table.from_batches([_trained(min(r[0] for r in rows), *(lambda n, mean: (n, [mean]))(*_mean_weights(rows)))])
+
+
+def _train(coded: DataFrame, vocabulary: Vocabulary, model: Gru, parts: int) -> int:
+    """Train the model on all training documents of the blocks; the number of their symbols."""
+    spark = coded.sparkSession
+    rest, total = coded.filter("bucket < 0").select("block", "hashes", "tails", "docs", "numbers"), 0
+    for nth in range(ROUNDS):
+        start = spark.sparkContext.broadcast((vocabulary, model))
+        rate = RATE * (1 - nth / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch], start=start, rate=rate) -> Iterator[pa.RecordBatch]:
+            vocabulary, model = start.value
+            model, tokens = copy.deepcopy(model), 0
+            adam = Adam(model.params())
+            for batch in batches:
+                for row in zip(*(batch.column(c) for c in ("hashes", "tails", "docs", "numbers")), strict=True):
+                    docs, symbol, number = _block_symbols(vocabulary, *(x.as_py() for x in row))
+                    n = docs.column("n").to_numpy()
+                    flat = np.insert(symbol[number], np.cumsum(n), 0)
+                    flat = flat[np.repeat(docs.column("train").to_numpy(zero_copy_only=False), n + 1)]
+                    if len(flat):
+                        model.descend(flat, _lanes(len(flat), LANES, 16), adam, lambda: rate)
+                        tokens += len(flat)
+            if tokens:
+                yield _trained(TaskContext.get().partitionId(), tokens, model.params())
+
+        # Neighbouring blocks of a partition and first blocks of partitions are in different rounds.
+        own = rest.filter(F.pmod(F.shiftright("block", 12) + F.col("block").bitwiseAND(4095), F.lit(ROUNDS)) == nth)
+        found = own.mapInArrow(run, TRAINED).groupBy((F.col("task") % parts).alias("part")).applyInArrow(_merge_weights, TRAINED).collect()
+        if found:
+            tokens, mean = _mean_weights([tuple(r) for r in found])
+            total += tokens
+            at = 0
+            for p in model.params():
+                p[:] = mean[at : at + p.size].reshape(p.shape)
+                at += p.size
+        start.unpersist()
+    return total
+
+
 def document_scores(
     docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", fit_docs: int = 500, buckets: int | None = None
 ) -> DataFrame:
@@ -400,33 +510,26 @@ def document_scores(
     coded = stored(rows.mapInArrow(_code(buckets), CODED), "coded")
     asked = coded.filter("bucket >= 0").select("bucket", "block", "together", "hashes", "counts", "tails").groupBy("bucket")
     # The groups' statistics (of a fixed size each) are merged in about sqrt(buckets) tasks, then here.
-    parts = (F.col("bucket") % int(buckets**0.5 + 1)).alias("part")
-    merged = asked.applyInArrow(_group_stats, STATS).groupBy(parts).applyInArrow(_merge_stats, STATS).collect()
+    parts = int(buckets**0.5 + 1)
+    merged = asked.applyInArrow(_group_stats, STATS).groupBy((F.col("bucket") % parts).alias("part")).applyInArrow(_merge_stats, STATS).collect()
     ends = rows.filter("train").count()
     vocabulary = Vocabulary(ends, *_statistics(merged))
     model = Gru(vocabulary)
     sample = _sample(rows, fit_docs, vocabulary)
     if sample:
         model.learn(sample)
+    _train(coded, vocabulary, model, parts)
 
     def score(key: tuple, sent: pa.Table, answers: pa.Table) -> pa.Table:
         totals = {(b, g): np.frombuffer(x, np.int64) for b, g, x in zip(*(answers.column(c).to_pylist() for c in ("block", "bucket", "totals")), strict=True)}
-        asked: dict[int, list] = {}
-        held: dict[int, tuple] = {}
-        names = ("block", "bucket", "hashes", "tails", "docs", "numbers")
-        for b, g, h, t, d, n in zip(*(sent.column(c).to_pylist() for c in names), strict=True):
-            if g < 0:
-                held[b] = (from_bytes(d), from_bytes(n).column(0).to_numpy())
-            else:
-                asked.setdefault(b, []).append((g, np.frombuffer(h, np.uint64), np.frombuffer(t, np.uint8)))
+        groups: dict[int, list[int]] = defaultdict(list)
+        for b, g in sorted(totals):
+            groups[b].append(g)
+        names = ("block", "hashes", "tails", "docs", "numbers")
         symbols, counts, tail_share, docs, sizes = [], [], [], [], []
-        for b, (d, number) in sorted(held.items()):
-            own = sorted(asked.get(b, []), key=lambda x: x[0])
-            none = [np.zeros(0)]
-            hashes = np.concatenate([x[1] for x in own] or [np.zeros(0, np.uint64)])
-            kinds = np.concatenate([x[2] for x in own] or [np.zeros(0, np.uint8)])
-            total = np.concatenate([totals[b, x[0]] for x in own] or none)
-            symbol = vocabulary.symbols(hashes, kinds)
+        for b, *held in sorted(zip(*(sent.column(c).to_pylist() for c in names), strict=True)):
+            d, symbol, number = _block_symbols(vocabulary, *held)
+            total = np.concatenate([np.zeros(0, np.int64), *(totals[b, g] for g in groups[b])])
             tail = symbol >= SHORT
             share = np.zeros(len(symbol))
             share[tail] = np.log((total[tail] + 0.1) / vocabulary.tail_room[symbol[tail] - SHORT])
@@ -457,6 +560,6 @@ def document_scores(
         )
 
     totals = asked.applyInArrow(_totals, TOTALS)
-    sent = coded.drop("counts")
+    sent = coded.filter("bucket < 0").select("block", "together", "hashes", "tails", "docs", "numbers")
     scored = sent.groupBy("together").cogroup(totals.groupBy("together")).applyInArrow(score, SCORES)
     return scored.withColumn("train_tokens", F.lit(vocabulary.n).cast("long"))

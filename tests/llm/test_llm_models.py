@@ -44,6 +44,26 @@ def test_model_beats_counts_on_held_out_documents(spark):
     assert sum(r["score"] for r in held) > 0.95 * sum(r["base_score"] for r in held)
 
 
+def test_network_learns_from_every_training_document(spark):
+    cycle = [f"word{i}" for i in range(40)]
+    rows = [(i, " ".join((cycle * 12)[i % 40 : i % 40 + 400])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    # Without a sample for the start, the order of the words can be learned in the rounds over all blocks only.
+    held = [r for r in lm_score.document_scores(docs, checksum(10) == 0, fit_docs=0).collect() if r["held_out"]]
+    assert sum(r["score"] for r in held) > 0.95 * sum(r["base_score"] for r in held)
+
+
+def test_rounds_train_on_all_symbols_once(spark, monkeypatch):
+    trained = []
+    train = lm_score._train
+    monkeypatch.setattr(lm_score, "_train", lambda *x: trained.append(train(*x)))
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 2000)
+    docs = spark.createDataFrame([(i if i % 7 else None, brute.prose(i, 1 + i)) for i in range(120)], "doc_id long, text string")
+    rows = lm_score.document_scores(docs.repartition(3), checksum(10) == 0, fit_docs=5).collect()
+    learned = [r for r in rows if r["doc_id"] is not None and not r["held_out"]]
+    assert trained == [sum(r["n_tokens"] for r in learned)] == [rows[0]["train_tokens"]]
+
+
 def test_lm_without_rows_or_training(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lm_score.document_scores(docs, checksum(10) == 0).count() == 0
