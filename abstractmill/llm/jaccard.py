@@ -354,7 +354,17 @@ def shingle_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose id is their component's, with all their columns."""
-    found = shingle_components(docs, doc_id, text)
-    others = found.filter("doc_id != component_id").select(F.col("doc_id").alias(doc_id))
-    return docs.join(others, doc_id, "left_anti").select(*docs.columns)
+    """One row of docs of each component, with all its columns.
+
+    Rows are told apart by a number, not by their id: the row with the smallest id (null is the
+    largest), and of these the smallest number, stays.
+    """
+    # The same numbers for all uses.
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = shingle_components(keyed, "_row", text).filter("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
+    linked = stored(found, "linked", narrow=True)
+    rank = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_row").alias("row"))
+    ranked = keyed.select("_row", rank.alias("rank")).join(linked, "_row")
+    kept = ranked.groupBy("component_id").agg(F.min("rank")["row"].alias("_row")).select("_row")
+    others = linked.select("_row").join(kept, "_row", "left_anti")
+    return keyed.join(others, "_row", "left_anti").select(*docs.columns)

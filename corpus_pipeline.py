@@ -5,7 +5,8 @@ again, and returns documents with all their columns; the last one returns the pi
 packed sequences.
 
 1. quality: documents that the pairwise classifier rejects go.
-2. near_duplicates: of the documents that shingle links connect, the one with the smallest id stays.
+2. near_duplicates: of the documents that shingle links connect, the one with the smallest id stays;
+   of several rows with this id, and of documents without id, one row.
 3. repeated_spans: words in windows of 35 words that occur elsewhere are cut out of the
    texts; other texts are left as they are.
 4. decontamination: documents that hold a benchmark item go.

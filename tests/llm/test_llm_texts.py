@@ -96,6 +96,18 @@ def test_one_per_component_keeps_columns(odd):
     assert {1, 2, 3, 9} <= {r["doc_id"] for r in got.collect()} and 10 not in {r["doc_id"] for r in got.collect()}
 
 
+def test_one_per_component_of_repeated_and_null_ids(spark):
+    a, b, c, d, e = (brute.prose(70 + i, 80) for i in range(5))
+    rows = [(5, a), (5, a), (5, a), (None, b), (None, b), (1, c), (2, c), (2, d), (None, e), (9, e), (None, None), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    kept = jaccard.one_per_component(docs)
+    assert kept.columns == docs.columns
+    want = Counter([(5, a), (None, b), (1, c), (2, d), (9, e), (None, None), (None, None), (3, ""), (3, "")])
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == want
+    # What stays is no other row's copy, so the next stage cuts nothing out of it.
+    assert {r["n_removed"] for r in rlz.remove_repeats(kept, window=35).collect()} == {0}
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
