@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, containment, jaccard, langid, lm_score, packing, quality, rlz, token_count
+from . import ann, chat_format, containment, filter_audit, jaccard, langid, line_index, lm_score, packing, quality, rlz, token_count, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of every vector after four rounds over 256 entries of four parts."""
+    codes, books = vector_codes.compressed(_table(spark, sf_dir, "embeddings"), dim=64, parts=4, entries=256, rounds=4)
+    return vector_codes.with_label_errors(codes).withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_sha256(books)))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters in every order and step, by language."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that at least three documents hold, but for the last one of these."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_index.drop_repeated_lines(docs, least_chars=20, min_docs=3).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_ann": op2_ann,
@@ -90,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -109,6 +131,55 @@ def _shingles(key: str, table: str) -> str:
 
 _ESCAPED = r"""regexp_replace(replace({}, '\', '\\'), '(<\|start\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|endoftext\|>)', '.\1', 'g')"""
 
+
+
+def _vector_codes(rounds: int) -> str:
+    """SQL of product codes: each round is an assignment and new entries."""
+
+    def assignment(n: int) -> str:
+        return f"""
+            a{n} AS MATERIALIZED (
+                SELECT r, p, x, b.e, b.d FROM (
+                    SELECT r, p, x, min(struct_pack(
+                        d := (list_inner_product(x, x) - 2 * list_inner_product(x, y) + list_inner_product(y, y))::BIGINT, e := entry)) AS b
+                    FROM v JOIN c{n} USING (p) GROUP BY r, p, x
+                )
+            )"""
+
+    steps = []
+    for n in range(rounds):
+        steps += [
+            assignment(n),
+            f"""
+            c{n + 1} AS MATERIALIZED (
+                SELECT p, entry, coalesce(z, y) AS y FROM c{n} LEFT JOIN (
+                    SELECT p, entry, list(floor(s / n) ORDER BY i) AS z FROM (
+                        SELECT p, e AS entry, i, sum(x[i]) AS s, count(*) AS n FROM a{n}, (SELECT unnest(range(1, 17)) AS i) GROUP BY ALL
+                    ) GROUP BY ALL
+                ) USING (p, entry)
+            )""",
+        ]
+    return f"""
+        WITH kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        v AS MATERIALIZED (SELECT r, p, e[16 * p + 1 : 16 * p + 16] AS x FROM kept, (SELECT unnest(range(4)) AS p)),
+        c0 AS MATERIALIZED (SELECT p, r AS entry, x AS y FROM v WHERE r < 256),
+        {",".join(steps)},
+        {assignment(rounds)},
+        rows AS (
+            SELECT r, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY r
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(list_transform(y, lambda z: z::BIGINT), ','), ',' ORDER BY p, entry)) FROM c{rounds})
+                   AS codebooks_sha256
+        FROM kept JOIN rows USING (r)"""
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_ann": """
@@ -188,4 +259,57 @@ ORACLE_SQL: dict[str, str] = {
             UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
         )
         SELECT u AS doc_id, n AS n_shingles, min(v) AS component_id FROM reach JOIN n ON n.doc_id = u GROUP BY ALL""",
+    "op11_vector_codes": _vector_codes(4),
+    "op12_filter_audit": f"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        counted AS (
+            SELECT doc_id, part, t, {_WORDS.format("t")} AS w, length(t) AS points,
+                   length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS capitals,
+                   doc_id > min(doc_id) OVER (PARTITION BY t) AS copy
+            FROM d
+        ),
+        said AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        failed AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT + 4 * (100 * capitals > 10 * points)::INT
+                   + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(copy, false)::INT AS f
+            FROM counted LEFT JOIN said USING (doc_id)
+        ),
+        g AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ),
+        s AS (
+            SELECT filter_order, step, (1 << (ascii(filter_order[step]) - 65))::INT AS own,
+                   list_sum(list_transform(range(1, step), lambda i: (1 << (ascii(filter_order[i]) - 65))::INT))::INT AS earlier
+            FROM o, (SELECT unnest(range(1, 6)) AS step)
+        )
+        SELECT part, filter_order, step::INTEGER AS step,
+               coalesce(sum(n) FILTER (f & (own | before) = 0), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (f & own <> 0 AND f & before = 0), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (f & own <> 0 AND f & before <> 0), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (f = own), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (f & own <> 0 AND f & before = 0), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (f & own <> 0 AND f & before = 0), 0)::BIGINT AS toxic_lost,
+               coalesce(sum(n * 120 // greatest(bit_count(f), 1)) FILTER (f & own <> 0), 0)::BIGINT AS shapley
+        FROM g, (SELECT filter_order, step, own, coalesce(earlier, 0) AS before FROM s)
+        GROUP BY part, filter_order, step""",
+    "op13_line_dedup": f"""
+        WITH l AS (
+            SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i, unnest(keys) AS key
+            FROM (
+                SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
+                       list_transform(string_split({_LOWER}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS keys
+                FROM documents
+            )
+        ),
+        found AS (
+            SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ),
+        marked AS (SELECT l.*, keeper IS NOT NULL AND l.doc_id <> keeper AS gone FROM l LEFT JOIN found USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
 }

@@ -6,10 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Where a table that `stored` returned lies.
+_PATH = "_stored_at"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`, or the warehouse folder where that is not set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """`spark.checkpoint.dir`; without that setting there is no folder that all executors see."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder.rstrip("/")
 
 
@@ -20,10 +25,24 @@ def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     a sixteenth of the shuffle partitions' number of files.
 
     Later plans start from the files, so a lost executor costs the tasks that were running
-    on it, and rows that depend on how they were dealt out do not change any more.
+    on it, and rows that depend on how they were dealt out do not change any more. Whoever stored
+    a table may `discard` it once nothing reads it; the tables behind a returned DataFrame stay.
     """
-    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     if narrow:
-        df = df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
+        df = df.coalesce(max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    setattr(out, _PATH, path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `stored` returned; others are left alone."""
+    for table in tables:
+        path = getattr(table, _PATH, None)
+        if path:
+            jvm = table.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
