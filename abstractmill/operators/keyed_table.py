@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import files
 from .keyed import KEY, checked, first_per_key, one_row_per_key
 
 _OLD, _NEW, _BUCKET = "__old", "__new", "__bucket"
@@ -172,8 +173,7 @@ class KeyedTable:
         filled = set(self.touched(left))
         self._write(left)
         for bucket in set(touched) - filled:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows/{_BUCKET}={bucket}")
-            folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+            files.delete(self.spark, f"{self.path}/rows/{_BUCKET}={bucket}")
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({_BUCKET} = {bucket})")
         self.spark.catalog.refreshTable(self.name)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from ..operators.cleaning import clean_abstracts
 from ..operators.extraction import RULES_VERSION, extract, note_rows, with_texts, write_notes
 from ..operators.inference import PredictorFactory
 from ..operators.keyed import absent_rows, delete_keys, new_keys, reset
-from ..schemas import CLEANED, NOTES, RAW, conform
-from ..sources.archive import stored, write_archive
+from ..schemas import CLEANED, NOTES, RAW, TABLES, conform
+from ..sources import files
+from ..sources.archive import write_archive
 from ..sources.tables import empty_table, read_table
 
 
@@ -23,17 +26,56 @@ def _manifest(spark: SparkSession, out: str) -> dict[str, list[str]]:
     return json.loads(spark.read.text(f"{out}/manifest", wholetext=True).first()[0])
 
 
+def _scan(spark: SparkSession, name: str, folders: list[str]) -> DataFrame:
+    """All folders of a table in one scan, however many runs have added to it."""
+    if not folders:
+        return empty_table(spark, name)
+    return conform(spark.read.schema(TABLES[name]).parquet(*folders), TABLES[name])
+
+
+def _write_manifest(spark: SparkSession, out: str, folders: dict[str, list[str]]) -> None:
+    text = spark.createDataFrame([(json.dumps(folders),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(f"{out}/manifest")
+
+
 def open_state(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The four tables as the complete run under ``out`` left them.
 
     The folders are those that the run's manifest lists. It is written last, so a run that
     was interrupted has none and cannot be opened.
     """
-    tables = {name: empty_table(spark, name) for name in STATE_TABLES}
-    for name, folders in _manifest(spark, out).items():
-        for folder in folders:
-            tables[name] = tables[name].unionByName(read_table(spark, name, folder))
-    return tables
+    folders = _manifest(spark, out)
+    return {name: _scan(spark, name, folders.get(name, [])) for name in STATE_TABLES}
+
+
+def compact_state(
+    spark: SparkSession, current: str, out: str, fan_in: int = 8, file_bytes: int = 128 << 20
+) -> dict[str, list[str]]:
+    """The state of ``current`` with its small folders merged, under a manifest in ``out``.
+
+    Folders of a table whose sizes lie within a factor of ``fan_in`` form a tier; a tier of
+    ``fan_in`` folders or more becomes one folder, of the next tier. A row is
+    thus rewritten once per tier, not once per run, and a table keeps about ``fan_in`` folders a tier.
+    Folders that stay are listed where they are; nothing is deleted, so a
+    reader of the old manifest is not disturbed. Returns the merged folders by table.
+    """
+    folders = _manifest(spark, current)
+    merged: dict[str, list[str]] = {}
+    for name in STATE_TABLES:
+        sizes = {f: files.total_bytes(spark, f) for f in folders.get(name, [])}
+        tiers: dict[int, list[str]] = {}
+        for folder, size in sizes.items():
+            tiers.setdefault(int(math.log(size + 1, fan_in)), []).append(folder)
+        for tier, members in tiers.items():
+            if len(members) < fan_in:
+                continue
+            into = f"{out}/{name}/tier={tier}"
+            n_files = -(-sum(sizes[f] for f in members) // file_bytes)
+            _scan(spark, name, members).coalesce(max(1, n_files)).write.mode("overwrite").parquet(into)
+            folders[name] = [f for f in folders[name] if f not in members] + [into]
+            merged.setdefault(name, []).extend(members)
+    _write_manifest(spark, out, folders)
+    return merged
 
 
 class Run:
@@ -53,6 +95,10 @@ class Run:
     Texts are read twice: once raw, to clean them, and once cleaned, for the record and
     its note. Joins that decide what is left to do carry keys; their result is stored,
     so the optimizer knows its size before it plans the join that fetches the texts.
+
+    Each write that came to its end is logged under ``out/log``, with its counts. A run that
+    was interrupted goes on with ``resume=True`` and the same arguments: what is logged is
+    not written again, the rest is computed from the same stored tables.
     """
 
     def __init__(
@@ -61,10 +107,24 @@ class Run:
         out: str,
         now: Column,
         current: dict[str, DataFrame] | str | None = None,
+        resume: bool = False,
     ):
         self.spark = spark
         self.out = out
         self.now = now
+        #: what an interrupted run has written: folder -> counts of that write
+        self._done: dict[str, dict[str, int]] = {}
+        self._logged = 0
+        start = current if isinstance(current, str) else None
+        if start == out:
+            raise ValueError("a run writes to another folder than the one it starts from")
+        if resume:
+            self._read_log(start)
+        else:
+            files.delete(spark, f"{out}/log")
+            files.delete(spark, f"{out}/manifest")
+        if not self._logged:
+            self._log({"current": start})
         self.counts: dict[str, int] = {}
         self._open: list[tuple[str, Observation]] = []
         self.tables = {name: empty_table(spark, name) for name in STATE_TABLES}
@@ -93,8 +153,8 @@ class Run:
         return self.tables["raw"]
 
     def archive(self, path: str, date: str) -> None:
-        write_archive(self._observed(self.tables["raw"], "archived"), path, date)
-        self._settle()
+        rows = self._observed(self.tables["raw"], "archived")
+        self._once(f"{path} {date}", lambda: write_archive(rows, path, date))
 
     def clean(self, only_new: bool = False) -> DataFrame:
         """Clean the raw table and replace by key, with the cascade to both child tables.
@@ -135,7 +195,7 @@ class Run:
         """Extract every abstract that has no extraction. All keys are new: an append."""
         self._noteless = self.tables["extractions"]
         missing = new_keys(self._unsure.select("pmid"), self.tables["extractions"])
-        missing = stored(missing, f"{self.out}/todo/extract")
+        missing = self._todo(missing, "extract")
         todo = self._due.unionByName(self._unsure.join(missing, "pmid", "left_semi"))
         batch = extract(todo, self.now, make_predictor, model_version, True, max_chars, partitions)
         batch = batch.withColumns(
@@ -153,7 +213,7 @@ class Run:
         Extractions of this run bring their note text along; older ones fetch the text.
         """
         older = new_keys(self._noteless.select("pmid", "extracted"), self.tables["notes"])
-        older = stored(older, f"{self.out}/todo/notes")
+        older = self._todo(older, "notes")
         batch = write_notes(with_texts(older, self.tables["cleaned"]), self.now)
         if self._noteless is not self.tables["extractions"]:
             ready = self.spark.read.parquet(f"{self.out}/extractions/part=new")
@@ -170,8 +230,7 @@ class Run:
             table.write.mode("overwrite").parquet(folder)
             self._folders[name].insert(0, folder)
         self._handed = {}
-        text = self.spark.createDataFrame([(json.dumps(self._folders),)], "value string")
-        text.coalesce(1).write.mode("overwrite").text(f"{self.out}/manifest")
+        _write_manifest(self.spark, self.out, self._folders)
 
     def counters(self) -> DataFrame:
         """Counts as a table of one row per stage."""
@@ -183,23 +242,50 @@ class Run:
     def _write(self, name: str, part: str, df: DataFrame, stage: str | None = None) -> None:
         df = df if stage is None else self._observed(df, stage)
         folder = f"{self.out}/{name}/part={part}"
-        df.write.mode("overwrite").parquet(folder)
+        self._once(folder, lambda: df.write.mode("overwrite").parquet(folder))
         held = [f for f in self._folders[name] if f != folder]
         if part == "kept":  # in place of all earlier rows, beside this run's new ones
             held = [f for f in held if f == f"{self.out}/{name}/part=new"]
         self._folders[name] = [*held, folder]
-        self._settle()
+
+    def _todo(self, df: DataFrame, name: str) -> DataFrame:
+        folder = f"{self.out}/todo/{name}"
+        self._once(folder, lambda: df.write.mode("overwrite").parquet(folder))
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def _once(self, folder: str, write: Callable[[], None]) -> None:
+        """Write and log with the counts of the write, unless the interrupted run has done so."""
+        if folder in self._done:
+            self._open = []
+            self.counts.update(self._done[folder])
+            return
+        write()
+        seen = {stage: observed.get["n"] for stage, observed in self._open}
+        self._open = []
+        self.counts.update(seen)
+        self._log({"folder": folder, "counts": seen})
+
+    def _log(self, entry: dict) -> None:
+        files.write_text(self.spark, self._entry(), json.dumps(entry))
+        self._logged += 1
+
+    def _entry(self) -> str:
+        return f"{self.out}/log/{self._logged:04d}"
+
+    def _read_log(self, start: str | None) -> None:
+        while files.exists(self.spark, self._entry()):
+            entry = json.loads(files.read_text(self.spark, self._entry()))
+            if "folder" in entry:
+                self._done[entry["folder"]] = entry["counts"]
+            elif entry["current"] != start:
+                raise ValueError(f"the interrupted run started from {entry['current']!r}, not {start!r}")
+            self._logged += 1
 
     def _observed(self, df: DataFrame, stage: str) -> DataFrame:
         seen = Observation(stage)
         self._open.append((stage, seen))
         return df.observe(seen, F.count(F.lit(1)).alias("n"))
 
-    def _settle(self) -> None:
-        for stage, seen in self._open:
-            self.counts[stage] = seen.get["n"]
-        self._open = []
-
 
 def ingest_and_clean(
     spark: SparkSession,
@@ -233,12 +319,14 @@ def full_run(
     reset_first: bool = False,
     max_chars: int | None = None,
     partitions: int | None = None,
+    resume: bool = False,
 ) -> Run:
     """All stages. Archive and cleaning both start from the raw table.
 
     ``reset_first`` redoes every extraction and note, also where cleaning kept them.
+    ``resume`` goes on where a run with the same arguments was interrupted.
     """
-    run = Run(spark, out, now, current)
+    run = Run(spark, out, now, current, resume)
     run.ingest(incoming, order_by)
     run.archive(archive_path, archive_date)
     run.clean(only_new)

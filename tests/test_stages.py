@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from abstractmill.operators.keyed import upsert
-from abstractmill.plans.stages import Run, full_run, ingest_and_clean, open_state
+from abstractmill.plans import stages
+from abstractmill.plans.stages import Run, compact_state, full_run, ingest_and_clean, open_state
+from abstractmill.sources import files
 from abstractmill.sources.archive import read_archive, shared_dir, write_archive
 
 NOW = "2024-06-01"
@@ -155,3 +157,73 @@ def test_interrupted_run_is_invisible(spark):
     run.ingest(_raw(spark, [("1", "a", LONG)]), ["raw_json"])
     with pytest.raises(Exception):
         open_state(spark, run.out)
+
+
+def _rows_of(tables):
+    return {name: sorted(map(str, t.collect())) for name, t in tables.items()}
+
+
+def _scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_state_after_many_runs_is_one_scan_and_compacts(spark):
+    folder, rows = None, [(str(i), f"t{i}", LONG + "x" * i) for i in range(24)]
+    for i in range(6):
+        out = shared_dir(spark, "run")
+        full_run(spark, _raw(spark, rows[4 * i : 4 * i + 4]), out, F.lit(NOW), ["fetched_at", "raw_json"],
+                 shared_dir(spark, "archive"), "2024-06-01", folder, only_new=True)
+        folder = out
+    state = open_state(spark, folder)
+    assert {name: _scans(t) for name, t in state.items()} == dict.fromkeys(state, 1)
+    before = _rows_of(state)
+    assert all(len(v) == 24 for v in before.values())
+    packed = shared_dir(spark, "run")
+    merged = compact_state(spark, folder, packed, fan_in=4)
+    assert all(len(merged[name]) >= 4 for name in before)
+    assert _rows_of(open_state(spark, packed)) == before == _rows_of(open_state(spark, folder))
+    held = json.loads(spark.read.text(f"{packed}/manifest").first()[0])
+    assert all(len(f) <= 3 for f in held.values())
+    # Nothing is left to merge, and large folders stay where they are.
+    assert compact_state(spark, packed, shared_dir(spark, "run"), fan_in=4) == {}
+    again = _run(spark, _raw(spark, rows[:2] + [("90", "t", LONG)]), packed, only_new=True)
+    assert again.counts["ingested"] == 1 and again.tables["notes"].count() == 25
+
+
+@pytest.mark.parametrize("stops", ["clean_abstracts", "extract", "write_notes", "_write_manifest"])
+def test_interrupted_run_goes_on(spark, monkeypatch, stops):
+    start = shared_dir(spark, "run")
+    first = [("1", "a", LONG), ("2", "b", LONG), ("3", "c", "tiny")]
+    full_run(spark, _raw(spark, first), start, F.lit(NOW), ["fetched_at"], shared_dir(spark, "archive"), "2024-05-01")
+    out, archive = shared_dir(spark, "run"), shared_dir(spark, "archive")
+    incoming = _raw(spark, [("2", "z", LONG), ("4", "d", LONG), ("5", "e", LONG + "!")])
+
+    def go(resume):
+        return full_run(spark, incoming, out, F.lit(NOW), ["fetched_at"], archive, "2024-06-01", start, resume=resume)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(stages, stops, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            go(False)
+    with pytest.raises(Exception):  # noqa: B017
+        open_state(spark, out)
+    written = spark.read.parquet(f"{out}/raw/part=new").inputFiles()
+    run = go(True)
+    assert spark.read.parquet(f"{out}/raw/part=new").inputFiles() == written
+    assert run.counts == {"ingested": 2, "archived": 5, "raw": 5, "cleaned": 4, "extracted": 4, "noted": 4}
+    whole = full_run(spark, incoming, shared_dir(spark, "run"), F.lit(NOW), ["fetched_at"], archive, "2024-06-01", start)
+    assert _rows_of(open_state(spark, out)) == _rows_of(whole.tables) == _rows_of(run.tables)
+    assert read_archive(spark, archive).count() == 5
+    with pytest.raises(ValueError, match="started from"):
+        Run(spark, out, F.lit(NOW), None, resume=True)
+    fresh = go(False)  # without resume everything is written anew
+    assert fresh.counts == run.counts and not files.exists(spark, f"{out}/log/0099")
+
+
+def test_run_needs_a_folder_of_its_own(spark):
+    run = _run(spark, _raw(spark, [("1", "a", LONG)]))
+    with pytest.raises(ValueError, match="another folder"):
+        Run(spark, run.out, F.lit(NOW), run.out)
