@@ -8,11 +8,13 @@ task's memory follows its longest text, not its partition.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_64_intdigest
 
 #: Bytes of text that are handled at once.
 SLICE_BYTES = 2 << 20
@@ -24,7 +26,10 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 5
-_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+#: Spans longer than this are hashed and compared one at a time.
+LONG_SPAN = 64
+#: A mask of the first n bytes of a lane, for n up to 8.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -83,12 +88,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def block_numbers(partition: int) -> Iterator[int]:
-    """Numbers of the blocks of a scan's partition, distinct over the table, in 31 bits."""
-    if partition >= 1 << 19:
-        raise ValueError("more than 2 ** 19 partitions: raise spark.sql.files.maxPartitionBytes")
-    for n in range(1 << 12):
-        yield partition << 12 | n
-    raise ValueError("more than 4096 blocks in a partition: lower spark.sql.files.maxPartitionBytes")
+    """Numbers of the blocks of a scan's partition, distinct over the table, in 63 bits."""
+    return itertools.count(partition << 32)
+
+
+def spread(number: int, groups: int) -> int:
+    """A group for a block, whatever the pattern of the numbers."""
+    return int(mix(np.array([number], np.uint64))[0]) % groups
+
+
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that start at each place, as one number (zeros follow the data)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, np.dtype("<u8"), padded.data, strides=(1,))
 
 
 class Words:
@@ -147,11 +159,19 @@ class Words:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each span of the bytes."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * up[:-1], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    """A 64-bit hash of each span of the bytes, eight bytes at a time."""
+    sizes, held = ends - starts, lanes(data)
+    h = mix(sizes.astype(np.uint64) + np.uint64(BASE))
+    own = np.flatnonzero(sizes <= LONG_SPAN)
+    at = 0
+    while len(own):
+        size = sizes[own] - at
+        h[own] = mix(h[own] ^ (held[starts[own] + at] & FIRST[np.minimum(size, 8)]))
+        at += 8
+        own = own[size > 8]
+    for i in np.flatnonzero(sizes > LONG_SPAN).tolist():
+        h[i] = xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return mix(h + np.uint64(BASE))
 
 
 def grams(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

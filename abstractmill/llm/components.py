@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stored import stored
+from .stored import discard, stored, viewed
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,5 +39,6 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := state(edges)) != before:
         before = now
         if now[0]:
-            edges = stored(_small_star(_large_star(edges)), "edges", narrow=True)
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            last, edges = edges, stored(_small_star(_large_star(edges)), "edges", narrow=True)
+            discard(last)
+    return viewed(edges.select(F.col("u").alias("node"), F.col("v").alias("component")), edges)

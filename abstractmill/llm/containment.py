@@ -15,8 +15,8 @@ of fewer than five words is contained only in documents of exactly those words;
 rows of items or documents give a row for each pair; null ids are carried as they are;
 other columns are ignored; without items or documents there is no pair.
 
-Scale: documents are read once and not shuffled while the sketches fit `broadcast_items`
-(their texts are broadcast; the bound is checked before). Beyond it sketches and
+Scale: documents are read once and not shuffled while the items are within `broadcast_bytes` of
+text, ITEMS rows and SHINGLES words (they are broadcast; the bounds are checked before). Beyond it sketches and
 shingles are joined by hash and only the texts of candidate pairs are shuffled.
 """
 
@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import Words, pieces, shingles, spans
-from .stored import stored
+from .stored import free_name, stored
 
 N_WORDS = 5
+#: Items and shingles that are broadcast at most (beside the bytes of their texts, a parameter).
+ITEMS, SHINGLES = 1 << 16, 1 << 18
 PAIRS = "doc_id long, item_id long, item_shingles long, shared long, containment double"
 
 
@@ -95,9 +97,12 @@ class SketchIndex:
 
 
 def _index(spark, items: DataFrame, item_id: str, text: str, threshold: float, most: int):
-    """A broadcast index, or None if the items have more shingles than `most`."""
+    """A broadcast index, or None if the items are too many: more than `most` bytes of text, ITEMS rows or SHINGLES shingles."""
     rows = items.filter(F.col(text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
-    if (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > most:
+    n_words = F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = rows.filter(n_words > 0)  # an item without words is in no document
+    size, count, words = rows.agg(F.sum(F.octet_length("text")), F.count("*"), F.sum(n_words)).first()
+    if (size or 0) > most or count > ITEMS or (words or 0) > SHINGLES:  # an item has no more shingles than words
         return None
     held = rows.collect()
     return spark.sparkContext.broadcast(SketchIndex([x[0] for x in held], [x[1] for x in held], threshold))
@@ -187,9 +192,10 @@ def without_items(
     """The rows of docs that hold no item, with all their columns."""
     shared = _index(docs.sparkSession, items, item_id, text, threshold, broadcast_bytes)
     if shared is None:
-        keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # the same numbers for both uses
-        held = contained_items(keyed, items, threshold, "_row", item_id, text, broadcast_bytes)
-        return keyed.join(held.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").drop("_row")
+        row = free_name(docs.columns, "row")
+        keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # the same numbers for both uses
+        held = contained_items(keyed, items, threshold, row, item_id, text, broadcast_bytes)
+        return keyed.join(held.select(F.col("doc_id").alias(row)).distinct(), row, "left_anti").select(*docs.columns)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import mix, pieces, text_bytes
+from .arrays import FIRST, LONG_SPAN, lanes, mix, pieces, span_hashes, text_bytes
 
 FILTERS = "ABCDE"
 SYMBOLS = "#$%&*|"
@@ -67,8 +67,6 @@ OUTPUT = np.array(
     ],
     np.uint8,
 )
-#: Words longer than this are hashed and compared one at a time.
-LONG_WORD = 64
 
 
 def byte_classes(symbols: str = SYMBOLS) -> np.ndarray:
@@ -91,42 +89,19 @@ def transduce(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tup
     return state, OUTPUT.ravel()[before * np.uint8(6) + kind]
 
 
-def _lanes(data: np.ndarray) -> np.ndarray:
-    """The eight bytes that start at each place, as one number (the data is padded with zeros)."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    return np.ndarray(len(data) + 1, np.dtype("<u8"), padded.data, strides=(1,))
-
-
-#: A mask of the first n bytes of a lane, for n up to 8.
-_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-
-
-def _word_hashes(data: np.ndarray, lanes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    h = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for at in range(0, min(LONG_WORD, int(sizes.max(initial=0))), 8):
-        own = np.flatnonzero((sizes > at) & (sizes <= LONG_WORD))
-        if not len(own):
-            break
-        lane = lanes[starts[own] + at] & _FIRST[np.minimum(sizes[own] - at, 8)]
-        h[own] = mix(h[own] ^ lane)
-    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
-        h[i] ^= np.uint64(hash(data[starts[i] : starts[i] + sizes[i]].tobytes()) & ((1 << 64) - 1))
-    return mix(h)
-
-
 def _same_words(
-    data: np.ndarray, lanes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray, a: np.ndarray, b: np.ndarray
+    data: np.ndarray, held: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray, a: np.ndarray, b: np.ndarray
 ) -> np.ndarray:
     """Whether words a and b are of one row and equal byte by byte."""
     same = (rows[a] == rows[b]) & (sizes[a] == sizes[b])
-    for at in range(0, LONG_WORD, 8):
+    for at in range(0, LONG_SPAN, 8):
         own = np.flatnonzero(same & (sizes[a] > at) & (a != b))
         if not len(own):
             break
         x, y = a[own], b[own]
-        mask = _FIRST[np.minimum(sizes[x] - at, 8)]
-        same[own] = ((lanes[starts[x] + at] ^ lanes[starts[y] + at]) & mask) == 0
-    for i in np.flatnonzero(same & (sizes[a] > LONG_WORD) & (a != b)).tolist():
+        mask = FIRST[np.minimum(sizes[x] - at, 8)]
+        same[own] = ((held[starts[x] + at] ^ held[starts[y] + at]) & mask) == 0
+    for i in np.flatnonzero(same & (sizes[a] > LONG_SPAN) & (a != b)).tolist():
         x, y, n = starts[a[i]], starts[b[i]], sizes[a[i]]
         same[i] = bool((data[x : x + n] == data[y : y + n]).all())
     return same
@@ -141,8 +116,8 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows:
     found = np.zeros(n_rows, np.int64)
     if not len(starts):
         return found
-    sizes, lanes = ends - starts, _lanes(data)
-    h = _word_hashes(data, lanes, starts, sizes) if hashes is None else hashes
+    sizes, held = ends - starts, lanes(data)
+    h = span_hashes(data, starts, ends) if hashes is None else hashes
     h = mix(h ^ mix(rows.astype(np.uint64)))
     mask = (1 << max(4, int(2 * len(starts) - 1).bit_length())) - 1
     slots = np.full(mask + 1, -1, np.int64)
@@ -156,7 +131,7 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows:
         mine = owner == left
         found += np.bincount(rows[left[mine]], minlength=n_rows)
         rest = np.flatnonzero(~mine)
-        other = ~_same_words(data, lanes, starts, sizes, rows, left[rest], owner[rest])
+        other = ~_same_words(data, held, starts, sizes, rows, left[rest], owner[rest])
         left = left[rest[other]]
         place[left] = (place[left] + 1) & mask
     return found

@@ -27,7 +27,7 @@ with a null id belongs to the component of its set (null if no member has an id)
 row gives a row; other columns are ignored. Sets are told apart by a 64-bit sum of mixed
 hashes, shingles by 48 bits of their hash and their group.
 
-Scale: texts are read once and only hashes of 6 bytes are shuffled, dealt by hash, so a
+Scale: texts are read once (twice by one_per_component) and only hashes of 6 bytes are shuffled, dealt by hash, so a
 shingle that many documents hold is one entry per document in one of `buckets` groups and
 the shingles of a common passage lie in different groups. Sets that may link are stored. Memory
 of a task is one group or one block.
@@ -44,19 +44,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .arrays import Words, block_numbers, mix, pieces, shingles
+from .arrays import Words, block_numbers, mix, pieces, shingles, spread
 from .components import components
 from .rlz import _by_group, _pack, _unpack, from_bytes, to_bytes
-from .stored import stored
+from .stored import Scratch, discard, free_name, stored, viewed
 
 BLOCK_BYTES = 2 << 20
 #: Light sets have at most this many shingles, whatever the costs.
 MOST_LIGHT = 24
 #: Scanning and verifying a list entry costs as much as enumerating so many subsets.
 ENTRY_COST = 8
-SENT = "bucket int, block int, hashes binary, rows binary, docs binary"
-ANSWER = "block int, bucket int, hashes binary, rows binary, counts binary, docs binary"
+SENT = "bucket int, block long, hashes binary, rows binary, docs binary"
+ANSWER = "block long, bucket int, hashes binary, rows binary, counts binary, docs binary"
 
 
 def least_shared(r: int, s: int) -> int:
@@ -64,17 +65,20 @@ def least_shared(r: int, s: int) -> int:
     return -(-4 * (r + s) // 9)
 
 
+def _set_numbers(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """A number for each set of shingles, by which equal sets are found."""
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(mix(h), out=total[1:])
+    return mix((total[rows[1:]] - total[rows[:-1]]) ^ mix(np.diff(rows).astype(np.uint64))).view(np.int64)
+
+
 def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, pa.RecordBatch]]:
     """Shingle keys, offsets of the documents in them, and what is known of the documents."""
     for part in pieces(batch, "text", BLOCK_BYTES):
         words = Words(part.column("text"), lower=True)
         h, rows = shingles(words.hashes(), words.rows)
-        total = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(mix(h), out=total[1:])
-        n = np.diff(rows)
-        same = mix((total[rows[1:]] - total[rows[:-1]]) ^ mix(n.astype(np.uint64)))
         yield h, rows, pa.RecordBatch.from_pydict(
-            {"doc_id": part.column("doc_id"), "n": pa.array(n, pa.int64()), "same": pa.array(same.view(np.int64))}
+            {"doc_id": part.column("doc_id"), "n": pa.array(np.diff(rows), pa.int64()), "same": pa.array(_set_numbers(h, rows))}
         )
 
 
@@ -100,8 +104,8 @@ def _send(sets: Callable, buckets: int, width: int):
                 cuts = [slice(bounds[g], bounds[g + 1]) for g in used]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "bucket": pa.array([block % buckets, *used.tolist()], pa.int32()),
-                        "block": pa.array([block] * (len(used) + 1), pa.int32()),
+                        "bucket": pa.array([spread(block, buckets), *used.tolist()], pa.int32()),
+                        "block": pa.array([block] * (len(used) + 1), pa.int64()),
                         "hashes": pa.array([None, *(_pack(keys[c], width) for c in cuts)], pa.binary()),
                         "rows": pa.array([None, *(row[c].tobytes() for c in cuts)], pa.binary()),
                         "docs": pa.array([to_bytes(docs)] + [None] * len(used), pa.binary()),
@@ -135,7 +139,7 @@ def _look_up(width: int, counted: bool):
                     counts = own[several].tobytes() if counted else None
                     for name, x in zip(out, (blocks[i], bucket, _pack(values[n][several], width), row, counts, None), strict=True):
                         out[name].append(x)
-        kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
         return pa.table({name: pa.array(x, kind) for (name, x), kind in zip(out.items(), kinds, strict=True)})
 
     return run
@@ -315,10 +319,10 @@ def _heavy_links(sets: DataFrame, most_light: int) -> DataFrame:
     return links.union(_verified(rest, sets))
 
 
-def shingle_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row.
+def _linked_sets(docs: DataFrame, doc_id: str, text: str, buckets: int | None) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n and same (the number of its set) of every row; same and component of linked sets.
 
-    buckets: groups that shingles are dealt to, four times the shuffle partitions if unset.
+    All other tables on the way are deleted.
     """
     buckets = buckets or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -328,20 +332,31 @@ def shingle_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         answers = sent.groupBy("bucket").applyInArrow(_look_up(width, counted), ANSWER)
         return answers.groupBy("block").applyInArrow(finish, schema)
 
-    members = stored(exchange(texts, _text_sets, 6, False, _maybe_linked, "doc_id long, n long, same long, keys binary"), "members")
-    equal = members.filter("keys is not null").groupBy("same").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
-    ranked = exchange(
-        equal, _stored_sets, 8, True, _ranked, "same long, n long, held long, prefix long, score double, bits0 long, bits1 long, keys binary"
-    )
-    sets = stored(ranked, "sets")
+    with Scratch() as scratch:
+        held = stored(exchange(texts, _text_sets, 6, False, _maybe_linked, "doc_id long, n long, same long, keys binary"), "members")
+        members = scratch.keep(stored(held.select("doc_id", "n", "same"), "members", narrow=True))
+        equal = held.filter("keys is not null").groupBy("same").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+        ranked = exchange(
+            equal, _stored_sets, 8, True, _ranked, "same long, n long, held long, prefix long, score double, bits0 long, bits1 long, keys binary"
+        )
+        sets = stored(ranked, "sets")
+        discard(held)
 
-    small = sets.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n", "held")
-    by_size = [tuple(r) for r in small.agg(F.count("*"), F.sum("prefix")).collect()]  # bounded by the sizes
-    boundary = light_boundary(by_size)
-    links = _heavy_links(sets, boundary).union(_light_links(sets, boundary)) if boundary else _heavy_links(sets, 0)
-    labels = components(links).withColumnRenamed("node", "same")
+        small = sets.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n", "held")
+        by_size = [tuple(r) for r in small.agg(F.count("*"), F.sum("prefix")).collect()]  # bounded by the sizes
+        boundary = light_boundary(by_size)
+        links = _heavy_links(sets, boundary).union(_light_links(sets, boundary)) if boundary else _heavy_links(sets, 0)
+        labels = scratch.keep(components(links))
+    return members, viewed(labels.withColumnRenamed("node", "same"), labels)
 
-    filled = members.select("doc_id", "n", "same").filter("n > 0")
+
+def shingle_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row.
+
+    buckets: groups that shingles are dealt to, four times the shuffle partitions if unset.
+    """
+    members, labels = _linked_sets(docs, doc_id, text, buckets)
+    filled = members.filter("n > 0")
     smallest = filled.groupBy("same").agg(F.min("doc_id").alias("own"))
     placed = smallest.join(labels, "same", "left").withColumn("component", F.coalesce("component", "same"))
     ids = placed.groupBy("component").agg(F.min("own").alias("component_id"))
@@ -354,17 +369,39 @@ def shingle_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of docs of each component, with all its columns.
+    """One row of docs of each component, with all its columns, and all rows without a word.
 
-    Rows are told apart by a number, not by their id: the row with the smallest id (null is the
-    largest), and of these the smallest number, stays.
+    Rows are told apart by id and set of shingles: of a component the smallest id (null is the
+    largest) stays, of its sets the one with the smallest number, of rows with this id and set
+    one. The texts are read again for that, no copy of them is stored.
     """
-    # The same numbers for all uses.
-    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = shingle_components(keyed, "_row", text).filter("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
-    linked = stored(found, "linked", narrow=True)
-    rank = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_row").alias("row"))
-    ranked = keyed.select("_row", rank.alias("rank")).join(linked, "_row")
-    kept = ranked.groupBy("component_id").agg(F.min("rank")["row"].alias("_row")).select("_row")
-    others = linked.select("_row").join(kept, "_row", "left_anti")
-    return keyed.join(others, "_row", "left_anti").select(*docs.columns)
+    members, labels = _linked_sets(docs, doc_id, text, None)
+    placed = members.filter("n > 0").join(labels, "same", "left").withColumn("component", F.coalesce("component", "same"))
+    rows = placed.groupBy("component", "doc_id", "same").agg(F.count("*").alias("rows"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("same").alias("set"))
+    first = rows.groupBy("component").agg(F.min(rank).alias("first"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("same") == F.col("first.set"))
+    judged = rows.join(first, "component").select(F.col("doc_id").alias("id"), F.col("same").alias("set"), kept.alias("kept"), "rows")
+    # Rows that go, and kept ones that come more than once; the rest of the documents is in neither.
+    judged = stored(judged.filter("not kept or rows > 1").select("id", "set", "kept"), "judged", narrow=True)
+    discard(members, labels)
+
+    name = free_name(docs.columns, "same")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, text, BLOCK_BYTES):
+                words = Words(part.column(text), lower=True)
+                h, bounds = shingles(words.hashes(), words.rows)
+                same = pa.array(_set_numbers(h, bounds), mask=np.diff(bounds) == 0)
+                yield pa.RecordBatch.from_arrays([*part.columns, same], [*part.schema.names, name])
+
+    keyed = docs.mapInArrow(number, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    fits = keyed[doc_id].cast("long").eqNullSafe(F.col("id")) & (keyed[name] == F.col("set"))
+    left = keyed.join(judged.filter("not kept").select("id", "set"), fits, "left_anti")
+    twice = judged.filter("kept").select("id", "set")
+    if not twice.take(1):
+        return left.select(*docs.columns)
+    several = left.join(twice, fits, "left_semi").groupBy(doc_id, name)
+    one = several.agg(F.min_by(F.struct(*docs.columns), F.xxhash64(text)).alias("row")).select("row.*")
+    return left.join(twice, fits, "left_anti").select(*docs.columns).union(one)

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_128_digest
 
-from .arrays import LOWER, SPACE, mix, pieces, text_bytes
+from .arrays import LOWER, SPACE, block_numbers, mix, pieces, spread, text_bytes
 from .rlz import from_bytes, to_bytes
 
 BLOCK_BYTES = 2 << 20
@@ -187,10 +187,10 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 def _send(text: str, doc_id: str, least_chars: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        blocks = block_numbers(TaskContext.get().partitionId())
         for batch in batches:
             for part in pieces(batch, text, BLOCK_BYTES):
-                block += 1
+                block = next(blocks)
                 lines = Lines(part.column(text), least_chars)
                 h, bounds, entry = lines.distinct(shards)
                 # Each document counts once for a key, whatever the number of its lines.
@@ -202,7 +202,7 @@ def _send(text: str, doc_id: str, least_chars: int, shards: int):
                 cuts = [slice(bounds[s], bounds[s + 1]) for s in used]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "shard": pa.array([block % shards, *used.tolist()], pa.int32()),
+                        "shard": pa.array([spread(block, shards), *used.tolist()], pa.int32()),
                         "block": pa.array([block] * (len(used) + 1), pa.int64()),
                         **{
                             name: pa.array([None, *(values[c].tobytes() for c in cuts)], pa.binary())

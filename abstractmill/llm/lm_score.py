@@ -5,16 +5,16 @@ hashes and counts of their distinct words to groups by hash; a group adds them u
 each block with the total of each of its words. So what is gathered grows with the
 corpus, in the number of distinct words per block.
 
-*Model.* A gated recurrent unit reads the words of a document. The output softmax is factored by
-class: the `SHORT` most frequent words are in classes of `IN_CLASS` by frequency, each with a
-softmax over its words; all other words are in `TAIL` classes by their last letters, where
-a word has the share (c + 0.1) / (N_t + 0.1 (V_t + 1)) of its class. The counts of the whole
+*Model.* A gated recurrent unit reads the words of a document. The `SHORT` most frequent words are
+symbols of their own; all other words fall into `TAIL` symbols by their last letters, where
+a word has the share (c + 0.1) / (N_t + 0.1 (V_t + 1)) of its symbol. The output softmax is factored by
+class: one over classes of `IN_CLASS` symbols by frequency, then one over the symbols of the class. The counts of the whole
 corpus set the biases and these shares, so before training the model is the unigram
 model by classes. It is trained by truncated backpropagation through windows of `WINDOW`
 steps (exact gradients in a window, state carried into the next one, Adam) on every training
 document: the blocks are dealt to `ROUNDS` rounds; in each one every task goes once through its
 blocks of the round, starting from the weights of the round before, and the tasks' weights are
-averaged in proportion to their words. The first round starts from weights learned on the
+averaged in proportion to their words, in levels of FAN_IN tasks. The first round starts from weights learned on the
 driver from at most `fit_docs` training documents (those with the smallest hash of their id), which are in
 a round as well. The size of the network is fixed.
 
@@ -32,7 +32,7 @@ columns are ignored.
 Scale: texts are read once, coded as word numbers (some 2 bytes a token, compressed) and
 stored. Hot words cost one entry a block and group. Driver and broadcast hold the
 short list and the weights only, whose sizes are fixed. A task of training holds one block and sends
-its weights (0.6 MB), which are averaged like the counts, in about sqrt(groups) tasks.
+its weights (0.6 MB), which are averaged like the counts: a merging task has FAN_IN rows, the driver too.
 """
 
 from __future__ import annotations
@@ -54,16 +54,24 @@ from .stored import stored
 
 #: Words with a softmax of their own (the end is word 0), words in a class, tail classes.
 SHORT, IN_CLASS, TAIL = 1024, 32, 64
-CLASSES = SHORT // IN_CLASS
+#: The tail classes are symbols too, in classes of their own.
+SYMBOLS = SHORT + TAIL
+CLASSES = SYMBOLS // IN_CLASS
 #: Size of the state, steps of backpropagation, steps scored at once.
 STATE, WINDOW, SCORED = 32, 20, 64
+#: Logits within this bound either way need no shift: exponentials and their sums stay normal floats.
+BOUND = 70.0
+#: States whose exponentials are taken at once: they stay in the cache.
+SLICE = 1024
 #: Blocks that are scored together.
 TOGETHER = 2
+#: Rows of counts or weights that one task merges.
+FAN_IN = 16
 #: Rounds of training over all blocks, lanes of a block in them, and the rate of the first one.
 ROUNDS, LANES, RATE = 4, 512, 0.004
 BLOCK_BYTES = 3 << 20
-CODED = "bucket int, block int, together int, hashes binary, counts binary, tails binary, docs binary, numbers binary"
-TOTALS = "block int, bucket int, together int, totals binary"
+CODED = "bucket int, block long, together long, hashes binary, counts binary, tails binary, docs binary, numbers binary"
+TOTALS = "block long, bucket int, together long, totals binary"
 TRAINED = "task int, tokens long, weights binary"
 STATS = "bucket int, n binary, v binary, words binary, totals binary, tails binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -113,8 +121,8 @@ def _code(buckets: int):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "bucket": pa.array([-1, *used.tolist()], pa.int32()),
-                        "block": pa.array([block] * (n + 1), pa.int32()),
-                        "together": pa.array([block // TOGETHER] * (n + 1), pa.int32()),
+                        "block": pa.array([block] * (n + 1), pa.int64()),
+                        "together": pa.array([block // TOGETHER] * (n + 1), pa.int64()),
                         "hashes": pa.array([hashes.tobytes(), *(hashes[c].tobytes() for c in cuts)], pa.binary()),
                         "counts": pa.array([None, *(counts[c].tobytes() for c in cuts)], pa.binary()),
                         "tails": pa.array([tails.tobytes(), *(tails[c].tobytes() for c in cuts)], pa.binary()),
@@ -142,7 +150,7 @@ def _totals(table: pa.Table) -> pa.Table:
     blocks, each, *_ = _add_up(table)
     return pa.table(
         {
-            "block": pa.array(blocks, pa.int32()),
+            "block": pa.array(blocks, pa.int64()),
             "bucket": table.column("bucket"),
             "together": table.column("together"),
             "totals": pa.array([x.tobytes() for x in each], pa.binary()),
@@ -173,7 +181,7 @@ def _merge_stats(table: pa.Table) -> pa.Table:
     )
     tails = [np.frombuffer(x, np.uint8) for x in table.column("tails").to_pylist()]
     both = (np.concatenate(x) for x in (words, total, tails))
-    return _stats_row(table.column("bucket")[0].as_py(), np.sum(n, axis=0), np.sum(v, axis=0), *both)
+    return _stats_row(min(table.column("bucket").to_pylist()), np.sum(n, axis=0), np.sum(v, axis=0), *both)
 
 
 class Vocabulary:
@@ -245,49 +253,71 @@ class Gru:
         def rand(*shape: int) -> np.ndarray:
             return (rng.standard_normal(shape) / np.sqrt(shape[-2])).astype(np.float32)
 
-        self.inputs = (0.3 * rng.standard_normal((SHORT + TAIL, 3 * STATE))).astype(np.float32)
+        self.inputs = (0.3 * rng.standard_normal((SYMBOLS, 3 * STATE))).astype(np.float32)
         self.inputs[:, :STATE] += 0.5  # keep the state for a start
         self.hidden = np.concatenate([rand(STATE, STATE) for _ in range(3)], axis=1)
-        self.to_class = 0.05 * rand(STATE, CLASSES + TAIL)
+        self.to_class = 0.05 * rand(STATE, CLASSES)
         self.to_word = 0.05 * rand(CLASSES, STATE, IN_CLASS)
-        mass = np.concatenate([(vocabulary.counts + 0.1 * (np.arange(SHORT) < vocabulary.size)).reshape(CLASSES, -1).sum(1), vocabulary.tail_room])
-        self.class_bias = np.log(np.maximum(mass, 0.05) / np.maximum(mass, 0.05).sum()).astype(np.float32)
-        words = vocabulary.counts + 0.1
-        words[vocabulary.size :] = 1e-12
-        self.word_bias = np.log(words.reshape(CLASSES, IN_CLASS)).astype(np.float32)
-        self.word_bias -= self.word_bias.max(axis=1, keepdims=True)
+        mass = vocabulary.counts + 0.1 * (np.arange(SHORT) < vocabulary.size)
+        mass = np.concatenate([np.maximum(mass, 1e-12), np.maximum(vocabulary.tail_room, 1e-3)]).reshape(CLASSES, IN_CLASS)
+        held = np.maximum(mass.sum(axis=1), 0.05)
+        self.class_bias = np.log(held / held.sum()).astype(np.float32)
+        self.word_bias = np.log(mass / mass.max(axis=1, keepdims=True)).astype(np.float32)
 
     def params(self) -> list[np.ndarray]:
         return [self.inputs, self.hidden, self.to_class, self.to_word, self.class_bias, self.word_bias]
 
-    def step(self, gate: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """State after inputs with these gate sums; also the gates, for the way back."""
-        u = h @ self.hidden
-        zr = 1 / (1 + np.exp(-(gate[:, : 2 * STATE] + u[:, : 2 * STATE])))
-        z, r = zr[:, :STATE], zr[:, STATE:]
-        c = np.tanh(gate[:, 2 * STATE :] + r * u[:, 2 * STATE :])
-        return c + z * (h - c), z, r, c, u[:, 2 * STATE :]
+    def step(self, gate: np.ndarray, h: np.ndarray, u: np.ndarray | None = None, zr: np.ndarray | None = None, c: np.ndarray | None = None) -> np.ndarray:
+        """State after inputs with these gate sums. The gates are put into u, zr and c if given, for the way back."""
+        u = np.matmul(h, self.hidden, out=u)
+        zr = np.add(gate[:, : 2 * STATE], u[:, : 2 * STATE], out=zr)
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        c = np.multiply(zr[:, STATE:], u[:, 2 * STATE :], out=c)
+        c += gate[:, 2 * STATE :]
+        np.tanh(c, out=c)
+        new = h - c
+        new *= zr[:, :STATE]
+        new += c
+        return new
 
     @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    def _wide(weights: np.ndarray, bias: np.ndarray) -> bool:
+        """Whether exponentials of logits h @ weights + bias can leave the range of floats.
+
+        Components of h lie in -1 .. 1, which bounds the logits. Where this holds, the maximum of
+        each row is taken off before.
+        """
+        reach = np.abs(weights).sum(axis=0)
+        return bool((reach + bias).max() > BOUND or (bias - reach).min() < -BOUND)
 
     def outputs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """ln of the probability of the target symbols (of the class alone for tail symbols)."""
-        kind = np.where(target < SHORT, target // IN_CLASS, target - SHORT + CLASSES)
-        x = h @ self.to_class
-        x += self.class_bias
-        np.exp(x, out=x)  # the weights are small: no sum of these overflows
-        seen = x[np.arange(len(h)), kind]
-        out = np.log(np.maximum(seen, 1e-35)) - np.log(x.sum(axis=1))
+        """ln of the probability of the target symbols."""
+        kind = target // IN_CLASS
         order = np.argsort(kind.astype(np.uint8), kind="stable")
         bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[bounds[c] : bounds[c + 1]]
-            if len(own):
-                y = self._log_softmax(h[own] @ self.to_word[c] + self.word_bias[c])
-                out[own] += y[np.arange(len(own)), target[own] % IN_CLASS]
+        h, kind, within = h[order], kind[order], target[order] % IN_CLASS
+        found = np.zeros(len(h), np.float32)
+
+        def add(first: int, last: int, weights: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> None:
+            wide, ones = self._wide(weights, bias), np.ones(len(bias), np.float32)
+            for at in range(first, last, SLICE):
+                part = slice(at, min(at + SLICE, last))
+                x = h[part] @ weights
+                x += bias
+                if wide:
+                    x -= x.max(axis=1, keepdims=True)
+                found[part] += x[np.arange(len(x)), pick[part]]
+                np.exp(x, out=x)
+                found[part] -= np.log(x @ ones)
+
+        add(0, len(h), self.to_class, self.class_bias, kind)
+        for c in np.flatnonzero(np.diff(bounds)):
+            add(bounds[c], bounds[c + 1], self.to_word[c], self.word_bias[c], within)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def learn(self, documents: list[np.ndarray], epochs: int = 4, lanes: int = 64, rate: float = 0.01, seed: int = 5) -> None:
@@ -313,58 +343,75 @@ class Gru:
 
     def _slopes(self, source: np.ndarray, target: np.ndarray, h: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Gradients of the mean loss of a window, where targets are not -1; the state after it."""
-        held, states = [], []
+        steps, lanes = source.shape
         gates = self.inputs[source]
-        for x, gate in zip(source, gates, strict=True):
-            h = h * (x != 0)[:, None]  # a document starts after the end of the last one
-            new, z, r, c, u = self.step(gate, h)
-            held.append((x, h, z, r, c, u))
-            h = new
-            states.append(h)
-        every, aim = np.concatenate(states), target.ravel()
-        kind = np.where(aim < SHORT, aim // IN_CLASS, aim - SHORT + CLASSES)  # -1 for a pad
-        n = max(1, int((aim >= 0).sum()))
-        p = every @ self.to_class
-        p += self.class_bias
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(aim)), kind] -= 1
-        p[aim < 0] = 0
-        p /= n
-        g_class, g_bias = every.T @ p, p.sum(axis=0)
-        back = p @ self.to_class.T
-        g_word, g_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        order = np.argsort(kind.astype(np.int8), kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(bounds)):
-            own = order[bounds[c] : bounds[c + 1]]
-            state = every[own]
-            q = state @ self.to_word[c]
-            q += self.word_bias[c]
-            q -= q.max(axis=1, keepdims=True)
-            np.exp(q, out=q)
-            q /= q.sum(axis=1, keepdims=True)
-            q[np.arange(len(own)), aim[own] % IN_CLASS] -= 1
-            q /= n
-            g_word[c], g_word_bias[c] = state.T @ q, q.sum(axis=0)
-            back[own] += q @ self.to_word[c].T
-        back = back.reshape(len(states), -1, STATE)
-        g_hidden, carry = np.zeros_like(self.hidden), np.zeros_like(h)
-        for t in range(len(states) - 1, -1, -1):
-            x, before, z, r, c, u = held[t]
-            dh = back[t] + carry
-            dc = dh * (1 - z) * (1 - c * c)
-            gate = gates[t]  # from here on the gradients of these gates
-            gate[:, :STATE] = dh * (before - c) * z * (1 - z)
-            gate[:, STATE : 2 * STATE] = dc * u * r * (1 - r)
-            gate[:, 2 * STATE :] = dc
-            through = gate.copy()
-            through[:, 2 * STATE :] *= r
-            g_hidden += before.T @ through
-            carry = (dh * z + through @ self.hidden.T) * (x != 0)[:, None]
-        place = source.reshape(-1, 1) * (3 * STATE) + np.arange(3 * STATE)
-        g_inputs = np.bincount(place.ravel(), gates.ravel(), self.inputs.size).astype(np.float32).reshape(self.inputs.shape)
+        alive = (source != 0).astype(np.float32)[:, :, None]  # a document starts after the end of the last one
+        before, after = (np.empty((steps, lanes, STATE), np.float32) for _ in range(2))
+        u, zr, c = (np.empty((steps, lanes, k * STATE), np.float32) for k in (3, 2, 1))
+        for t in range(steps):
+            np.multiply(h, alive[t], out=before[t])
+            after[t] = h = self.step(gates[t], before[t], u[t], zr[t], c[t])
+        aim = target.ravel()
+        kind = np.where(aim < 0, CLASSES, aim // IN_CLASS)  # pads come last
+        order = np.argsort(kind.astype(np.uint8), kind="stable")
+        every, aim, kind = after.reshape(-1, STATE)[order], aim[order], kind[order]
+        bounds = np.searchsorted(kind, np.arange(CLASSES + 1))
+        n = int(bounds[-1])
+        share = np.float32(1 / max(1, n))
+
+        def back_through(first: int, last: int, weights: np.ndarray, bias: np.ndarray, pick: np.ndarray, g_weights: np.ndarray, g_bias: np.ndarray) -> None:
+            """Add up the gradients of a softmax over these states."""
+            wide, ones = self._wide(weights, bias), np.ones(len(bias), np.float32)
+            for at in range(first, last, SLICE):
+                part = slice(at, min(at + SLICE, last))
+                p = every[part] @ weights
+                p += bias
+                if wide:
+                    p -= p.max(axis=1, keepdims=True)
+                np.exp(p, out=p)
+                p *= (share / (p @ ones))[:, None]
+                p[np.arange(len(p)), pick[part]] -= share
+                g_weights += every[part].T @ p
+                g_bias += p.sum(axis=0)
+                back[part] += p @ weights.T
+
+        back = np.zeros_like(every)
+        g_class, g_bias, g_word, g_word_bias = (np.zeros_like(p) for p in (self.to_class, self.class_bias, self.to_word, self.word_bias))
+        back_through(0, n, self.to_class, self.class_bias, kind, g_class, g_bias)
+        within = aim % IN_CLASS
+        for k in np.flatnonzero(np.diff(bounds)):
+            back_through(bounds[k], bounds[k + 1], self.to_word[k], self.word_bias[k], within, g_word[k], g_word_bias[k])
+        slope = np.empty_like(back)
+        slope[order] = back
+        slope = slope.reshape(steps, lanes, STATE)
+        # What one step's gradient of the state is multiplied with for each gate.
+        z, r = zr[:, :, :STATE], zr[:, :, STATE:]
+        keep = 1 - z
+        to_z, to_c = (before - c) * z * keep, keep * (1 - c * c)
+        to_r = u[:, :, 2 * STATE :] * r * (1 - r)
+        through = u  # as the gradient of h @ hidden
+        carry = np.zeros_like(h)
+        back_hidden = np.ascontiguousarray(self.hidden.T)
+        for t in range(steps - 1, -1, -1):
+            dh = slope[t]
+            dh += carry
+            gate, way = gates[t], through[t]  # from here on the gradients of these gates
+            dc = np.multiply(dh, to_c[t], out=gate[:, 2 * STATE :])
+            np.multiply(dh, to_z[t], out=gate[:, :STATE])
+            np.multiply(dc, to_r[t], out=gate[:, STATE : 2 * STATE])
+            way[:, : 2 * STATE] = gate[:, : 2 * STATE]
+            np.multiply(dc, r[t], out=way[:, 2 * STATE :])
+            carry = way @ back_hidden
+            dh *= z[t]
+            carry += dh
+            carry *= alive[t]
+        g_hidden = before.reshape(-1, STATE).T @ through.reshape(-1, 3 * STATE)
+        # Rows of the input table add up the gradients of their steps.
+        by_symbol = np.argsort(source.ravel().astype(np.uint16), kind="stable")
+        symbols = source.ravel()[by_symbol]
+        first = np.flatnonzero(np.concatenate([[True], symbols[1:] != symbols[:-1]]))
+        g_inputs = np.zeros_like(self.inputs)
+        g_inputs[symbols[first]] = np.add.reduceat(gates.reshape(-1, 3 * STATE)[by_symbol], first, axis=0)
         return [g_inputs, g_hidden, g_class, g_word, g_bias, g_word_bias], h
 
     def score(self, symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -397,7 +444,7 @@ class Gru:
             for t in range(at, min(at + SCORED, long[0])):
                 own = grid[t, : active[t]]
                 before = h[: active[t]] * ~starts[own][:, None]
-                h, *_ = self.step(self.inputs[source[own]], before)
+                h = self.step(self.inputs[source[own]], before)
                 states.append(h)
                 seen.append(own)
             every = np.concatenate(seen)
@@ -417,9 +464,13 @@ def _statistics(merged: list) -> tuple[dict[int, tuple[int, int]], list[tuple[in
 
 def _sample(docs: DataFrame, fit_docs: int, vocabulary: Vocabulary) -> list[np.ndarray]:
     """Symbols of a bounded sample of the training documents, whole texts."""
-    chosen = docs.filter("train").select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)
-    found = docs.filter("train").join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("_id"))
-    texts = [r[1] for r in sorted(tuple(r) for r in found.select("doc_id", F.coalesce("text", F.lit(""))).collect())][:fit_docs]
+    rows = docs.filter("train").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_text", F.xxhash64("text"))
+    # Rows are chosen by narrow columns; repeated ones are one text, so no more than the bound is collected.
+    narrow = rows.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"))
+    chosen = narrow.orderBy(F.xxhash64("_id"), "_id", "_hash").limit(fit_docs).distinct()
+    found = rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_hash")))
+    held = found.groupBy("doc_id", "_text").agg(F.first("text").alias("text")).collect()
+    texts = [r["text"] for r in sorted(held, key=lambda r: (r["doc_id"], r["_text"]))]
     out = []
     for text in texts:
         words = Words(pa.array([text], pa.large_string()), lower=True)
@@ -451,10 +502,20 @@ def _mean_weights(rows: list[tuple[int, int, bytes]]) -> tuple[int, np.ndarray]:
 
 def _merge_weights(table: pa.Table) -> pa.Table:
     rows = list(zip(*(table.column(c).to_pylist() for c in ("task", "tokens", "weights")), strict=True))
-    return pa.Table.from_batches([_trained(min(r[0] for r in rows), *(lambda n, mean: (n, [mean]))(*_mean_weights(rows)))])
+    tokens, mean = _mean_weights(rows)
+    return pa.Table.from_batches([_trained(min(r[0] for r in rows), tokens, [mean])])
+
+
+def _by_levels(rows: DataFrame, key: str, most: int, merge: Callable, schema: str) -> list:
+    """Rows with keys below `most` merged to FAN_IN rows at most, by tasks of FAN_IN rows each."""
+    scale = 1
+    while most > FAN_IN * scale:
+        scale *= FAN_IN
+        rows = rows.groupBy(F.expr(f"{key} div {scale}").alias("part")).applyInArrow(merge, schema)
+    return rows.collect()
 
 
-def _train(coded: DataFrame, vocabulary: Vocabulary, model: Gru, parts: int) -> int:
+def _train(coded: DataFrame, vocabulary: Vocabulary, model: Gru) -> int:
     """Train the model on all training documents of the blocks; the number of their symbols."""
     spark = coded.sparkSession
     rest, total = coded.filter("bucket < 0").select("block", "hashes", "tails", "docs", "numbers"), 0
@@ -479,8 +540,8 @@ def _train(coded: DataFrame, vocabulary: Vocabulary, model: Gru, parts: int) ->
                 yield _trained(TaskContext.get().partitionId(), tokens, model.params())
 
         # Neighbouring blocks of a partition and first blocks of partitions are in different rounds.
-        own = rest.filter(F.pmod(F.shiftright("block", 12) + F.col("block").bitwiseAND(4095), F.lit(ROUNDS)) == nth)
-        found = own.mapInArrow(run, TRAINED).groupBy((F.col("task") % parts).alias("part")).applyInArrow(_merge_weights, TRAINED).collect()
+        own = rest.filter(F.pmod(F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1), F.lit(ROUNDS)) == nth)
+        found = _by_levels(own.mapInArrow(run, TRAINED), "task", own.rdd.getNumPartitions(), _merge_weights, TRAINED)
         if found:
             tokens, mean = _mean_weights([tuple(r) for r in found])
             total += tokens
@@ -509,16 +570,15 @@ def document_scores(
     )
     coded = stored(rows.mapInArrow(_code(buckets), CODED), "coded")
     asked = coded.filter("bucket >= 0").select("bucket", "block", "together", "hashes", "counts", "tails").groupBy("bucket")
-    # The groups' statistics (of a fixed size each) are merged in about sqrt(buckets) tasks, then here.
-    parts = int(buckets**0.5 + 1)
-    merged = asked.applyInArrow(_group_stats, STATS).groupBy((F.col("bucket") % parts).alias("part")).applyInArrow(_merge_stats, STATS).collect()
+    # The groups' statistics are of a fixed size each.
+    merged = _by_levels(asked.applyInArrow(_group_stats, STATS), "bucket", buckets, _merge_stats, STATS)
     ends = rows.filter("train").count()
     vocabulary = Vocabulary(ends, *_statistics(merged))
     model = Gru(vocabulary)
     sample = _sample(rows, fit_docs, vocabulary)
     if sample:
         model.learn(sample)
-    _train(coded, vocabulary, model, parts)
+    _train(coded, vocabulary, model)
 
     def score(key: tuple, sent: pa.Table, answers: pa.Table) -> pa.Table:
         totals = {(b, g): np.frombuffer(x, np.int64) for b, g, x in zip(*(answers.column(c).to_pylist() for c in ("block", "bucket", "totals")), strict=True)}

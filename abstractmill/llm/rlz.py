@@ -40,13 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import Words, block_numbers, grams, mix, pieces
+from .arrays import Words, block_numbers, grams, mix, pieces, spread
 
 BLOCK_BYTES = 2 << 20
 #: Bytes of a window's hash that are sent.
 WIDTH = 7
-SENT = "bucket int, block int, hashes binary, texts binary"
-ANSWER = "block int, bucket int, found binary, refs binary, texts binary"
+SENT = "bucket int, block long, hashes binary, texts binary"
+ANSWER = "block long, bucket int, found binary, refs binary, texts binary"
 
 
 def _windows(words: Words, window: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,8 +100,8 @@ def _send(text: str, window: int, buckets: int):
                 used = np.flatnonzero(np.diff(bounds))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "bucket": pa.array([block % buckets, *used.tolist()], pa.int32()),
-                        "block": pa.array([block] * (len(used) + 1), pa.int32()),
+                        "bucket": pa.array([spread(block, buckets), *used.tolist()], pa.int32()),
+                        "block": pa.array([block] * (len(used) + 1), pa.int64()),
                         "hashes": pa.array([None, *(_pack(h[bounds[g] : bounds[g + 1]], WIDTH) for g in used)], pa.binary()),
                         "texts": pa.array([to_bytes(part)] + [None] * len(used), pa.binary()),
                     }
@@ -124,7 +124,7 @@ def _look_up(table: pa.Table) -> pa.Table:
         sizes = np.array([len(v) for v in values])
         bounds = np.concatenate([[0], np.cumsum(sizes)])
         h = np.concatenate(values)
-        source = np.repeat(np.array([b for b, _ in asked], np.int32), sizes)
+        source = np.repeat(np.array([b for b, _ in asked], np.int64), sizes)
         order = np.argsort(h, kind="stable")  # of equal windows the first block comes first
         h = h[order]
         new = np.ones(len(h), bool)
@@ -135,7 +135,7 @@ def _look_up(table: pa.Table) -> pa.Table:
         again = several[run]
         # All but the first occurrence follow the first; it follows the second.
         ref = source[order[np.minimum(first[run] + new, len(h) - 1)]]
-        found, refs = np.empty(len(h), bool), np.empty(len(h), np.int32)
+        found, refs = np.empty(len(h), bool), np.empty(len(h), np.int64)
         found[order], refs[order] = again, ref
         bucket = table.column("bucket")[0].as_py()
         for n, (block, _) in enumerate(asked):
@@ -144,7 +144,7 @@ def _look_up(table: pa.Table) -> pa.Table:
                 own_refs = refs[bounds[n] : bounds[n + 1]][own].tobytes()
                 for name, x in zip(out, (block, bucket, np.packbits(own).tobytes(), own_refs, None), strict=True):
                     out[name].append(x)
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.table({name: pa.array(x, kind) for (name, x), kind in zip(out.items(), kinds, strict=True)})
 
 
@@ -154,7 +154,7 @@ def _resolve(table: pa.Table, text: str, window: int, buckets: int) -> tuple[pa.
     batch = from_bytes(texts)
     words = Words(batch.column(text), lower=False)
     found = np.zeros(len(words), bool)
-    refs = np.full(len(words), -1, np.int32)
+    refs = np.full(len(words), -1, np.int64)
     answers = table.filter(table.column("found").is_valid())
     if answers.num_rows:
         _, at, group = _windows(words, window, buckets)
@@ -164,7 +164,7 @@ def _resolve(table: pa.Table, text: str, window: int, buckets: int) -> tuple[pa.
             own = at[bounds[g] : bounds[g + 1]]
             hit = own[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool)]
             found[hit] = True
-            refs[hit] = np.frombuffer(ref, np.int32)
+            refs[hit] = np.frombuffer(ref, np.int64)
     return batch, words, found, refs
 
 
@@ -258,8 +258,8 @@ def repeated_spans(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
                 "doc_id": batch.column("doc_id").take(pa.array(row[start], pa.int64())),
                 "first_word": pa.array(start - words.rows[row[start]], pa.int64()),
                 "n_words": pa.array(length, pa.int64()),
-                "block": pa.array(ref, pa.int32()),
+                "block": pa.array(ref, pa.int64()),
             }
         )
 
-    return answers.groupBy("block").applyInArrow(spans_of, "doc_id long, first_word long, n_words long, block int")
+    return answers.groupBy("block").applyInArrow(spans_of, "doc_id long, first_word long, n_words long, block long")

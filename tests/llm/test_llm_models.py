@@ -86,7 +86,7 @@ def test_state_is_carried_across_windows(small_gru):
     for d, g in zip(docs, got, strict=True):
         h, total, before = np.zeros((1, lm_score.STATE), np.float32), 0.0, 0
         for x in d:
-            h, *_ = small_gru.step(small_gru.inputs[[before]], h)
+            h = small_gru.step(small_gru.inputs[[before]], h)
             total += small_gru.outputs(h, np.array([x]))[0]
             before = x
         assert math.isclose(total, g, rel_tol=1e-4)
@@ -106,7 +106,7 @@ def test_gradients_of_the_truncated_window(small_gru):
     def loss():
         h, total = np.zeros((3, lm_score.STATE), np.float32), 0.0
         for x, y in zip(source, target, strict=True):
-            h, *_ = small_gru.step(small_gru.inputs[x], h * (x != 0)[:, None])
+            h = small_gru.step(small_gru.inputs[x], h * (x != 0)[:, None])
             total -= small_gru.outputs(h, y).astype(float).sum()
         return total / target.size
 

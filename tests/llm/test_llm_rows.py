@@ -77,7 +77,7 @@ def test_tiles_lose_nothing():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_against_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "embeddings", "benchmark", "conversations"):
+    for table in ("documents", "embeddings", "benchmark", "conversations", "labels"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     got = queries.QUERIES[name](spark, SMALL)
     names = sorted(got.columns)
@@ -87,7 +87,7 @@ def test_queries_against_sql(spark, name):
 
 def test_every_operator_has_a_query():
     found = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in found if x.startswith(f"op{n}_")]) == 1
     assert found["pipeline"] is corpus_pipeline.run
 

@@ -1,5 +1,6 @@
 """Operators on document texts against brute force on odd texts and real tables."""
 
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,6 +109,36 @@ def test_one_per_component_of_repeated_and_null_ids(spark):
     assert {r["n_removed"] for r in rlz.remove_repeats(kept, window=35).collect()} == {0}
 
 
+def test_columns_named_like_added_ones_stay(spark):
+    a, b = brute.prose(70, 80), brute.prose(71, 80)
+    rows = [(5, a, 77, 1, "x"), (6, a, 88, 2, "y"), (7, b, 99, 3, "z"), (7, b, 99, 3, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, same int, row string").repartition(2)
+    kept = jaccard.one_per_component(docs)
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]] and kept.columns == docs.columns
+    items = spark.createDataFrame([(1, b)], "item_id long, text string")
+    for most in (0, 1 << 20):
+        left = containment.without_items(docs, items, broadcast_bytes=most)
+        assert sorted(map(tuple, left.collect())) == rows[:2] and left.columns == docs.columns
+
+
+def test_very_many_tiny_items_are_joined_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(containment, "ITEMS", 50)
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(0, 400, 7)], "doc_id long, text string")
+    items = spark.range(300).select(F.col("id").alias("item_id"), F.concat(F.lit("word"), "id").alias("text"))
+    assert containment._index(spark, items, "item_id", "text", 0.8, 1 << 24) is None
+    blank = items.withColumn("text", F.lit(" "))  # items without words are no items
+    assert containment._index(spark, blank, "item_id", "text", 0.8, 1 << 24) is not None
+    found = {(r["doc_id"], r["item_id"]) for r in containment.contained_items(docs, items).collect()}
+    assert found == {(i, i) for i in range(0, 300, 7)}
+
+
+def test_linked_sets_leave_no_large_table(spark, odd):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    jaccard.one_per_component(odd[0]).count()
+    assert {x.split("-")[1] for x in set(os.listdir(folder)) - before} <= {"judged"}
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
