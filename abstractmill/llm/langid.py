@@ -105,11 +105,12 @@ def _distinct(words: Words) -> tuple[np.ndarray, pa.Array]:
     return number, pa.array(found, pa.binary())
 
 
-def chain_marginals(emit: np.ndarray, move: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def chain_marginals(emit: np.ndarray, move: np.ndarray, rows: np.ndarray, moves: np.ndarray | None = None) -> np.ndarray:
     """Probabilities of the labels of each word, by forward-backward over chunks.
 
     emit: exp of the word weights (words x labels); move: exp of the transition weights;
-    rows: offsets of the documents.
+    rows: offsets of the documents. moves: if given, the expected transitions between
+    neighbouring words of a document are added to it.
     """
     n, size = emit.shape
     length = np.diff(rows)
@@ -160,7 +161,14 @@ def chain_marginals(emit: np.ndarray, move: np.ndarray, rows: np.ndarray) -> np.
             at = start[:a] + t
             x = forward[at] * state[:a]
             out[at] = x / x.sum(axis=1, keepdims=True)
-            y = (state[:a] * emit[at]) @ move.T
+            ahead = state[:a] * emit[at]
+            if moves is not None:
+                # A pair has the chance alpha_i * move_ij * emit_j * beta_j, up to one factor per place.
+                inner = slice(None) if t else np.flatnonzero(nth[:a] > 0)
+                before, after = forward[at[inner] - 1], ahead[inner]
+                whole = ((before @ move) * after).sum(axis=1, keepdims=True)
+                moves += move * ((before / whole).T @ after)
+            y = ahead @ move.T
             state[:a] = y / y.sum(axis=1, keepdims=True)
     return out
 
@@ -224,7 +232,8 @@ class Crf:
             by_word = self.word_weights_of(at, offsets, scale, entry) * letters[:, None]
             emit = np.exp(by_word - by_word.max(axis=1, keepdims=True))[number]
             move = np.exp(self.moves)
-            seen = chain_marginals(emit, move, rows)
+            expected = np.zeros_like(move)
+            seen = chain_marginals(emit, move, rows, expected)
             gap = -seen
             gap[np.arange(len(label)), label] += 1
             per_word = np.column_stack([np.bincount(number, gap[:, c], len(distinct)) for c in range(size)]) * letters[:, None]
@@ -232,7 +241,7 @@ class Crf:
             slopes = [
                 np.column_stack([np.bincount(at, scaled[:, c], BUCKETS) for c in range(size)]),
                 np.column_stack([np.bincount(entry, per_word[:, c], len(self.entries)) for c in range(size)]),
-                seen_moves - self._expected_moves(emit, move, seen, step),
+                seen_moves - expected,
             ]
             for p, g, (m, v) in zip(params, slopes, moments, strict=True):
                 g = g / len(number) - ridge * p
@@ -243,18 +252,6 @@ class Crf:
     def word_weights_of(self, at: np.ndarray, offsets: np.ndarray, scale: np.ndarray, entry: np.ndarray) -> np.ndarray:
         return np.add.reduceat(self.weights[at], offsets[:-1], axis=0) * scale[:, None] + self.entries[entry]
 
-    @staticmethod
-    def _expected_moves(emit: np.ndarray, move: np.ndarray, seen: np.ndarray, step: np.ndarray) -> np.ndarray:
-        """Expected transitions: the pair probabilities that have the words' probabilities as margins."""
-        a, b = seen[step - 1], seen[step]
-        size = len(move)
-        # P(i, j) is in proportion to x_i move_ij y_j; a few rounds of scaling find x and y.
-        x, y = a.copy(), b.copy()
-        for _ in range(3):
-            x = a / np.maximum(y @ move.T, 1e-300)
-            y = b / np.maximum(x @ move, 1e-300)
-        return np.array([[(x[:, i] * y[:, j]).sum() * move[i, j] for j in range(size)] for i in range(size)])
-
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         rows = len(column)
@@ -277,17 +274,15 @@ class Crf:
 
 def fit(docs: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = 80) -> Crf:
     """A model of the rows with text and language for which learn_from (a condition on the id) holds."""
-    known = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        known.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"))
-        .withColumn("nth", F.row_number().over(order))
-        .filter(F.col("nth") <= fit_rows)
-        .select("id", "lang")
+    known = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
     )
-    texts = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("text"))
-    match = (F.col("id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))
-    held = sorted((r["id"], r["lang"], r["text"]) for r in texts.join(F.broadcast(chosen), match).select("id", "lang", "text").collect())
+    # Rows are chosen by narrow columns; repeated ones are one text, so no more than the bound is collected.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "hash")
+    nth = known.select("id", "lang", "hash").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= fit_rows)
+    chosen = F.broadcast(nth.select("id", "lang", "hash").distinct())
+    texts = known.join(chosen, ["id", "lang", "hash"]).groupBy("id", "lang", "hash").agg(F.first("text").alias("text"))
+    held = sorted((r["id"], r["lang"], r["text"]) for r in texts.collect())
     model = Crf(sorted({r[1] for r in held}))
     model.learn([r[2] for r in held], [r[1] for r in held])
     return model

@@ -5,11 +5,12 @@ document of label 1 and one of label 0; the chance that the first is preferred i
 sigmoid(w . (x1 - x0)), and w maximises the likelihood of all pairs (logistic loss on
 feature differences, Newton steps with a ridge). Utilities w . x are thresholded at the
 quantile that leaves the training rows' share of label 1 above it; the score is
-sigmoid(w . x - threshold) with the threshold moved to `cut`.
+sigmoid(w . x - threshold) with the threshold moved to `cut`. Far from the threshold (30 either way)
+scores are equal.
 
-The model is fitted on at most `fit_rows` labelled rows (those with the smallest hash of
-their id, a documented bound) and at most `fit_pairs` pairs of them; every document is
-scored.
+The weights are fitted on at most `fit_rows` labelled rows (those with the smallest hash of
+their id, a documented bound) and at most `fit_pairs` pairs of them. Share and quantile come from
+all labelled training rows, the quantile to a rank of 1 in 100,000; every document is scored.
 
 Defined cases: null and empty texts have all features 0 and are scored like any text;
 labels that are null or without a document are ignored; a document labelled twice counts
@@ -17,8 +18,9 @@ twice; without rows of both labels every score is the share of label 1 (0.5 with
 a null id is never held out and never learned from; every row gives a row; other columns
 are ignored.
 
-Scale: no shuffle of texts. The chosen ids (bounded) are broadcast to find their texts;
-scoring is one pass.
+Scale: no shuffle of texts. The chosen ids (bounded) are broadcast to find their texts; a pass
+over all texts sends ids and utilities to the labels, whose sketches of fixed size are merged;
+scoring is one pass more.
 """
 
 from __future__ import annotations
@@ -151,12 +153,16 @@ class PairModel:
             curve = (d * (p * (1 - p))[:, None]).T @ d + ridge * np.eye(len(w))
             w = w + np.linalg.solve(curve, slope)
         self.weights = w
-        self.threshold = float(np.quantile(z @ w, 1 - self.share))
+        self.threshold = float(np.quantile(self.utilities(x), 1 - self.share))
+
+    def utilities(self, x: np.ndarray) -> np.ndarray:
+        """w . x of standardised features; one feature counts for 50 deviations at most."""
+        return np.clip((x - self.mean) / self.scale, -50, 50) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(x), self.share)
-        u = np.clip((x - self.mean) / self.scale, -50, 50) @ self.weights - self.threshold
+        u = self.utilities(x) - self.threshold
         return 1 / (1 + np.exp(-np.clip(u + np.log(self.cut / (1 - self.cut)), -30, 30)))
 
 
@@ -172,22 +178,39 @@ def fit(
     fit_pairs: int = 30000,
 ) -> PairModel:
     """A model of the labelled rows for which learn_from (a condition on the id) holds."""
-    known = labels.filter(learn_from & F.col(label).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(label).alias("_label"))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(fit_rows)
+    said = labels.filter(learn_from & F.col(label).isin(0, 1)).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 x = features(part.column("text"))
                 yield pa.RecordBatch.from_pydict(
-                    {"id": part.column("id"), "label": part.column("label").cast(pa.int32()), "x": pa.array(list(x), pa.list_(pa.float64()))}
+                    {"id": part.column("id"), "label": part.column("label"), "x": pa.array(list(x), pa.list_(pa.float64()))}
                 )
 
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    found = texts.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "text", F.col("_label").alias("label"))
-    held = sorted((r["id"], r["label"], r["x"]) for r in found.mapInArrow(rows, "id long, label int, x array<double>").collect())
+    # The weights, from a bounded sample. Rows are chosen by narrow columns; repeated ones are one row.
+    chosen = said.orderBy(F.xxhash64("id"), "id", "label").limit(fit_rows).distinct()
+    found = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), "id")
+    once = found.groupBy("id", "label", "hash").agg(F.first("text").alias("text")).orderBy(F.xxhash64("id"), "id", "label", "hash").limit(fit_rows)
+    held = sorted((r["id"], r["label"], r["x"]) for r in once.select("id", "text", "label").mapInArrow(rows, "id long, label int, x array<double>").collect())
     x = np.array([r[2] for r in held]).reshape(-1, len(FEATURES))
-    return PairModel(x, np.array([r[1] for r in held]), cut, fit_pairs)
+    model = PairModel(x, np.array([r[1] for r in held]), cut, fit_pairs)
+    if model.weights is None:
+        return model
+
+    # Share and quantile, from all labelled rows: each task sends ids and utilities, no texts.
+    def utilities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                u = model.utilities(features(part.column("text")))
+                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "u": pa.array(u)})
+
+    # A row counts once for each label; 100,000 cells keep a quantile's rank to 1 in 100,000.
+    model.share = texts.select("id").join(said, "id").agg(F.avg("label")).first()[0]
+    rated = texts.mapInArrow(utilities, "id long, u double").join(said.select("id"), "id")
+    model.threshold = rated.agg(F.percentile_approx("u", 1 - model.share, 100_000)).first()[0]
+    return model
 
 
 def scores(docs: DataFrame, model: PairModel, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -75,6 +75,19 @@ def _unpack(data: bytes, width: int) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
+def _pack_refs(refs: np.ndarray) -> bytes:
+    """Block numbers as the distinct ones and an index into them, of two bytes where these are few."""
+    blocks, index = np.unique(refs, return_inverse=True)
+    kind = np.uint16 if len(blocks) <= 1 << 16 else np.uint32
+    return np.int64(len(blocks)).tobytes() + blocks.astype(np.int64).tobytes() + index.astype(kind).tobytes()
+
+
+def _unpack_refs(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    kind = np.uint16 if n <= 1 << 16 else np.uint32
+    return np.frombuffer(data, np.int64, n, 8)[np.frombuffer(data, kind, offset=8 * (n + 1))]
+
+
 def to_bytes(batch: pa.RecordBatch) -> bytes:
     """The rows, compressed."""
     sink = pa.BufferOutputStream()
@@ -141,7 +154,7 @@ def _look_up(table: pa.Table) -> pa.Table:
         for n, (block, _) in enumerate(asked):
             own = found[bounds[n] : bounds[n + 1]]
             if own.any():
-                own_refs = refs[bounds[n] : bounds[n + 1]][own].tobytes()
+                own_refs = _pack_refs(refs[bounds[n] : bounds[n + 1]][own])
                 for name, x in zip(out, (block, bucket, np.packbits(own).tobytes(), own_refs, None), strict=True):
                     out[name].append(x)
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -164,7 +177,7 @@ def _resolve(table: pa.Table, text: str, window: int, buckets: int) -> tuple[pa.
             own = at[bounds[g] : bounds[g + 1]]
             hit = own[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool)]
             found[hit] = True
-            refs[hit] = np.frombuffer(ref, np.int64)
+            refs[hit] = _unpack_refs(ref)
     return batch, words, found, refs
 
 

@@ -126,9 +126,10 @@ def test_chain_marginals(monkeypatch):
     monkeypatch.setattr(langid, "CHUNK", 3)
     rng = np.random.default_rng(0)
     emit, move, rows = rng.random((17, 3)) + 0.1, rng.random((3, 3)) + 0.1, np.array([0, 0, 1, 8, 17])
-    got = langid.chain_marginals(emit, move, rows)
+    moves, expected = np.zeros((3, 3)), np.zeros((3, 3))
+    got = langid.chain_marginals(emit, move, rows, moves)
     for a, b in zip(rows[:-1], rows[1:], strict=True):
-        total = np.zeros((b - a, 3))
+        total, pairs = np.zeros((b - a, 3)), np.zeros((3, 3))
         for y in itertools.product(range(3), repeat=int(b - a)):
             if not y:
                 continue
@@ -137,7 +138,36 @@ def test_chain_marginals(monkeypatch):
                 p *= move[y[t - 1], y[t]] * emit[a + t, y[t]]
             for t in range(b - a):
                 total[t, y[t]] += p
-        assert np.allclose(total / total.sum(axis=1, keepdims=True), got[a:b]) if b > a else True
+                pairs[y[t - 1], y[t]] += p if t else 0
+        if b > a:
+            assert np.allclose(total / total.sum(axis=1, keepdims=True), got[a:b])
+            expected += pairs / total[0].sum()
+    assert np.allclose(moves, expected)
+
+
+def test_transition_gradient_by_finite_differences(monkeypatch):
+    monkeypatch.setattr(langid, "CHUNK", 4)
+    rng = np.random.default_rng(6)
+    emit, weights, rows = rng.random((30, 3)) + 0.1, rng.standard_normal((3, 3)), np.array([0, 1, 14, 30])
+
+    def log_partition(w):
+        total = 0.0
+        for a, b in zip(rows[:-1], rows[1:], strict=True):
+            x = np.exp(w).sum(axis=0) * emit[a]
+            for t in range(a + 1, b):
+                x = (x @ np.exp(w)) * emit[t]
+            total += math.log(x.sum())
+        return total
+
+    moves = np.zeros((3, 3))
+    first = langid.chain_marginals(emit, np.exp(weights), rows, moves)[rows[:-1]]
+    for i, j in itertools.product(range(3), repeat=2):
+        d = np.zeros((3, 3))
+        d[i, j] = 1e-5
+        slope = (log_partition(weights + d) - log_partition(weights - d)) / 2e-5
+        # Before the first word stands any label, which adds a transition into it.
+        start = (first[:, j] * np.exp(weights[i, j]) / np.exp(weights[:, j]).sum()).sum()
+        assert math.isclose(slope, moves[i, j] + start, rel_tol=1e-6)
 
 
 @pytest.fixture(scope="module")
@@ -198,6 +228,52 @@ def test_quality_accuracy(spark):
     assert kept.columns == docs.columns and 0.7 * docs.count() < kept.count() < docs.count()
 
 
+def test_quality_fit_and_quantile_against_brute_force(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    twice = labels.union(labels.filter("doc_id % 7 = 0"))
+    model = quality.fit(docs, twice, checksum(4) != 2, fit_rows=60, fit_pairs=500)
+    rows = docs.join(twice.filter(checksum(4) != 2), "doc_id").select("text", "quality").collect()
+    x = quality.features(pa.array([r["text"] for r in rows], pa.large_string()))
+    u = np.sort(model.utilities(x))
+    share = sum(r["quality"] for r in rows) / len(rows)
+    assert math.isclose(model.share, share) and len(rows) > 60
+    # The threshold is the utility below which the share of label 0 lies, of all rows and not of the sample.
+    assert abs(np.searchsorted(u, model.threshold) - (1 - share) * len(u)) <= 1.5
+    # The weights are where the likelihood of the pairs has no slope.
+    rng = np.random.default_rng(0)
+    x, label = rng.standard_normal((80, 4)), rng.integers(0, 2, 80)
+    fitted = quality.PairModel(x, label, 0.7, 300)
+    z, draw = (x - x.mean(axis=0)) / x.std(axis=0), np.random.default_rng(7)
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    d = z[draw.choice(good, 300)] - z[draw.choice(bad, 300)]
+
+    def loss(w):
+        return np.log1p(np.exp(-(d @ w))).sum() + 0.5 * (w @ w)
+
+    for j in range(4):
+        step = np.eye(4)[j] * 1e-4
+        assert abs(loss(fitted.weights + step) - loss(fitted.weights - step)) / 2e-4 < 1e-2
+        assert loss(fitted.weights + 100 * step) > loss(fitted.weights) < loss(fitted.weights - 100 * step)
+
+
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    rows = [(1, f"text {i} of one id", "en") for i in range(50)] + [(1, "the same text", "en")] * 50 + [(2, "ein anderer Text", "de")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    seen = []
+    monkeypatch.setattr(langid.Crf, "learn", lambda self, texts, languages: seen.append(Counter(languages)))
+    langid.fit(docs, F.lit(True), fit_rows=8)
+    assert seen[0]["en"] <= 8 and seen[0]["de"] == 1
+    sample = lm_score._sample(docs.withColumn("train", F.lit(True)), 10, lm_score.Vocabulary(1, {}, []))
+    assert 1 <= len(sample) <= 10
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    sizes = []
+    init = quality.PairModel.__init__
+    monkeypatch.setattr(quality.PairModel, "__init__", lambda self, x, *a, **k: (sizes.append(len(x)), init(self, x, *a, **k))[1])
+    quality.fit(docs, labels, F.lit(True), fit_rows=5)
+    assert sizes[0] <= 5
+
+
 def test_quality_of_odd_texts(odd, spark):
     docs, ids, texts = odd
     labels = spark.createDataFrame([(9, 1, "x"), (20, 0, "y"), (20, 0, "y"), (99, 1, "z"), (None, 1, "z"), (3, None, "z")], "doc_id long, quality int, text string")

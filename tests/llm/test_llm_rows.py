@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import brute
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,16 +63,43 @@ def test_nearest(spark, blocks):
     assert ann.nearest(table.limit(0), F.col("vec_id") == 0, 5, 8).count() == 0
 
 
+def test_repeated_query_ids_and_hot_ids(spark):
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((60, 8))
+    ids = [50, 50, 0, 0, *range(1, 9), *[7] * 48]
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>").repartition(3)
+    got = Counter(tuple(r) for r in ann.nearest(table, F.col("vec_id") % 50 == 0, 5, 8, query_blocks=2, row_blocks=3).select("query_id", "rank", "vec_id", "score").collect())
+    want = Counter()
+    for q in range(4):
+        score = sorted((-float(ann.exact_cosine(v[[q]], v[[i]])[0]), ids[i]) for i in range(60) if i != q)[:5]
+        want.update((ids[q], n, i, -s) for n, (s, i) in enumerate(score, 1))
+    assert got == want
+
+
+def test_hot_vector_adds_few_survivors():
+    rng = np.random.default_rng(9)
+    v = rng.standard_normal((500, 16))
+    v[:400] = v[0]
+    batch = next(ann._coded(16)(iter([pa.RecordBatch.from_pydict({"row": pa.array(range(500)), "vec_id": pa.array(range(500)), "query": pa.array([True] * 500), "v": pa.array(v.tolist(), pa.list_(pa.float64()))})])))
+    block = next(ann._pack(iter([batch.append_column("block", pa.array([0] * 500, pa.int32()))])))
+    table = pa.Table.from_batches([block])
+    queries, rows = ann._side(table, 16), ann._side(table, 16, copies=6)
+    assert len(rows[0]) == 106
+    asked, found, low, high = ann._tile(queries, rows, 5)
+    assert (np.bincount(asked) <= 60).all() and (low <= high).all()
+
+
 def test_tiles_lose_nothing():
     rng = np.random.default_rng(2)
     q, v = rng.standard_normal((40, 64)), rng.standard_normal((900, 64)) * rng.lognormal(0, 9, (900, 1))
-    ids = np.arange(900)
-    found = defaultdict(list)
-    for a, b, s in ann._tile(np.arange(1000, 1040), q, ids, v, 5):
-        found[a].append((-s, b))
+    numbers = np.arange(900)
+    sides = [(n, n, *ann._codes(x)) for n, x in ((np.arange(1000, 1040), q), (numbers, v))]
+    asked, rows, low, high = ann._tile(*sides, 5)
     for n in range(40):
-        exact = sorted(zip((-ann.exact_cosine(np.repeat(q[[n]], 900, 0), v)).tolist(), ids.tolist(), strict=True))[:5]
-        assert sorted(found[1000 + n]) == exact
+        cosine = ann.exact_cosine(np.repeat(q[[n]], 900, 0), v)
+        own = rows[asked == 1000 + n]
+        assert set(np.argsort(-cosine)[:5]) <= set(own) and len(own) < 200
+        assert ((low <= cosine[rows] + 1e-12) & (cosine[rows] - 1e-12 <= high))[asked == 1000 + n].all()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
