@@ -15,3 +15,13 @@ def pin(df: DataFrame, name: str, column: Column) -> DataFrame:
     """
     kept = [c for c in df.columns if c != name]
     return df.select(*kept, F.explode(F.array(column)).alias(name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan of few large row groups, dealt to all cores; a scan of many stays as it is.
+
+    For a scan with costly columns above it: one row group is one task. Not for plans with a
+    shuffle, which would be run to count their partitions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

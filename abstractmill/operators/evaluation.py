@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.agreement import sizes_close
 from ..schemas import LIST_FIELDS, TEXT_FIELDS, VALIDATION_RUNS, conform
+from .keyed import one_row_per_key
 
 
 def pair_by_key(predictions: DataFrame, gold: DataFrame) -> DataFrame:
-    """Predicted and gold record of each key both tables have."""
+    """Predicted and gold record of each key both tables have.
+
+    A key that comes twice in either table is an error: its pairs would count twice.
+    """
+    for table in (predictions, gold):
+        one_row_per_key(table)
     return predictions.select("pmid", F.col("record").alias("pred")).join(
         gold.select("pmid", F.col("record").alias("gold")), "pmid"
     )
@@ -125,3 +131,16 @@ def validation_run(
         ),
         VALIDATION_RUNS,
     )
+
+
+def append_run(run: DataFrame, path: str) -> None:
+    """Add a run's rows to the log of runs; a run that is there already is replaced, not doubled.
+
+    The log is partitioned by run, and only the partition of this run is written.
+    """
+    run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The log of runs; a filter on ``run_id`` reads one run only."""
+    return conform(spark.read.schema(VALIDATION_RUNS).parquet(path), VALIDATION_RUNS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.model_output import with_model_record
 from ..functions.rules import MIN_TEXT, confidence, with_rule_record
 from ..functions.summary import note_text
-from .inference import PredictorFactory, with_model_output
+from .inference import PredictorFactory, with_distinct_output, with_model_output
 from .keyed import new_keys
 
 RULES_VERSION = "rules-v1"
@@ -60,22 +60,25 @@ def extract(
     max_chars: int | None = None,
     partitions: int | None = None,
     with_reader: bool = False,
+    distinct_prompts: bool = False,
 ) -> DataFrame:
     """Extraction rows for every abstract: record, snapshot, score, version, time.
 
     ``with_note`` adds ``summary_text`` while the text is at hand, which saves the join
     of records and texts that writing notes later takes. ``with_reader`` adds
-    ``read_by``: whether the ``model`` or the ``rules`` gave the record. ``max_chars`` and
-    ``partitions`` go to the inference.
+    ``read_by``: whether the ``model`` or the ``rules`` gave the record. ``max_chars`` goes to
+    the inference; ``distinct_prompts`` asks the model once for texts that repeat.
+    ``partitions`` spreads the texts (or distinct prompts) first, by a shuffle of them: for a
+    slow model, and for files of few large row groups, which few tasks would read.
     """
     stamp = F.current_timestamp() if extracted_at is None else extracted_at
     source = abstracts.select("pmid", "abstract_text")
     if make_predictor is None:
-        read = with_rules(source).withColumn("read_by", F.lit("rules"))
+        spread = source if partitions is None else source.repartition(partitions)
+        read = with_rules(spread).withColumn("read_by", F.lit("rules"))
     else:
-        read = with_model(
-            with_model_output(source, make_predictor, max_chars=max_chars, partitions=partitions), "model_output"
-        )
+        ask = with_distinct_output if distinct_prompts else with_model_output
+        read = with_model(ask(source, make_predictor, max_chars=max_chars, partitions=partitions), "model_output")
     note = note_text(F.col("extracted"), F.col("abstract_text")).alias("summary_text")
     return read.select(
         "pmid",

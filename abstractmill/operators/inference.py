@@ -68,3 +68,31 @@ def with_model_output(
     spread = df if partitions is None else df.repartition(partitions)
     prompt = F.when(F.length(text) >= MIN_TEXT, build_prompt(F.col(text), max_chars))
     return spread.withColumn("model_output", _predictor_udf(make_predictor)(prompt))
+
+
+def with_distinct_output(
+    df: DataFrame,
+    make_predictor: PredictorFactory,
+    text: str = "abstract_text",
+    max_chars: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """As ``with_model_output``, but the predictor sees each distinct prompt once.
+
+    Prompts meet by their SHA-256; a hash with two prompts, if there were one, fails the job. Copies
+    of a hot prompt are reduced in the map tasks. Within a task prompts come by length, so that
+    a batch holds prompts of like length and a model pads little. The answers are
+    joined back by hash; adaptive execution splits the rows of a hot one.
+    """
+    prompt = F.when(F.length(text) >= MIN_TEXT, build_prompt(F.col(text), max_chars))
+    asked = df.select(F.sha2(prompt, 256).alias("__hash"), prompt.alias("__prompt")).where(F.col("__hash").isNotNull())
+    per_hash = asked.groupBy("__hash").agg(F.min("__prompt").alias("__first"), F.max("__prompt").alias("__last"))
+    clash = F.raise_error(F.lit("two prompts have one hash")).cast("string")
+    distinct = per_hash.select(
+        "__hash", F.when(F.col("__first") == F.col("__last"), F.col("__first")).otherwise(clash).alias("__prompt")
+    )
+    spread = distinct if partitions is None else distinct.repartition(partitions, "__hash")
+    by_length = spread.sortWithinPartitions(F.length("__prompt"))
+    answers = by_length.select("__hash", _predictor_udf(make_predictor)(F.col("__prompt")).alias("model_output"))
+    keyed = df.withColumn("__hash", F.sha2(prompt, 256))
+    return keyed.join(answers, "__hash", "left").select(*df.columns, "model_output")

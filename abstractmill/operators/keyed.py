@@ -53,6 +53,15 @@ def new_keys(candidates: DataFrame, existing: DataFrame, key: str = KEY) -> Data
     return candidates.join(existing.select(key), key, "left_anti")
 
 
+def capped(candidates: DataFrame, most: int, order_by: Iterable[Column | str]) -> DataFrame:
+    """At most ``most`` candidate rows, the first by ``order_by``, as a load with a result cap takes them.
+
+    A top-k: each task keeps ``most`` rows, nothing is sorted whole. End the order with a key, so that the
+    same rows are chosen again.
+    """
+    return candidates.orderBy(*order_by).limit(most)
+
+
 def absent_rows(
     target: DataFrame, batch: DataFrame, order_by: Iterable[str], key: str = KEY
 ) -> DataFrame:

@@ -28,7 +28,7 @@ class KeyedTable:
     """A table with unique keys under ``path``; make one by ``create`` or ``open``."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int):
-        self.spark, self.path, self.schema, self.key, self.buckets = spark, path, schema, key, buckets
+        self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
         self.name = f"keyed_{uuid.uuid4().hex}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
@@ -36,6 +36,8 @@ class KeyedTable:
             f"OPTIONS (path '{path}/rows', partitionOverwriteMode 'dynamic') "
             f"PARTITIONED BY ({_BUCKET}) CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS"
         )
+        # As the files have it: every column, nested ones too, may be null.
+        self.schema = T.StructType([f for f in spark.table(self.name).schema.fields if f.name != _BUCKET])
 
     @classmethod
     def create(

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+REPORT = "table_name string, check_name string, column_name string, failures bigint, passed boolean"
+
 
 def check_table(
     df: DataFrame,
@@ -57,6 +60,80 @@ def check_table(
     return totals.select(F.inline(report))
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A check that looks at one row: how it is reported, and when a row fails it."""
+
+    table: str
+    check: str
+    column: str
+    fails: Column
+
+
+def row_checks(
+    table: str,
+    not_null: dict[str, str] | Sequence[str] = (),
+    accepted: dict[str, Sequence[str]] | None = None,
+    among: Column | None = None,
+) -> list[RowCheck]:
+    """The checks of ``check_table`` that need no other row.
+
+    ``not_null`` may map reported names to columns; ``among`` limits the checks to the rows that the
+    table has, where the frame that is written holds more.
+    """
+    named = not_null if isinstance(not_null, dict) else {c: c for c in not_null}
+    found = [("not_null", name, F.col(c).isNull()) for name, c in named.items()]
+    found += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in (accepted or {}).items()]
+    return [RowCheck(table, kind, c, fails if among is None else among & fails) for kind, c, fails in found]
+
+
+class ObservedChecks:
+    """Row checks that ride on a write: their failures are counted by the tasks that write the rows.
+
+    ``on`` gives the frame to write (once); ``report`` the results after the write has ended.
+    A task that is repeated is not counted twice.
+    """
+
+    def __init__(self, checks: Sequence[RowCheck]):
+        self.checks = list(checks)
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(
+            self._seen, *[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(self.checks)]
+        )
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        counts = self._seen.get
+        rows = [
+            (c.table, c.check, c.column, counts[f"c{i}"], counts[f"c{i}"] == 0)
+            for i, c in enumerate(self.checks)
+        ]
+        return spark.createDataFrame(rows, REPORT)
+
+
+def check_unique(df: DataFrame, key: str, tables: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Keys that come more than once, for several tables that are parts of one frame.
+
+    ``tables`` maps a table to the reported name of its key and the condition on its rows. One
+    aggregate by key serves all; repeats are reduced in the map tasks.
+    """
+    counts = {name: F.count_if(rows).alias(f"__n{i}") for i, (name, (_, rows)) in enumerate(tables.items())}
+    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(*counts.values())
+    totals = per_key.agg(*[F.count_if(F.col(f"__n{i}") > 1).alias(f"__n{i}") for i in range(len(tables))])
+    rows = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit("unique").alias("check_name"),
+            F.lit(column).alias("column_name"),
+            F.col(f"__n{i}").alias("failures"),
+            (F.col(f"__n{i}") == 0).alias("passed"),
+        )
+        for i, (name, (column, _)) in enumerate(tables.items())
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def check_reference(
     child: DataFrame, parent: DataFrame, name: str, key: str = "pmid"
 ) -> DataFrame:

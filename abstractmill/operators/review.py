@@ -42,6 +42,31 @@ def in_review_order(queue: DataFrame) -> DataFrame:
     )
 
 
+def queue_page(
+    queue: DataFrame, size: int, after: tuple[bool | None, float | None, str] | None = None
+) -> DataFrame:
+    """The next ``size`` rows of the queue in review order.
+
+    ``after`` is (human_verified, confidence_score, pmid) of the last row of the page before, none for the
+    first page. A page is a top-k over the rows behind the cursor: nothing is sorted whole, a deep page costs
+    what the first one does, and rows that were added or reviewed since shift no page.
+    """
+    if after is not None:
+        verified, score, key = after
+        flag, mark = F.col("human_verified"), F.col("confidence_score")
+
+        def beyond(column: Column, value) -> Column:
+            """Later in an order that puts null last."""
+            return F.lit(False) if value is None else column.isNull() | (column > F.lit(value))
+
+        tied = mark.eqNullSafe(F.lit(score).cast("double"))
+        queue = queue.where(
+            beyond(flag, verified)
+            | (flag.eqNullSafe(F.lit(verified).cast("boolean")) & (beyond(mark, score) | (tied & (F.col("pmid") > key))))
+        )
+    return in_review_order(queue).limit(size)
+
+
 def filter_queue(
     queue: DataFrame, show_verified: bool = False, min_confidence: float = 0.0
 ) -> DataFrame:

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.agreement import parse_record
 from ..functions.dates import publication_date
+from ..functions.lexicon import labels_in, terms_in
 from ..functions.model_output import build_prompt
+from ..functions.plan import spread
 from ..functions.rules import confidence
 from ..functions.text import last_sentence, normalize
 from ..operators import evaluation, keyed, quality, review
-from ..operators.cleaning import clean_abstracts, parse_payload
+from ..operators.cleaning import MIN_ABSTRACT, clean_abstracts, parse_payload
 from ..operators.extraction import (
     extract,
     needs_notes,
@@ -22,12 +24,22 @@ from ..operators.extraction import (
     with_rules,
     write_notes,
 )
-from ..schemas import LIST_FIELDS, OTHER_CANCER_TYPE, RECORD_FIELDS, SUBJECT_CANCER_TYPES
+from ..operators.keyed_table import KeyedTable
+from ..schemas import (
+    BIOMARKER_TERMS,
+    LIST_FIELDS,
+    OTHER_CANCER_TYPE,
+    RECORD_FIELDS,
+    SUBJECT_CANCER_TYPES,
+    TREATMENT_TERMS,
+)
 from ..sources.archive import read_archive, shared_dir, stored, write_archive
 from ..sources.articles import article_lines, read_articles, rejected_articles
+from ..sources.tables import key_bounds, key_ranges
+from ..streaming.decisions import review_stream as start_review_stream
 from . import fixtures as fx
-from . import models
-from .stages import full_run, open_state
+from . import mart_changes, models
+from .stages import compact_state, full_run, open_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,7 +144,7 @@ def archive_readback(spark, sf):
 
 @query
 def rule_extract(spark, sf):
-    return with_rules(fx.abstracts(spark, sf)).select("pmid", *_flat("extracted"))
+    return with_rules(spread(fx.abstracts(spark, sf))).select("pmid", *_flat("extracted"))
 
 
 @query
@@ -147,10 +159,38 @@ def extraction_confidence(spark, sf):
 
 @query
 def extraction_rows(spark, sf):
-    rows = extract(fx.abstracts(spark, sf), NOW())
+    rows = extract(spread(fx.abstracts(spark, sf)), NOW())
     return rows.select("pmid", *_flat("original"), "confidence_score", "model_version")
 
 
+def _vocabulary(spark, sf, most: int = 20_000) -> list[str]:
+    """The words of the benchmark as a vocabulary; its size is checked, since it goes to every task."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
+    held = fx.table(spark, sf, "benchmark").select(words.alias("term")).distinct().limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"more than {most} terms")
+    return sorted(r["term"] for r in held)
+
+
+@query
+def lexicon_many(spark, sf):
+    found = terms_in(spark, F.lower("text"), _vocabulary(spark, sf))
+    return fx.table(spark, sf, "documents").select("doc_id", found.alias("terms")).select(
+        "doc_id", F.size("terms").cast("bigint").alias("n_terms"),
+        F.array_join("terms", "|").alias("terms"),
+    )
+
+
+@query
+def lexicon_labels(spark, sf):
+    text = F.lower("abstract_text")
+    return fx.abstracts(spark, sf).select(
+        "pmid",
+        _joined(labels_in(spark, text, TREATMENT_TERMS)).alias("treatment_modality"),
+        _joined(labels_in(spark, text, BIOMARKER_TERMS)).alias("biomarkers"),
+    )
+
+
 @query
 def prompts(spark, sf):
     return fx.abstracts(spark, sf).select(
@@ -160,7 +200,7 @@ def prompts(spark, sf):
 
 @query
 def model_output_parse(spark, sf):
-    return with_model(fx.model_outputs(spark, sf), "raw_output").select(
+    return with_model(spread(fx.model_outputs(spark, sf)), "raw_output").select(
         "pmid", *_flat("extracted")
     )
 
@@ -199,6 +239,21 @@ def batch_inference(spark, sf):
     )
 
 
+@query
+def inference_distinct(spark, sf):
+    rows = extract(
+        fx.abstracts(spark, sf),
+        NOW(),
+        make_predictor=stub_predictor(),
+        model_version="stub",
+        with_reader=True,
+        distinct_prompts=True,
+    )
+    return rows.select(
+        "pmid", *_flat("extracted"), "confidence_score", "model_version", "read_by"
+    )
+
+
 @query
 def key_findings(spark, sf):
     return fx.abstracts(spark, sf).select(
@@ -208,7 +263,7 @@ def key_findings(spark, sf):
 
 @query
 def notes(spark, sf):
-    rows = write_notes(with_rules(fx.abstracts(spark, sf)), NOW())
+    rows = write_notes(with_rules(spread(fx.abstracts(spark, sf))), NOW())
     return rows.select("pmid", "summary_text", "model_version")
 
 
@@ -278,6 +333,80 @@ def upsert_notes(spark, sf):
     return rows.select("pmid", "summary_text", "model_version")
 
 
+def _keyed(spark, rows: DataFrame) -> KeyedTable:
+    return KeyedTable.create(spark, shared_dir(spark, "keyed"), rows)
+
+
+@query
+def bucketed_replace(spark, sf):
+    table = _keyed(spark, fx.abstracts(spark, sf))
+    table.replace(fx.page_abstracts(spark, sf))
+    return _plain(KeyedTable.open(spark, table.path).rows())
+
+
+@query
+def bucketed_delete(spark, sf):
+    table = _keyed(spark, fx.extractions(spark, sf))
+    table.delete(fx.page_abstracts(spark, sf))
+    return table.rows().select("pmid", *_flat("extracted"), "confidence_score", "human_verified")
+
+
+@query
+def bucketed_insert(spark, sf):
+    table = _keyed(spark, fx.label_raw(spark, sf))
+    table.insert_if_absent(fx.turn_batch(spark, sf), ["arrival"])
+    return table.rows()
+
+
+@query
+def bucketed_upsert_extractions(spark, sf):
+    batch = stored(
+        extract(fx.page_abstracts(spark, sf), NOW(), model_version="v1"),
+        shared_dir(spark, "batch"),
+    )
+    table = _keyed(spark, fx.extractions(spark, sf))
+    table.upsert(batch, first_wins=["original"], defaults={"human_verified": F.lit(False)})
+    return table.rows().select(
+        "pmid", *_flat("extracted"), *_flat("original", "original_"), "confidence_score",
+        "model_version", "human_verified", "reviewer_notes",
+    )
+
+
+@query
+def bucketed_upsert_notes(spark, sf):
+    waiting = fx.extractions(spark, sf).join(
+        fx.abstracts(spark, sf).select("pmid", "abstract_text"), "pmid"
+    )
+    batch = stored(write_notes(waiting, NOW(), "v1"), shared_dir(spark, "batch"))
+    table = _keyed(spark, fx.notes(spark, sf))
+    table.upsert(batch)
+    return table.rows().select("pmid", "summary_text", "model_version")
+
+
+@query
+def candidate_cap(spark, sf):
+    order = [F.col("pub_date").desc_nulls_last(), F.col("pmid")]
+    return keyed.capped(fx.abstracts(spark, sf), 100, order).select("pmid", "title", "pub_date")
+
+
+@query
+def key_range_rows(spark, sf):
+    keys = fx.abstracts(spark, sf).select("pmid")
+    bounds = key_bounds(keys, 8)
+    parts = [
+        keys.where(condition).select("pmid", F.lit(i).alias("part"))
+        for i, condition in enumerate(key_ranges(bounds))
+    ]
+    # Each key comes once, and the ranges follow each other as the keys do.
+    rows = quality.report(*parts)
+    spans = rows.groupBy("part").agg(F.min("pmid").alias("low"), F.max("pmid").alias("high"))
+    after = spans.select((F.col("part") + 1).alias("part"), F.col("high").alias("before"))
+    ordered = spans.join(after, "part", "left").select(
+        "part", (F.coalesce("before", F.lit("")) < F.col("low")).alias("in_order")
+    )
+    return rows.join(ordered, "part").select("pmid", "in_order")
+
+
 @query
 def reset_outputs(spark, sf):
     def counted(df: DataFrame, state: str) -> DataFrame:
@@ -329,6 +458,34 @@ def run_run_state(spark, sf):
     )
 
 
+@query
+def state_of_runs(spark, sf):
+    """Three runs, each on the state that the one before left, whose folders are merged then."""
+    raw = stored(fx.raw_records(spark, sf), shared_dir(spark, "raw"))
+    folder = None
+    for part in range(3):
+        out = shared_dir(spark, "run")
+        full_run(
+            spark,
+            raw.where(F.col("pmid").cast("bigint") % 3 <= part),
+            out,
+            NOW(),
+            ["fetched_at"],
+            shared_dir(spark, "archive"),
+            "2024-06-01",
+            folder,
+            only_new=True,
+        )
+        folder = out
+    packed = shared_dir(spark, "run")
+    compact_state(spark, folder, packed, fan_in=2)
+    opened = open_state(spark, packed)
+    noted = opened["notes"].select("pmid", F.col("model_version").alias("note_version"))
+    return opened["extractions"].join(noted, "pmid").select(
+        "pmid", *_flat("extracted"), "confidence_score", "human_verified", "note_version"
+    )
+
+
 # --- review ------------------------------------------------------------------------
 
 
@@ -352,6 +509,14 @@ def review_queue(spark, sf):
     )
 
 
+@query
+def review_queue_page(spark, sf):
+    """The second page of 50 rows, from the cursor that the first one ends with."""
+    queue = _queue(spark, sf).select(*_queue_columns())
+    last = review.queue_page(queue, 50).select("human_verified", "confidence_score", "pmid").collect()
+    return review.queue_page(queue, 50, after=tuple(last[-1]) if last else None)
+
+
 @query
 def review_queue_filtered(spark, sf):
     shown = review.filter_queue(_queue(spark, sf), show_verified=False, min_confidence=0.4)
@@ -385,6 +550,22 @@ def apply_reviews(spark, sf):
     )
 
 
+@query
+def review_stream(spark, sf):
+    """Decisions in shuffled files, a few per micro-batch; the stream is stopped and started again."""
+    table = _keyed(spark, fx.extractions(spark, sf))
+    incoming, checkpoint = shared_dir(spark, "decisions"), shared_dir(spark, "checkpoint")
+    decisions = fx.decisions(spark, sf).withColumn("part", F.pmod(F.xxhash64("seq"), F.lit(2)))
+    for part in range(2):
+        later = decisions.where(F.col("part") == part).drop("part")
+        later.repartition(4).write.mode("append").parquet(incoming)
+        start_review_stream(spark, incoming, table, checkpoint, max_files=3).awaitTermination()
+    return table.rows().select(
+        "pmid", *_flat("extracted"), *_flat("original", "original_"), "human_verified",
+        "reviewer_notes",
+    )
+
+
 @query
 def dashboard_stats(spark, sf):
     return review.dashboard_stats(fx.extractions(spark, sf))
@@ -472,8 +653,9 @@ def validation_run_log(spark, sf):
     run = evaluation.validation_run(
         evaluation.validation_metrics(pairs), "run-1", NOW(), "v0", pairs.count()
     )
-    run.write.mode("append").parquet(path)
-    return spark.read.parquet(path).select(
+    for _ in range(2):  # a run that is written again replaces itself
+        evaluation.append_run(run, path)
+    return evaluation.read_runs(spark, path).select(
         "run_id", "model_version", "field", "tp", "n", "correct", "sample_size"
     )
 
@@ -494,7 +676,7 @@ def stg_abstracts(spark, sf):
 
 @query
 def abstract_flags(spark, sf):
-    rows = models.flagged(models.staged(fx.abstracts(spark, sf)))
+    rows = models.flagged(models.staged(spread(fx.abstracts(spark, sf))))
     return rows.select("abstract_id", "cancer_type", *models.FLAG_TERMS)
 
 
@@ -503,7 +685,7 @@ def _year_first(mart: DataFrame) -> DataFrame:
 
 
 def _base(spark, sf) -> DataFrame:
-    return models.study_base(models.flagged(models.staged(fx.abstracts(spark, sf))))
+    return models.study_base(models.flagged(models.staged(spread(fx.abstracts(spark, sf)))))
 
 
 @query
@@ -516,14 +698,12 @@ def mart_treatment_outcomes(spark, sf):
     return _year_first(models.mart_treatment_outcomes(_base(spark, sf)))
 
 
-@query
-def built_models(spark, sf):
-    built = models.build_models(fx.abstracts(spark, sf), shared_dir(spark, "models"))
-    studies = built["mart_cancer_studies"].select(
+def _both_marts(marts: dict[str, DataFrame]) -> DataFrame:
+    studies = marts["mart_cancer_studies"].select(
         F.lit("mart_cancer_studies").alias("model"), "publication_year", "cancer_type", "journal",
         F.col("study_count").alias("n"), F.col("chemo_studies").alias("chemo"),
     )
-    outcomes = built["mart_treatment_outcomes"].select(
+    outcomes = marts["mart_treatment_outcomes"].select(
         F.lit("mart_treatment_outcomes").alias("model"), "publication_year", "cancer_type",
         F.lit(None).cast("string").alias("journal"),
         F.col("total_abstracts").alias("n"), F.col("chemo_count").alias("chemo"),
@@ -531,6 +711,22 @@ def built_models(spark, sf):
     return _year_first(studies.unionByName(outcomes))
 
 
+@query
+def built_models(spark, sf):
+    return _both_marts(models.build_models(fx.abstracts(spark, sf), shared_dir(spark, "models")))
+
+
+@query
+def marts_after_change(spark, sf):
+    """The marts after pages took the place of rows and labels were deleted, from the changes alone."""
+    table = _keyed(spark, fx.abstracts(spark, sf))
+    ledger = mart_changes.MartLedger(spark, shared_dir(spark, "ledger"))
+    ledger.record("load", None, table.rows())
+    mart_changes.replace_rows(table, ledger, "pages", fx.page_abstracts(spark, sf))
+    mart_changes.delete_rows(table, ledger, "labels", fx.extractions(spark, sf))
+    return _both_marts(ledger.marts())
+
+
 @query
 def dq_report(spark, sf):
     cleaned, ext = fx.abstracts(spark, sf), fx.extractions(spark, sf)
@@ -563,6 +759,53 @@ def dq_report(spark, sf):
     )
 
 
+@query
+def dq_observed(spark, sf):
+    """The report, with the checks of three layers counted while one narrow table is written."""
+    flagged = models.flagged(models.stage_columns(spread(fx.abstracts(spark, sf))))
+    usable = F.col("abstract_length") > MIN_ABSTRACT
+    watched = quality.ObservedChecks(
+        [
+            *quality.row_checks("cleaned", {"pmid": "pmid", "pub_date": "publication_date"}),
+            *quality.row_checks("stg_abstracts", ["abstract_id", "pmid", "abstract_text"], among=usable),
+            *quality.row_checks(
+                "int_abstracts_parsed", ["abstract_id"],
+                {"cancer_type": [*SUBJECT_CANCER_TYPES.values(), OTHER_CANCER_TYPE]}, usable,
+            ),
+        ]
+    )
+    narrow = watched.on(flagged).drop("title", "abstract_text", "mesh_terms")
+    facts = stored(narrow, shared_dir(spark, "facts"))
+    base = models.study_base(facts.where(usable))
+    every = F.lit(True)
+    return quality.report(
+        watched.report(spark),
+        quality.check_unique(
+            facts, "pmid",
+            {
+                "cleaned": ("pmid", every),
+                "stg_abstracts": ("abstract_id", usable),
+                "int_abstracts_parsed": ("abstract_id", usable),
+            },
+        ),
+        quality.check_table(
+            fx.extractions(spark, sf), "extractions", ["pmid", "confidence_score"], "pmid"
+        ),
+        quality.check_table(
+            models.mart_cancer_studies(base), "mart_cancer_studies",
+            ["publication_year", "cancer_type"],
+        ),
+        quality.check_table(
+            models.mart_treatment_outcomes(base), "mart_treatment_outcomes",
+            ["publication_year", "cancer_type"],
+        ),
+        quality.check_table(
+            fx.table(spark, sf, "conversations"), "conversations", ["conv_id", "text"],
+            "conv_id", {"role": ["user", "assistant"]},
+        ),
+    )
+
+
 @query
 def dq_foreign_keys(spark, sf):
     cleaned, ext = fx.abstracts(spark, sf), fx.extractions(spark, sf)

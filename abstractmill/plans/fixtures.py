@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.plan import spread
+from ..operators.extraction import with_rules
 from ..operators.review import edited_record
+from ..schemas import RECORD_FIELDS
 
 SENTENCES = [
     "Tumours of the nasopharyngeal wall, Stage III and coded T2N1M0, were seen in 318 patients. "
@@ -144,9 +147,9 @@ def _record(k: str) -> dict[str, str]:
     }
 
 
-def _reviewed(k: str) -> dict[str, str]:
-    """The record of ``_record`` after a reviewer went over it."""
-    r = _record(k)
+def _reviewed(k: str, record: dict[str, str] | None = None) -> dict[str, str]:
+    """A record, that of ``_record`` if none is given, after a reviewer went over it."""
+    r = record or _record(k)
     return {
         "tnm_stage": f"case when {k} % 5 = 0 then 'Stage II' "
         f"when {k} % 5 = 1 then concat(' ', lower({r['tnm_stage']})) "
@@ -166,19 +169,19 @@ def _struct(fields: dict[str, str]) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {sql}" for n, sql in fields.items()) + ")"
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Original and reviewed record of every document."""
-    return table(spark, sf_dir, "documents").selectExpr(
-        "cast(doc_id as string) as pmid",
-        f"{_struct(_record('doc_id'))} as original",
-        f"{_struct(_reviewed('doc_id'))} as final",
-    )
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record that the rules read from every document."""
+    read = with_rules(spread(abstracts(spark, sf_dir)))
+    return read.select("pmid", F.col("extracted").alias("record"))
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted record of every document."""
-    return table(spark, sf_dir, "documents").selectExpr(
-        "cast(doc_id as string) as pmid", f"{_struct(_record('doc_id'))} as record"
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record that the rules read from every document, and what a reviewer made of it."""
+    read = {f: f"record.{f}" for f in RECORD_FIELDS}
+    return predictions(spark, sf_dir).selectExpr(
+        "pmid",
+        "record as original",
+        f"{_struct(_reviewed('cast(pmid as bigint)', read))} as final",
     )
 
 

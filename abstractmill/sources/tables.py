@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +47,48 @@ def read_jdbc(
     )
 
 
+def key_ranges(bounds: Sequence[str], column: str = "pmid") -> list[str]:
+    """SQL conditions that cut a text key at sorted bounds: each key, null too, meets exactly one.
+
+    The bounds are any texts, such as the deciles of an earlier load (``key_bounds``). The database must compare
+    the column as the bounds are sorted, by code point (collation ``C``); a null key goes to the last range.
+    """
+    if list(bounds) != sorted(set(bounds)):
+        raise ValueError("bounds must be distinct and sorted by code point")
+    texts = ["'" + b.replace("'", "''") + "'" for b in bounds]
+    if not texts:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(texts, texts[1:])]
+    return [f"{column} < {texts[0]}", *middle, f"({column} >= {texts[-1]} OR {column} IS NULL)"]
+
+
+def key_bounds(keys: DataFrame, ranges: int, column: str = "pmid", sample: int = 100_000) -> list[str]:
+    """Bounds that cut the keys of a table into ranges of about equal size.
+
+    From a sample of about ``sample`` keys, those with the smallest hashes, so that equal tables
+    give equal bounds; the ranges' sizes are approximate, what they cover is exact.
+    """
+    distinct = keys.select(column).where(F.col(column).isNotNull())
+    held = sorted({r[0] for r in distinct.orderBy(F.xxhash64(column), column).limit(sample).collect()})
+    cuts = {held[len(held) * i // ranges] for i in range(1, ranges)} if held else set()
+    return sorted(cuts - {held[0]} if held else cuts)
+
+
+def read_jdbc_by_key(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    *,
+    key: str,
+    bounds: Sequence[str],
+    fetch_size: int = 10_000,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """Parallel scan of a database table with a text key, one range of keys per task."""
+    options = {**(properties or {}), "fetchsize": str(fetch_size)}
+    return spark.read.jdbc(url, table, predicates=key_ranges(bounds, key), properties=options)
+
+
 def jdbc_ready(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text, the form a database's JSON columns take."""
     nested = (T.ArrayType, T.StructType, T.MapType)

@@ -94,6 +94,17 @@ def test_upsert_and_insert(spark, folder):
     assert held(table.rows()) == sorted(tuple(r) for r in want)
 
 
+def test_nested_columns_of_any_nullability(spark, folder):
+    old = spark.range(6).selectExpr("cast(id as string) pmid", "named_struct('a', array('x'), 'n', id) r")
+    batch = spark.range(4, 8).selectExpr("cast(id as string) pmid", "named_struct('a', array(cast(null as string)), 'n', cast(null as bigint)) r")
+    table = KeyedTable.create(spark, folder, old, buckets=3)
+    table.upsert(batch, first_wins=["r"])
+    table.replace(batch.limit(1))
+    table.replace(batch)
+    got = {r["pmid"]: r["r"]["n"] for r in KeyedTable.open(spark, folder).rows().collect()}
+    assert got == {str(k): k if k < 4 else None for k in range(8)}
+
+
 def test_update_ignores_unknown_keys(spark, folder):
     table = KeyedTable.create(spark, folder, rows(spark, range(10), "a"), buckets=3)
     batch = spark.createDataFrame([("4", "new"), ("99", "new")], "pmid string, said string")
