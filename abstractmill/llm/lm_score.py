@@ -63,8 +63,9 @@ STATE, WINDOW, SCORED = 32, 20, 64
 BOUND = 70.0
 #: States whose exponentials are taken at once: they stay in the cache.
 SLICE = 1024
-#: Blocks that are scored together.
-TOGETHER = 2
+#: Blocks that are scored together: a step takes as long for few lanes as for many, and the longest document of a
+#: group fixes the number of steps.
+TOGETHER = 8
 #: Rows of counts or weights that one task merges.
 FAN_IN = 16
 #: Rounds of training over all blocks, lanes of a block in them, and the rate of the first one.
@@ -75,6 +76,9 @@ TOTALS = "block long, bucket int, together long, totals binary"
 TRAINED = "task int, tokens long, weights binary"
 STATS = "bucket int, n binary, v binary, words binary, totals binary, tails binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SCORES_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+)
 
 
 def tail_class(words: pa.Array) -> np.ndarray:
@@ -334,8 +338,9 @@ class Gru:
     def descend(self, flat: np.ndarray, lanes: int, adam: Adam, rate: Callable[[], float]) -> None:
         """One pass over symbols of documents that follow each other, side by side in lanes."""
         flat = np.concatenate([flat, np.full(-len(flat) % lanes, -1)])  # a pad is no word to learn
-        target = flat.reshape(lanes, -1).T
-        source = np.maximum(np.concatenate([np.zeros((1, lanes), np.int64), target[:-1]]), 0)
+        target = np.ascontiguousarray(flat.reshape(lanes, -1).T)  # a step's symbols lie side by side
+        source = np.zeros_like(target)
+        np.maximum(target[:-1], 0, out=source[1:])
         h = np.zeros((lanes, STATE), np.float32)
         for at in range(0, len(target), WINDOW):
             slopes, h = self._slopes(source[at : at + WINDOW], target[at : at + WINDOW], h)
@@ -384,25 +389,32 @@ class Gru:
         slope = np.empty_like(back)
         slope[order] = back
         slope = slope.reshape(steps, lanes, STATE)
-        # What one step's gradient of the state is multiplied with for each gate.
-        z, r = zr[:, :, :STATE], zr[:, :, STATE:]
-        keep = 1 - z
-        to_z, to_c = (before - c) * z * keep, keep * (1 - c * c)
-        to_r = u[:, :, 2 * STATE :] * r * (1 - r)
         through = u  # as the gradient of h @ hidden
         carry = np.zeros_like(h)
         back_hidden = np.ascontiguousarray(self.hidden.T)
+        room = [np.empty_like(h) for _ in range(2)]
         for t in range(steps - 1, -1, -1):
             dh = slope[t]
             dh += carry
-            gate, way = gates[t], through[t]  # from here on the gradients of these gates
-            dc = np.multiply(dh, to_c[t], out=gate[:, 2 * STATE :])
-            np.multiply(dh, to_z[t], out=gate[:, :STATE])
-            np.multiply(dc, to_r[t], out=gate[:, STATE : 2 * STATE])
+            gate, way, state, old = gates[t], through[t], c[t], before[t]
+            z, r = zr[t, :, :STATE], zr[t, :, STATE:]
+            # From here on the gate sums are replaced by their gradients.
+            keep = np.subtract(1, z, out=room[0])
+            keep *= dh
+            dc = np.multiply(state, state, out=room[1])
+            np.subtract(1, dc, out=dc)
+            dc *= keep
+            gate[:, 2 * STATE :] = dc
+            keep *= z
+            old_c = np.subtract(old, state, out=state)
+            np.multiply(old_c, keep, out=gate[:, :STATE])
+            dr = np.multiply(dc, r, out=room[0])
+            np.multiply(dr, way[:, 2 * STATE :], out=gate[:, STATE : 2 * STATE])
+            gate[:, STATE : 2 * STATE] *= np.subtract(1, r, out=state)
             way[:, : 2 * STATE] = gate[:, : 2 * STATE]
-            np.multiply(dc, r[t], out=way[:, 2 * STATE :])
+            way[:, 2 * STATE :] = dr
             carry = way @ back_hidden
-            dh *= z[t]
+            dh *= z
             carry += dh
             carry *= alive[t]
         g_hidden = before.reshape(-1, STATE).T @ through.reshape(-1, 3 * STATE)
@@ -427,15 +439,18 @@ class Gru:
             lanes[i].append(int(d))
             heapq.heappush(load, (n + int(length[d]), i))
         lanes.sort(key=lambda x: -sum(int(length[d]) for d in x))
-        places = [np.concatenate([np.arange(rows[d], rows[d + 1]) for d in lane]) for lane in lanes]
-        long = [len(p) for p in places]
-        grid = np.zeros((long[0], count), np.int64)  # the place of the symbol at each step and lane
-        for i, p in enumerate(places):
-            grid[: len(p), i] = p
+        long = [sum(int(length[d]) for d in lane) for lane in lanes]
+        grid = np.zeros((long[0], count), np.int32)  # the place of the symbol at each step and lane
+        for i, lane in enumerate(lanes):
+            at = 0
+            for d in lane:
+                grid[at : at + length[d], i] = np.arange(rows[d], rows[d + 1], dtype=np.int32)
+                at += int(length[d])
         active = np.searchsorted(-np.array(long), -np.arange(long[0]), "left")
         starts = np.zeros(len(symbols), bool)
         starts[rows[:-1]] = True
-        source = np.concatenate([[0], symbols[:-1]])
+        source = np.empty_like(symbols)
+        source[1:] = symbols[:-1]
         source[rows[:-1]] = 0
         out = np.empty(len(symbols), np.float32)
         h = np.zeros((count, STATE), np.float32)
@@ -586,38 +601,34 @@ def document_scores(
         for b, g in sorted(totals):
             groups[b].append(g)
         names = ("block", "hashes", "tails", "docs", "numbers")
-        symbols, counts, tail_share, docs, sizes = [], [], [], [], []
+        symbols, docs, per_doc = [], [], []
         for b, *held in sorted(zip(*(sent.column(c).to_pylist() for c in names), strict=True)):
             d, symbol, number = _block_symbols(vocabulary, *held)
             total = np.concatenate([np.zeros(0, np.int64), *(totals[b, g] for g in groups[b])])
             tail = symbol >= SHORT
             share = np.zeros(len(symbol))
             share[tail] = np.log((total[tail] + 0.1) / vocabulary.tail_room[symbol[tail] - SHORT])
-            # Each document's words, then its end.
             n = d.column("n").to_numpy()
-            at_end = np.cumsum(n)
-            symbols.append(np.insert(symbol[number], at_end, 0))
-            counts.append(np.insert(total[number].astype(np.float64), at_end, ends))
-            tail_share.append(np.insert(share[number], at_end, 0.0))
+            bounds = np.concatenate([[0], np.cumsum(n)])
+
+            def summed(by_word: np.ndarray, number: np.ndarray = number, bounds: np.ndarray = bounds) -> np.ndarray:
+                """Sums over the words of each document."""
+                out = np.add.reduceat(np.append(by_word[number], 0), bounds[:-1]) if len(bounds) > 1 else by_word[:0]
+                out[np.diff(bounds) == 0] = 0
+                return out
+
+            # Each document's words, then its end.
+            symbols.append(np.insert(symbol.astype(np.uint16)[number], bounds[1:], 0))
+            known = summed((total > 0).astype(np.int64)) + (ends > 0)
+            per_doc.append((n + 1, known, summed(vocabulary.base(total)) + vocabulary.base(np.float64(ends)), summed(share)))
             docs.append(d)
-            sizes.append(n + 1)
         table = pa.Table.from_batches(docs) if docs else None
         if table is None or not table.num_rows:
-            return pa.table({c: pa.array([], k) for c, k in zip(("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)})
-        length = np.concatenate(sizes)
-        bounds = np.concatenate([[0], np.cumsum(length)])
-        count = np.concatenate(counts)
-        log_p = model.score(np.concatenate(symbols), bounds) + np.add.reduceat(np.concatenate(tail_share), bounds[:-1])
-        return pa.table(
-            {
-                "doc_id": table.column("doc_id"),
-                "held_out": table.column("held_out"),
-                "n_tokens": pa.array(length.astype(np.int64)),
-                "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), bounds[:-1])),
-                "base_score": pa.array(np.add.reduceat(vocabulary.base(count), bounds[:-1])),
-                "score": pa.array(log_p / np.log(10)),
-            }
-        )
+            return pa.Table.from_batches([], SCORES_ARROW)
+        length, known, base, tails = (np.concatenate(x) for x in zip(*per_doc, strict=True))
+        log_p = model.score(np.concatenate(symbols), np.concatenate([[0], np.cumsum(length)])) + tails
+        columns = [table.column("doc_id"), table.column("held_out"), *(x.astype(np.int64) for x in (length, known)), base, log_p / np.log(10)]
+        return pa.Table.from_arrays([c if isinstance(c, pa.ChunkedArray) else pa.array(c) for c in columns], schema=SCORES_ARROW)
 
     totals = asked.applyInArrow(_totals, TOTALS)
     sent = coded.filter("bucket < 0").select("block", "together", "hashes", "tails", "docs", "numbers")

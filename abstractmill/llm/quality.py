@@ -207,9 +207,12 @@ def fit(
                 yield pa.RecordBatch.from_pydict({"id": part.column("id"), "u": pa.array(u)})
 
     # A row counts once for each label; 100,000 cells keep a quantile's rank to 1 in 100,000.
-    model.share = texts.select("id").join(said, "id").agg(F.avg("label")).first()[0]
+    n, good = texts.select("id").join(said, "id").agg(F.count("*"), F.sum("label")).first()
+    model.share = good / n
     rated = texts.mapInArrow(utilities, "id long, u double").join(said.select("id"), "id")
-    model.threshold = rated.agg(F.percentile_approx("u", 1 - model.share, 100_000)).first()[0]
+    # Between the last utility that is to stay below and the first one above.
+    ranks = [min(1.0, max(0.0, (n - good + half) / n)) for half in (-0.5, 0.5)]
+    model.threshold = sum(rated.agg(F.percentile_approx("u", ranks, 100_000)).first()[0]) / 2
     return model
 
 
