@@ -6,7 +6,7 @@ packed sequences.
 
 1. quality: documents that the pairwise classifier rejects go.
 2. near_duplicates: of the documents that shingle links connect, the one with the smallest id stays;
-   of several rows with this id, and of documents without id, one row.
+   of several rows with this id, and of documents without id, one row. Texts without a word all stay.
 3. repeated_spans: words in windows of 35 words that occur elsewhere are cut out of the
    texts; other texts are left as they are.
 4. decontamination: documents that hold a benchmark item go.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abstractmill.llm import containment, jaccard, packing, quality, rlz
-from abstractmill.llm.stored import stored
+from abstractmill.llm.stored import discard, stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of all stages over the table of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
