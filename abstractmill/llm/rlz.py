@@ -2,9 +2,9 @@
 
 The corpus is cut into reference blocks (slices of about BLOCK_BYTES of documents). The index
 of all blocks is a distributed hash table of their windows of `window` words: each block
-sends the hashes of its windows to `buckets` groups, a group finds the windows that start more than
-once anywhere and answers each block with a bit per window and the block of the other
-occurrence to follow. A document is then parsed greedily from left to right: at a window
+sends the hashes of its distinct windows, with a bit for those that start twice in it, to `buckets` groups; a
+group finds the windows that start more than once anywhere and answers each block with a bit per
+window and the block of the other occurrence to follow (the block itself if there is no other). A document is then parsed greedily from left to right: at a window
 that occurs elsewhere a factor starts and runs on while the windows after it are found in
 the same reference block. Factors of `window` words or more are duplicate spans. A window
 that crosses the end of a factor is in no factor of that block, so the windows at each boundary
@@ -23,8 +23,8 @@ other columns are carried, also ones named like the added columns of the answer,
 then replaced; an empty table gives no row.
 
 Scale: texts are read once and travel compressed with their block to the group and back. The groups
-are dealt by hash and hold one row per block, so a passage that a third of all
-documents share adds its occurrences to as many groups as it has windows. A task holds one
+are dealt by hash and hold one row per block and each of its windows once, so a passage that a third of all
+documents share, or one word that they repeat, adds one entry a block to the groups of its windows. A task holds one
 group or one block.
 """
 
@@ -45,7 +45,7 @@ from .arrays import Words, block_numbers, grams, mix, pieces, spread
 BLOCK_BYTES = 2 << 20
 #: Bytes of a window's hash that are sent.
 WIDTH = 7
-SENT = "bucket int, block long, hashes binary, texts binary"
+SENT = "bucket int, block long, hashes binary, twice binary, texts binary"
 ANSWER = "block long, bucket int, found binary, refs binary, texts binary"
 
 
@@ -58,6 +58,20 @@ def _windows(words: Words, window: int, buckets: int) -> tuple[np.ndarray, np.nd
     return h, at, group.astype(np.int32)
 
 
+def _distinct(h: np.ndarray, group: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct windows of a block by group, bounds of the groups, the entry of each window, and which come twice."""
+    h = h & np.uint64((1 << 8 * WIDTH) - 1)  # what is sent tells them apart
+    order = np.lexsort((h, group))
+    hashes, groups = h[order], group[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (groups[1:] != groups[:-1])
+    entry = np.empty(len(h), np.int64)
+    entry[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    twice = np.diff(np.append(first, len(h))) > 1
+    return hashes[first], np.searchsorted(groups[first], np.arange(buckets + 1)), entry, twice
+
+
 def _by_group(group: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in the order of their groups, and the bounds of the groups."""
     kind = np.uint16 if buckets <= 1 << 16 else np.int32
@@ -108,14 +122,15 @@ def _send(text: str, window: int, buckets: int):
             for part in pieces(batch, text, BLOCK_BYTES):
                 block = next(blocks)
                 h, _, group = _windows(Words(part.column(text), lower=False), window, buckets)
-                order, bounds = _by_group(group, buckets)
-                h = h[order]
+                h, bounds, _, twice = _distinct(h, group, buckets)
                 used = np.flatnonzero(np.diff(bounds))
+                cuts = [slice(bounds[g], bounds[g + 1]) for g in used]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "bucket": pa.array([spread(block, buckets), *used.tolist()], pa.int32()),
                         "block": pa.array([block] * (len(used) + 1), pa.int64()),
-                        "hashes": pa.array([None, *(_pack(h[bounds[g] : bounds[g + 1]], WIDTH) for g in used)], pa.binary()),
+                        "hashes": pa.array([None, *(_pack(h[c], WIDTH) for c in cuts)], pa.binary()),
+                        "twice": pa.array([None, *(np.packbits(twice[c]).tobytes() for c in cuts)], pa.binary()),
                         "texts": pa.array([to_bytes(part)] + [None] * len(used), pa.binary()),
                     }
                 )
@@ -136,6 +151,8 @@ def _look_up(table: pa.Table) -> pa.Table:
         values = [_unpack(sent[i], WIDTH) for _, i in asked]
         sizes = np.array([len(v) for v in values])
         bounds = np.concatenate([[0], np.cumsum(sizes)])
+        bits = table.column("twice").to_pylist()
+        twice = np.concatenate([np.unpackbits(np.frombuffer(bits[i], np.uint8), count=n) for (_, i), n in zip(asked, sizes.tolist(), strict=True)])
         h = np.concatenate(values)
         source = np.repeat(np.array([b for b, _ in asked], np.int64), sizes)
         order = np.argsort(h, kind="stable")  # of equal windows the first block comes first
@@ -144,10 +161,10 @@ def _look_up(table: pa.Table) -> pa.Table:
         new[1:] = h[1:] != h[:-1]
         run = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        several = np.diff(np.append(first, len(h))) > 1
-        again = several[run]
-        # All but the first occurrence follow the first; it follows the second.
-        ref = source[order[np.minimum(first[run] + new, len(h) - 1)]]
+        several = (np.diff(np.append(first, len(h))) > 1)[run]
+        again = several | (twice[order] > 0)
+        # All but the first block follow the first; it follows the second, or itself if there is none.
+        ref = source[order[np.where(several, first[run] + new, np.arange(len(h)))]]
         found, refs = np.empty(len(h), bool), np.empty(len(h), np.int64)
         found[order], refs[order] = again, ref
         bucket = table.column("bucket")[0].as_py()
@@ -170,14 +187,14 @@ def _resolve(table: pa.Table, text: str, window: int, buckets: int) -> tuple[pa.
     refs = np.full(len(words), -1, np.int64)
     answers = table.filter(table.column("found").is_valid())
     if answers.num_rows:
-        _, at, group = _windows(words, window, buckets)
-        order, bounds = _by_group(group, buckets)
-        at = at[order]
+        h, at, group = _windows(words, window, buckets)
+        held, bounds, entry, _ = _distinct(h, group, buckets)
+        elsewhere, where = np.zeros(len(held), bool), np.full(len(held), -1, np.int64)
         for g, bits, ref in zip(*(answers.column(c).to_pylist() for c in ("bucket", "found", "refs")), strict=True):
-            own = at[bounds[g] : bounds[g + 1]]
+            own = np.arange(bounds[g], bounds[g + 1])
             hit = own[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool)]
-            found[hit] = True
-            refs[hit] = _unpack_refs(ref)
+            elsewhere[hit], where[hit] = True, _unpack_refs(ref)
+        found[at], refs[at] = elsewhere[entry], where[entry]
     return batch, words, found, refs
 
 

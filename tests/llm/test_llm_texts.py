@@ -62,6 +62,20 @@ def test_windows_at_factor_boundaries(spark):
     assert [tuple(r) for r in got] == [x[:2] for x in brute.cut_repeats(texts)]
 
 
+def test_hot_window_is_sent_once_a_block(spark):
+    cycle = "one two three " * 4000
+    texts = [cycle, "x " + cycle + "y", brute.prose(60, 50), " ".join(["z"] * 36), " ".join(["z"] * 34)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    words = rlz.Words(batch.column("text"), lower=False)
+    h, _, group = rlz._windows(words, 35, 7)
+    held, bounds, entry, twice = rlz._distinct(h, group, 7)
+    assert len(held) < 70 and len(entry) == len(h) and bounds[-1] == len(held)
+    assert (held[entry] == h & np.uint64((1 << 56) - 1)).all() and twice.sum() >= 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = rlz.remove_repeats(docs, buckets=3).orderBy("doc_id").select("n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256)).collect()
+    assert [tuple(r) for r in got] == brute.cut_repeats(texts)
+
+
 def test_jaccard_components(odd, spark):
     docs, ids, texts = odd
     base, small = brute.prose(31, 60), brute.prose(32, 12)
