@@ -30,10 +30,11 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int):
         self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
         self.name = f"keyed_{uuid.uuid4().hex}"
+        quoted = f"{path}/rows".replace("\\", "\\\\").replace("'", "\\'")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
             f"CREATE TABLE {self.name} ({columns}, {_BUCKET} int) USING parquet "
-            f"OPTIONS (path '{path}/rows', partitionOverwriteMode 'dynamic') "
+            f"OPTIONS (path '{quoted}', partitionOverwriteMode 'dynamic') "
             f"PARTITIONED BY ({_BUCKET}) CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS"
         )
         # As the files have it: every column, nested ones too, may be null.
