@@ -5,7 +5,7 @@ hashes and counts of their distinct words to groups by hash; a group adds them u
 each block with the total of each of its words. So what is gathered grows with the
 corpus, in the number of distinct words per block.
 
-*Model.* A gated recurrent unit reads the words of a document. The `SHORT` most frequent words are
+*Model.* A gated recurrent unit with one gate (a minimal gated unit) reads the words of a document. The `SHORT` most frequent words are
 symbols of their own; all other words fall into `TAIL` symbols by their last letters, where
 a word has the share (c + 0.1) / (N_t + 0.1 (V_t + 1)) of its symbol. The output softmax is factored by
 class: one over classes of `IN_CLASS` symbols by frequency, then one over the symbols of the class. The counts of the whole
@@ -72,8 +72,10 @@ FAN_IN = 16
 ROUNDS, LANES, RATE = 4, 512, 0.004
 BLOCK_BYTES = 3 << 20
 CODED = "bucket int, block long, together long, hashes binary, counts binary, tails binary, docs binary, numbers binary"
-TOTALS = "block long, bucket int, together long, totals binary"
 TRAINED = "task int, tokens long, weights binary"
+GROUPED = "block long, bucket int, together long, totals binary, n binary, v binary, words binary, top binary, tails binary"
+GROUPED_NAMES = [x.split()[0] for x in GROUPED.split(", ")]
+STATS_IN_GROUP = {"totals": "top"}
 STATS = "bucket int, n binary, v binary, words binary, totals binary, tails binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 SCORES_ARROW = pa.schema(
@@ -150,9 +152,17 @@ def _add_up(table: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray, n
     return table.column("block").to_pylist(), each, words, total, tails[first]
 
 
-def _totals(table: pa.Table) -> pa.Table:
-    blocks, each, *_ = _add_up(table)
-    return pa.table(
+def _grouped(table: pa.Table) -> pa.Table:
+    """A row of totals for each block of a group, and one row of the group's statistics.
+
+    The latter: counts and distinct words by tail class, and the most frequent words.
+    """
+    blocks, each, words, total, tails = _add_up(table)
+    known = total > 0
+    words, total, tails = words[known].view(np.int64), total[known], tails[known]
+    n, v = np.bincount(tails, total, TAIL).astype(np.int64), np.bincount(tails, minlength=TAIL)
+    stats = _stats_row(table.column("bucket")[0].as_py(), n, v, words, total, tails)
+    answers = pa.table(
         {
             "block": pa.array(blocks, pa.int64()),
             "bucket": table.column("bucket"),
@@ -160,15 +170,7 @@ def _totals(table: pa.Table) -> pa.Table:
             "totals": pa.array([x.tobytes() for x in each], pa.binary()),
         }
     )
-
-
-def _group_stats(table: pa.Table) -> pa.Table:
-    """Counts and distinct words of a group by tail class, and its most frequent words, as one row."""
-    _, _, words, total, tails = _add_up(table)
-    known = total > 0
-    words, total, tails = words[known].view(np.int64), total[known], tails[known]
-    n, v = np.bincount(tails, total, TAIL).astype(np.int64), np.bincount(tails, minlength=TAIL)
-    return _stats_row(table.column("bucket")[0].as_py(), n, v, words, total, tails)
+    return pa.concat_tables([answers, stats.rename_columns([STATS_IN_GROUP.get(c, c) for c in stats.column_names])], promote_options="default").select(GROUPED_NAMES)
 
 
 def _stats_row(bucket: int, n: np.ndarray, v: np.ndarray, words: np.ndarray, total: np.ndarray, tails: np.ndarray) -> pa.Table:
@@ -248,7 +250,7 @@ def _lanes(total: int, most: int, windows: int = 4) -> int:
     return max(1, min(most, total // (windows * WINDOW)))
 
 
-class Gru:
+class GatedUnit:
     """Gated recurrent unit with class-factored output; symbols as in Vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary, seed: int = 11):
@@ -257,9 +259,9 @@ class Gru:
         def rand(*shape: int) -> np.ndarray:
             return (rng.standard_normal(shape) / np.sqrt(shape[-2])).astype(np.float32)
 
-        self.inputs = (0.3 * rng.standard_normal((SYMBOLS, 3 * STATE))).astype(np.float32)
-        self.inputs[:, :STATE] += 0.5  # keep the state for a start
-        self.hidden = np.concatenate([rand(STATE, STATE) for _ in range(3)], axis=1)
+        self.inputs = (0.3 * rng.standard_normal((SYMBOLS, 2 * STATE))).astype(np.float32)
+        self.inputs[:, :STATE] -= 0.5  # keep the state for a start
+        self.hidden = np.concatenate([rand(STATE, STATE) for _ in range(2)], axis=1)
         self.to_class = 0.05 * rand(STATE, CLASSES)
         self.to_word = 0.05 * rand(CLASSES, STATE, IN_CLASS)
         mass = vocabulary.counts + 0.1 * (np.arange(SHORT) < vocabulary.size)
@@ -271,20 +273,23 @@ class Gru:
     def params(self) -> list[np.ndarray]:
         return [self.inputs, self.hidden, self.to_class, self.to_word, self.class_bias, self.word_bias]
 
-    def step(self, gate: np.ndarray, h: np.ndarray, u: np.ndarray | None = None, zr: np.ndarray | None = None, c: np.ndarray | None = None) -> np.ndarray:
-        """State after inputs with these gate sums. The gates are put into u, zr and c if given, for the way back."""
+    def step(self, gate: np.ndarray, h: np.ndarray, u: np.ndarray | None = None, f: np.ndarray | None = None, c: np.ndarray | None = None) -> np.ndarray:
+        """State after inputs with these gate sums. What the way back needs is put into u, f and c if given.
+
+        f opens the state to the candidate c and the candidate to the state before.
+        """
         u = np.matmul(h, self.hidden, out=u)
-        zr = np.add(gate[:, : 2 * STATE], u[:, : 2 * STATE], out=zr)
-        np.negative(zr, out=zr)
-        np.exp(zr, out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
-        c = np.multiply(zr[:, STATE:], u[:, 2 * STATE :], out=c)
-        c += gate[:, 2 * STATE :]
+        f = np.add(gate[:, :STATE], u[:, :STATE], out=f)
+        np.negative(f, out=f)
+        np.exp(f, out=f)
+        f += 1
+        np.reciprocal(f, out=f)
+        c = np.multiply(f, u[:, STATE:], out=c)
+        c += gate[:, STATE:]
         np.tanh(c, out=c)
-        new = h - c
-        new *= zr[:, :STATE]
-        new += c
+        new = c - h
+        new *= f
+        new += h
         return new
 
     @staticmethod
@@ -352,10 +357,10 @@ class Gru:
         gates = self.inputs[source]
         alive = (source != 0).astype(np.float32)[:, :, None]  # a document starts after the end of the last one
         before, after = (np.empty((steps, lanes, STATE), np.float32) for _ in range(2))
-        u, zr, c = (np.empty((steps, lanes, k * STATE), np.float32) for k in (3, 2, 1))
+        u, f, c = (np.empty((steps, lanes, k * STATE), np.float32) for k in (2, 1, 1))
         for t in range(steps):
             np.multiply(h, alive[t], out=before[t])
-            after[t] = h = self.step(gates[t], before[t], u[t], zr[t], c[t])
+            after[t] = h = self.step(gates[t], before[t], u[t], f[t], c[t])
         aim = target.ravel()
         kind = np.where(aim < 0, CLASSES, aim // IN_CLASS)  # pads come last
         order = np.argsort(kind.astype(np.uint8), kind="stable")
@@ -396,34 +401,33 @@ class Gru:
         for t in range(steps - 1, -1, -1):
             dh = slope[t]
             dh += carry
-            gate, way, state, old = gates[t], through[t], c[t], before[t]
-            z, r = zr[t, :, :STATE], zr[t, :, STATE:]
+            gate, way, state, open_ = gates[t], through[t], c[t], f[t]
             # From here on the gate sums are replaced by their gradients.
-            keep = np.subtract(1, z, out=room[0])
-            keep *= dh
-            dc = np.multiply(state, state, out=room[1])
+            dc = np.multiply(state, state, out=room[0])
             np.subtract(1, dc, out=dc)
-            dc *= keep
-            gate[:, 2 * STATE :] = dc
-            keep *= z
-            old_c = np.subtract(old, state, out=state)
-            np.multiply(old_c, keep, out=gate[:, :STATE])
-            dr = np.multiply(dc, r, out=room[0])
-            np.multiply(dr, way[:, 2 * STATE :], out=gate[:, STATE : 2 * STATE])
-            gate[:, STATE : 2 * STATE] *= np.subtract(1, r, out=state)
-            way[:, : 2 * STATE] = gate[:, : 2 * STATE]
-            way[:, 2 * STATE :] = dr
+            dc *= open_
+            dc *= dh
+            gate[:, STATE:] = dc
+            state -= before[t]
+            state *= dh
+            way[:, STATE:] *= dc
+            state += way[:, STATE:]
+            state *= open_
+            keep = np.subtract(1, open_, out=room[1])
+            np.multiply(state, keep, out=gate[:, :STATE])
+            way[:, :STATE] = gate[:, :STATE]
+            np.multiply(dc, open_, out=way[:, STATE:])
             carry = way @ back_hidden
-            dh *= z
+            dh *= keep
             carry += dh
             carry *= alive[t]
-        g_hidden = before.reshape(-1, STATE).T @ through.reshape(-1, 3 * STATE)
+        g_hidden = before.reshape(-1, STATE).T @ through.reshape(-1, 2 * STATE)
         # Rows of the input table add up the gradients of their steps.
         by_symbol = np.argsort(source.ravel().astype(np.uint16), kind="stable")
         symbols = source.ravel()[by_symbol]
         first = np.flatnonzero(np.concatenate([[True], symbols[1:] != symbols[:-1]]))
         g_inputs = np.zeros_like(self.inputs)
-        g_inputs[symbols[first]] = np.add.reduceat(gates.reshape(-1, 3 * STATE)[by_symbol], first, axis=0)
+        g_inputs[symbols[first]] = np.add.reduceat(gates.reshape(-1, 2 * STATE)[by_symbol], first, axis=0)
         return [g_inputs, g_hidden, g_class, g_word, g_bias, g_word_bias], h
 
     def score(self, symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -530,7 +534,7 @@ def _by_levels(rows: DataFrame, key: str, most: int, merge: Callable, schema: st
     return rows.collect()
 
 
-def _train(coded: DataFrame, vocabulary: Vocabulary, model: Gru) -> int:
+def _train(coded: DataFrame, vocabulary: Vocabulary, model: GatedUnit) -> int:
     """Train the model on all training documents of the blocks; the number of their symbols."""
     spark = coded.sparkSession
     rest, total = coded.filter("bucket < 0").select("block", "hashes", "tails", "docs", "numbers"), 0
@@ -586,10 +590,12 @@ def document_scores(
     coded = stored(rows.mapInArrow(_code(buckets), CODED), "coded")
     asked = coded.filter("bucket >= 0").select("bucket", "block", "together", "hashes", "counts", "tails").groupBy("bucket")
     # The groups' statistics are of a fixed size each.
-    merged = _by_levels(asked.applyInArrow(_group_stats, STATS), "bucket", buckets, _merge_stats, STATS)
+    grouped = stored(asked.applyInArrow(_grouped, GROUPED), "counts")
+    stats = grouped.filter("n IS NOT NULL").select("bucket", "n", "v", "words", F.col("top").alias("totals"), "tails")
+    merged = _by_levels(stats, "bucket", buckets, _merge_stats, STATS)
     ends = rows.filter("train").count()
     vocabulary = Vocabulary(ends, *_statistics(merged))
-    model = Gru(vocabulary)
+    model = GatedUnit(vocabulary)
     sample = _sample(rows, fit_docs, vocabulary)
     if sample:
         model.learn(sample)
@@ -630,7 +636,7 @@ def document_scores(
         columns = [table.column("doc_id"), table.column("held_out"), *(x.astype(np.int64) for x in (length, known)), base, log_p / np.log(10)]
         return pa.Table.from_arrays([c if isinstance(c, pa.ChunkedArray) else pa.array(c) for c in columns], schema=SCORES_ARROW)
 
-    totals = asked.applyInArrow(_totals, TOTALS)
+    totals = grouped.filter("totals IS NOT NULL").select("block", "bucket", "together", "totals")
     sent = coded.filter("bucket < 0").select("block", "together", "hashes", "tails", "docs", "numbers")
     scored = sent.groupBy("together").cogroup(totals.groupBy("together")).applyInArrow(score, SCORES)
     return scored.withColumn("train_tokens", F.lit(vocabulary.n).cast("long"))

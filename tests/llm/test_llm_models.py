@@ -75,7 +75,7 @@ def test_lm_without_rows_or_training(spark):
 @pytest.fixture(scope="module")
 def small_gru():
     vocabulary = lm_score.Vocabulary(50, {t: (40, 9) for t in range(lm_score.TAIL)}, [(i * 7919, 100 - i, i % 64) for i in range(90)])
-    return lm_score.Gru(vocabulary)
+    return lm_score.GatedUnit(vocabulary)
 
 
 def test_state_is_carried_across_windows(small_gru):
