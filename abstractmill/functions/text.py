@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The characters Unicode counts as white space, as a regex class that
 # reads the same in Java and RE2, and as the list that ``btrim`` takes.
@@ -21,25 +20,39 @@ WS_CHARS = "".join(
          0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
     )
 )
+# What ``html.unescape`` takes as one reference. It never spans an ``&`` that starts another one.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-def _entity_udf():
+def _reference_udf():
     # Built in a closure so that workers need no copy of this package.
-    def decode(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+    def decode(references: pa.Array) -> pa.Array:
+        listed = references.cast(pa.list_(pa.string()))
+        coded = listed.flatten().dictionary_encode()  # each distinct one is decoded once a batch
+        decoded = pa.array(map(html.unescape, coded.dictionary.to_pylist()), pa.string())
+        offsets = listed.offsets.to_numpy()
+        return pa.ListArray.from_arrays(offsets - offsets[0], decoded.take(coded.indices))
 
     # Declared non-deterministic so that a later filter on the decoded text stays above
     # the Python step; Catalyst would otherwise push a copy of it below and decode twice.
-    return F.pandas_udf(decode, T.StringType()).asNondeterministic()
+    return F.arrow_udf(decode, "array<string>").asNondeterministic()
 
 
 def decode_entities(text: Column) -> Column:
     """Decode named and numeric HTML entities.
 
-    Spark has no entity table, so this is the one Python step of the cleaning plan.
-    Only texts that hold an ``&`` travel to the Python worker; the rest go as nulls.
+    Spark has no entity table, so this is the one Python step of the cleaning plan. Only
+    the references themselves travel to the Python worker, in the order they stand; the
+    text between them stays, so that a worker's memory does not follow the length of the texts.
     """
-    return F.coalesce(_entity_udf()(F.when(text.contains("&"), text)), text)
+    coded = text.contains("&")
+    found = F.when(coded, F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)))
+    decoded = _reference_udf()(F.coalesce(found, F.array().cast("array<string>")))
+    # One piece more than references: the last one has none behind it.
+    pieces = F.zip_with(
+        F.split(text, REFERENCE, -1), decoded, lambda t, r: F.concat(t, F.coalesce(r, F.lit("")))
+    )
+    return F.when(coded, F.array_join(pieces, "")).otherwise(text)
 
 
 def strip(text: Column) -> Column:

@@ -36,3 +36,18 @@ def evaluate(spark):
         return [r["y"] for r in df.select("i", fn(F.col("x")).alias("y")).orderBy("i").collect()]
 
     return run
+
+
+@pytest.fixture(scope="session")
+def python_bytes():
+    """Bytes that the Python steps of a plan without shuffles are sent, by a run of it."""
+
+    def sent(node):
+        own, below = node.metrics().get("pythonDataSent"), node.children()
+        return (own.get().value() if own.isDefined() else 0) + sum(sent(below.apply(i)) for i in range(below.size()))
+
+    def run(df):
+        df._jdf.collectToPython()
+        return sent(df._jdf.queryExecution().executedPlan())
+
+    return run

@@ -11,6 +11,7 @@ from abstractmill.functions.text import (
     WS_RUN,
     contains_any,
     csv_items,
+    decode_entities,
     last_sentence,
     normalize,
     preview,
@@ -100,3 +101,18 @@ def test_preview_cuts_only_long_text(evaluate):
 def test_csv_items(evaluate):
     got = evaluate(csv_items, ["a, b ,,  c", "", None, " , "])
     assert got == [["a", "b", "c"], [], [], []]
+
+
+def test_entities_decode_as_in_plain_python(evaluate):
+    texts = [
+        "&amp;", "&amp;lt; &amp;amp;", "&lt;&gt;&lt;", "a&amp;b&amp;c", "&&amp;&", "&#;&#x;&#38;&#x26;&#X26", "&",
+        "&#0;&#1;&#128;&#xD800;&#1114112;&#128512;", "&notit;&notin;&not", "&" + "a" * 32 + ";", "&" + "a" * 40 + ";&lt;",
+        "&CounterClockwiseContourIntegral;", "😀&😀;😀&eacute;", "&amp\n&lt\t&gt\f&quot\r&nbsp", "&\u0085amp;&　;", "", None,
+        "x & y", "plain", "&Tab;&NewLine;&#32;&#13;", "&copy=1&reg=2&amp=3", "\x01&foo\x01bar;",
+    ] + [f"{'&lt;' * i}{i}&#{i};" for i in range(300)]
+    assert evaluate(decode_entities, texts) == [t and html.unescape(t) for t in texts]
+
+
+def test_only_references_travel_to_python(spark, python_bytes):
+    texts = spark.range(0, 400, 1, 2).selectExpr("concat(repeat('long text ', 5000), '&amp; ', id) as x")
+    assert 0 < python_bytes(texts.select(decode_entities(F.col("x")))) < 200_000  # of 20 MB
