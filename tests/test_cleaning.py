@@ -44,3 +44,12 @@ def test_one_parse_and_one_python_step(spark):
     assert text.count("ArrowEvalPython") == 1
     assert text.count("from_json") == 1
     assert text.count("regexp_replace") == 6  # tags and white space of three texts
+
+
+def test_only_references_of_all_texts_travel_to_python(spark, python_bytes):
+    long = {c: f"<p>{'long text ' * 10}&amp; more</p> " * 200 for c in ("title", "abstract_text", "journal")}
+    raw = _raw(spark, *[long] * 40)
+    got = clean_abstracts(raw)
+    assert python_bytes(got) < 500_000  # of 2.9 MB
+    assert {len(set(r)) for r in got.select("title", "abstract_text", "journal").collect()} == {1}
+    assert got.first().abstract_text == " ".join(["long text " * 10 + "& more"] * 200)
